@@ -15,8 +15,13 @@ def strict_json(text: Column) -> Column:
     """
     seal = F.xxhash64(text).cast("string")
     pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]')))
-    sealed = F.try_variant_get(pair, "$[1]", "string") == seal
-    return F.when(sealed, F.try_variant_get(pair, "$[0]", "variant"))
+
+    def opened(parsed: Column) -> Column:
+        sealed = F.try_variant_get(parsed, "$[1]", "string") == seal
+        return F.when(sealed, F.try_variant_get(parsed, "$[0]", "variant"))
+
+    # The one-item array lets both uses share one parse.
+    return F.get(F.transform(F.array(pair), opened), F.lit(0))
 
 
 def child(value: Column, path: str) -> Column:

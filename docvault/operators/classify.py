@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from docvault.functions.classification import json_to_classification, parse_error_classification
 from docvault.functions.json_text import child, is_array, is_object, is_string, strict_json
-from docvault.functions.rules import classify_text, without_secrets
+from docvault.functions.rules import classify_text, has_digit, without_secrets
 from docvault.functions.text import build_prompt, strip, truncate_text
 from docvault.operators.ingest import CLASSIFY, EXTRACTION, UNEXPECTED
 from docvault.operators.once import compute_once
@@ -177,6 +177,8 @@ def classify_rules(texts: DataFrame, settings: JobSettings) -> DataFrame:
     carried = [c for c in texts.columns if c != "text"]
     shortened = truncate_text(F.col("text"), settings.max_text_chars)
     read = texts.select(*carried, shortened.alias("_text"))
-    read = compute_once(read, {"_plain": without_secrets(F.col("_text"))})
-    found = classify_text(F.col("_text"), F.col("_plain"))
+    read = compute_once(
+        read, {"_plain": without_secrets(F.col("_text")), "_digits": has_digit(F.col("_text"))}
+    )
+    found = classify_text(F.col("_text"), F.col("_plain"), F.col("_digits"))
     return compute_once(read, {"classification": found}).select(*carried, "classification")

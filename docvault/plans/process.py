@@ -40,6 +40,8 @@ def rules_classifier(settings: JobSettings) -> Classifier:
 
 def model_classifier(model: Callable[[str], str], settings: JobSettings) -> Classifier:
     def classify(texts: DataFrame) -> DataFrame:
+        if settings.model_tasks:
+            texts = texts.repartition(settings.model_tasks, *KEY)
         return parse_responses(classify_with(texts, model, settings))
 
     return classify

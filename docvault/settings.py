@@ -15,3 +15,5 @@ class JobSettings:
     retry_base_ms: int = 500
     max_deliveries: int = 3
     slow_ms: int = 108_000
+    # Tasks that share the calls to a model; None leaves it to the plan.
+    model_tasks: int | None = None

@@ -16,17 +16,28 @@ def texts_from_blocks(documents: DataFrame) -> DataFrame:
     return documents.select("source_bucket", "source_key", assemble_lines(F.col("blocks")).alias("text"))
 
 
-def texts_from_block_rows(blocks: DataFrame, keys: list[str]) -> DataFrame:
+def joined_lines(rows: DataFrame, by: list[str], text: str, order: str) -> DataFrame:
+    return rows.groupBy(*by).agg(
+        F.expr(f"listagg({text}, '\\n') WITHIN GROUP (ORDER BY {order})").alias(text)
+    )
+
+
+def texts_from_block_rows(blocks: DataFrame, keys: list[str], chunk: int = 4096) -> DataFrame:
     """Text per document from one row per block (keys, seq, BlockType, Text).
 
-    Blocks of one document are combined on the map side first; what reaches one task is the
-    text of that document, which is one value of the result. Documents without lines give "".
+    seq numbers the blocks of a document from zero. Documents without lines give "". A
+    document with more than `chunk` blocks is put together from chunks that are made in
+    parallel, so the task that ends up with its text never holds its single blocks.
     """
     line = F.when((F.col("BlockType") == "LINE") & (F.length("Text") > 0), F.col("Text"))
-    lines = blocks.select(*keys, "seq", line.alias("line"))
-    return lines.groupBy(*keys).agg(
-        F.expr("coalesce(listagg(line, '\\n') WITHIN GROUP (ORDER BY seq), '')").alias("text")
-    )
+    lines = blocks.select(*keys, "seq", line.alias("text"))
+    long = blocks.filter(F.col("seq") >= chunk).select(*keys).distinct()
+
+    usual = joined_lines(lines.join(long, keys, "left_anti"), keys, "text", "seq")
+    pieces = lines.join(long, keys, "left_semi").withColumn("_chunk", F.floor(F.col("seq") / chunk))
+    pieces = joined_lines(pieces, [*keys, "_chunk"], "text", "seq")
+    whole = joined_lines(pieces, keys, "text", "_chunk")
+    return usual.unionByName(whole).select(*keys, F.coalesce("text", F.lit("")).alias("text"))
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
