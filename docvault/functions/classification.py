@@ -88,13 +88,14 @@ def stored_bytes(classification: Column, compact: Column) -> Column:
     Against the compact text it adds one byte per separator, and it writes every character
     outside printable ASCII as six bytes, or twelve above U+FFFF.
     """
-    escaped = F.length(F.regexp_replace(compact, r"[\x00-\x7E]", ""))
-    astral = F.length(F.regexp_replace(compact, r"[\x{0}-\x{FFFF}]", ""))
+    ascii_only = (F.octet_length(compact) == F.length(compact)) & ~compact.contains("\x7f")
+    wide = F.when(ascii_only, F.lit("")).otherwise(F.regexp_replace(compact, r"[\x00-\x7E]+", ""))
+    astral = F.length(F.regexp_replace(wide, r"[\x{0}-\x{FFFF}]+", ""))
     commas = sum(
         (F.greatest(F.size(classification[c]) - 1, F.lit(0)) for c in CATEGORIES), F.lit(15)
     )
     item_separators = 3 * F.size(classification["other_pii"])
-    return F.length(compact) + 5 * escaped + 6 * astral + commas + item_separators
+    return F.length(compact) + 5 * F.length(wide) + 6 * astral + commas + item_separators
 
 
 def guard_size(classification: Column, compact: Column, max_bytes: int) -> Column:

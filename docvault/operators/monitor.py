@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docvault.functions.json_text import as_string, child, strict_json
+from docvault.operators.once import compute_once
 
 # The alarm windows and quantile.
 ERROR_WINDOW = "60 seconds"
@@ -16,7 +17,7 @@ SLOW_QUANTILE = 0.99
 def parse_logs(lines: DataFrame, line: str = "line") -> DataFrame:
     """JSON log lines as (level, timestamp, message, ctx); lines that are not JSON give nulls."""
     carried = [c for c in lines.columns if c != line]
-    parsed = lines.withColumn("ctx", strict_json(F.col(line)))
+    parsed = compute_once(lines, {"ctx": strict_json(F.col(line))})
     ctx = F.col("ctx")
     return parsed.select(
         *carried,

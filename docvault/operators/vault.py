@@ -11,10 +11,13 @@ from docvault.functions.classification import (
     classification_to_json,
     guard_size,
     item_total,
+    json_to_classification,
     pii_counts,
 )
+from docvault.functions.json_text import strict_json
 from docvault.functions.keys import audit_key, document_id, output_key
 from docvault.functions.timing import duration_ms, expires_at, moment, processed_at
+from docvault.operators.once import compute_once
 from docvault.schemas import COUNTS, VAULT
 from docvault.settings import JobSettings
 
@@ -31,7 +34,7 @@ def vault_rows(classified: DataFrame, settings: JobSettings, as_of: datetime | s
     now = moment(as_of)
     doc_id = document_id(F.col("source_key"))
     found = F.col("classification")
-    compact = classified.withColumn("_json", classification_to_json(found))
+    compact = compute_once(classified, {"_json": classification_to_json(found)})
     return compact.select(
         doc_id.alias("document_id"),
         F.col("version").cast("bigint").alias("version"),
@@ -77,6 +80,13 @@ def read_counts(pii_counts_json: Column) -> Column:
     return F.from_json(pii_counts_json, COUNTS)
 
 
+def with_classification(records: DataFrame) -> DataFrame:
+    """Records with the classification read back from its stored JSON."""
+    parsed = compute_once(records, {"_stored": strict_json(F.col("pii_data"))})
+    found = json_to_classification(F.col("_stored"))
+    return compute_once(parsed, {"classification": found}).drop("_stored")
+
+
 def output_rows(written: DataFrame) -> DataFrame:
     """Count-only summaries of records that were written."""
     return written.select(

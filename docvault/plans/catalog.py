@@ -25,8 +25,9 @@ from docvault.functions.masking import mask_ssn
 from docvault.functions.text import USER_PREFIX, build_prompt, truncate_text
 from docvault.functions.timing import version_ms
 from docvault.operators import classify, delivery, ingest, lookup, monitor, privacy, reports, vault
+from docvault.operators.once import compute_once
 from docvault.plans import inputs
-from docvault.plans.process import failures_of, process_messages, records_of
+from docvault.plans.process import process_messages, records_of
 from docvault.schemas import CATEGORIES, LIST_CATEGORIES
 from docvault.session import configure, work_dir
 from docvault.settings import JobSettings
@@ -139,10 +140,13 @@ def all_event_records(spark, sf_dir):
 
 
 def failures(spark, sf_dir):
-    outcomes, rejected = process_messages(
-        inputs.messages(spark, sf_dir), inputs.documents(spark, sf_dir), SETTINGS
-    )
-    return failures_of(outcomes, rejected)
+    """Failures before classification, which looks at keys only and never reads a text."""
+    parsed = ingest.parse_notifications(inputs.messages(spark, sf_dir))
+    valid, rejected = ingest.split_valid(ingest.validate_inputs(parsed, SETTINGS))
+    keys = inputs.documents(spark, sf_dir).select(*lookup.KEY, F.lit("").alias("text"))
+    requests = valid.select("message_id", *lookup.KEY, "document_id", "version")
+    missing = lookup.lookup_documents(requests, keys).filter("error IS NOT NULL")
+    return delivery.collect_failures(rejected, missing.withColumn("stage", F.lit("extract")))
 
 
 def failure_list(spark, sf_dir):
@@ -344,11 +348,10 @@ def unmasked_rows(spark, sf_dir):
 
 def leak_scan(spark, sf_dir):
     """Summaries, audit rows, and log lines that wrongly carry the text of labelled documents."""
-    found = rule_classified(spark, sf_dir)
-    values = reports.explode_pii(
-        found.withColumn("document_id", document_id(F.col("source_key"))), ["document_id"]
-    )
-    records = document_records(spark, sf_dir)
+    place = work_dir(spark, "records")
+    document_records(spark, sf_dir).write.parquet(place)
+    records = spark.read.parquet(place)
+    values = reports.explode_pii(vault.with_classification(records), ["document_id"])
     labelled = inputs.table(spark, sf_dir, "labels").select("doc_id").distinct()
     logs = inputs.documents(spark, sf_dir).join(labelled, "doc_id", "left_semi").select(
         document_id(F.col("source_key")).alias("document_id"), F.col("text").alias("message")
@@ -378,7 +381,7 @@ def size_guarded(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir).select(
         "doc_id", make_classification(lists, no_items(), F.lit(False)).alias("found")
     )
-    docs = docs.withColumn("json", classification_to_json(F.col("found")))
+    docs = compute_once(docs, {"json": classification_to_json(F.col("found"))})
     return docs.select(
         "doc_id",
         stored_bytes(F.col("found"), F.col("json")).cast("bigint").alias("stored_bytes"),
@@ -420,21 +423,31 @@ def audit_records(spark, sf_dir):
 def versioned(spark, sf_dir) -> DataFrame:
     """Up to four versions per document: all, then labelled ones again, some within the hour."""
     first = rule_classified(spark, sf_dir).withColumn("version", version_ms(F.col("received_at")))
-    labels = inputs.table(spark, sf_dir, "labels")
+    labels = inputs.table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.lit(True).alias("labelled"),
+        F.bool_or(F.col("toxic") == 0).alias("harmless"),
+        F.bool_or(F.col("quality") == 1).alias("good"),
+    )
 
-    def later(docs, milliseconds, found=None):
-        again = first.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").withColumn(
-            "version", F.col("version") + milliseconds
+    def later(condition, milliseconds, cleared):
+        return F.when(
+            condition, F.struct(F.lit(milliseconds).alias("after"), F.lit(cleared).alias("cleared"))
         )
-        return again if found is None else again.withColumn("classification", found)
 
-    empty = inputs.empty_classification()
-    everything = (
-        first.unionByName(later(labels, 1, empty))
-        .unionByName(later(labels.filter("toxic = 0"), DAY_S * 1000))
-        .unionByName(later(labels.filter("quality = 1"), 2 * DAY_S * 1000, empty))
+    runs = F.array_compact(
+        F.array(
+            later(F.lit(True), 0, False),
+            later(F.col("labelled"), 1, True),
+            later(F.col("harmless"), DAY_S * 1000, False),
+            later(F.col("good"), 2 * DAY_S * 1000, True),
+        )
+    )
+    rows = first.join(labels, "doc_id", "left").select(
+        "source_bucket", "source_key", "version", "classification", F.inline(runs)
     )
-    return vault.vault_rows(everything, SETTINGS, inputs.AS_OF)
+    found = F.when(F.col("cleared"), inputs.empty_classification()).otherwise(F.col("classification"))
+    again = rows.withColumns({"version": F.col("version") + F.col("after"), "classification": found})
+    return vault.vault_rows(again, SETTINGS, inputs.AS_OF)
 
 
 def version_history(spark, sf_dir):

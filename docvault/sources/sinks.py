@@ -49,9 +49,10 @@ def full_schema(name: str) -> T.StructType:
 
 def create_tables(spark: SparkSession, tables: Tables) -> None:
     """Make the folders of tables that do not exist yet."""
+    nothing = spark.range(0, 0, 1, 1)
     for name in LAYOUT:
-        empty = spark.createDataFrame([], full_schema(name))
-        empty.write.mode("ignore").parquet(tables.path(name))
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in full_schema(name)]
+        nothing.select(*columns).write.mode("ignore").parquet(tables.path(name))
 
 
 def read_table(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
