@@ -89,22 +89,22 @@ def with_classification(records: DataFrame) -> DataFrame:
 
 def output_rows(written: DataFrame) -> DataFrame:
     """Count-only summaries of records that were written."""
-    return written.select(
-        output_key(F.col("source_key")).alias("output_key"),
-        *IDENTITY,
-        read_counts(F.col("pii_counts")).alias("pii_counts"),
+    counted = compute_once(written, {"_counts": read_counts(F.col("pii_counts"))})
+    return counted.select(
+        output_key(F.col("source_key")).alias("output_key"), *IDENTITY, F.col("_counts").alias("pii_counts")
     )
 
 
 def audit_rows(written: DataFrame) -> DataFrame:
     """Audit records of records that were written: counts and hashes, no values."""
     day = F.to_date(F.substring("processed_at", 1, 10))
-    return written.select(
+    counted = compute_once(written, {"_counts": read_counts(F.col("pii_counts"))})
+    return counted.select(
         audit_key(day, F.col("document_id"), F.col("version")).alias("audit_key"),
         *IDENTITY,
         "source_key_hash",
         "source_bucket",
-        read_counts(F.col("pii_counts")).alias("pii_counts"),
+        F.col("_counts").alias("pii_counts"),
         "expires_at",
         "processed_at",
         "duration_ms",
@@ -128,34 +128,37 @@ def version_history(records: DataFrame) -> DataFrame:
     per millisecond, so such a group is bounded whatever the share of the document in the
     table; the last record of every hour then carries the running totals to the next one.
     """
-    slot = F.floor(F.col("version") / F.lit(HOUR_MS))
-    items = item_total(read_counts(F.col("pii_counts")))
-    base = records.select(*IDENTITY, items.alias("items"), slot.alias("_slot"))
+    counted = compute_once(
+        records.select(*IDENTITY, "pii_counts"), {"_counts": read_counts(F.col("pii_counts"))}
+    )
+    slot = F.expr(f"version div {HOUR_MS}")
+    base = counted.select(*IDENTITY, item_total(F.col("_counts")).alias("items"), slot.alias("_slot"))
+    # The same filter and columns on both sides of the join let them share one exchange.
+    base = base.filter("document_id IS NOT NULL AND _slot IS NOT NULL")
     in_slot = Window.partitionBy("document_id", "_slot").orderBy("version")
-    state = F.struct("version", "items")
     numbered = base.select(
         "*",
         F.row_number().over(in_slot).alias("_n"),
-        F.lag(state).over(in_slot).alias("_before"),
+        F.lag("version").over(in_slot).alias("_version_before"),
+        F.lag("items").over(in_slot).alias("_items_before"),
         F.lead("version").over(in_slot).isNull().alias("_last"),
     )
-    slots = numbered.filter("_last").select("document_id", "_slot", "_n", state.alias("_state"))
     by_slot = Window.partitionBy("document_id").orderBy("_slot")
     earlier = by_slot.rowsBetween(Window.unboundedPreceding, -1)
-    carried = slots.select(
+    carried = numbered.filter("_last").select(
         "document_id",
         "_slot",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
-        F.lag("_state").over(by_slot).alias("_carry"),
+        F.lag("version").over(by_slot).alias("_version_carried"),
+        F.lag("items").over(by_slot).alias("_items_carried"),
     )
-    previous = F.coalesce("_before", "_carry")
     joined = numbered.join(carried, ["document_id", "_slot"])
     return joined.select(
         *IDENTITY,
         (F.col("_offset") + F.col("_n")).alias("version_no"),
         "items",
-        previous["version"].alias("previous_version"),
-        (F.col("items") - previous["items"]).alias("items_change"),
+        F.coalesce("_version_before", "_version_carried").alias("previous_version"),
+        (F.col("items") - F.coalesce("_items_before", "_items_carried")).alias("items_change"),
     )
 
 
