@@ -38,10 +38,12 @@ def scan_for_leaks(values: DataFrame, outward: DataFrame, few: int = 1000) -> Da
     equality, so no group is ever paired with itself and no array outgrows its bound.
     """
     distinct = (
-        values.filter("value != ''")
+        values.filter("document_id IS NOT NULL AND value != ''")
         .select("document_id", F.explode(written_forms(F.col("value"))).alias("value"))
+        .filter("value IS NOT NULL")
         .distinct()
     )
+    outward = outward.filter("document_id IS NOT NULL AND text IS NOT NULL")
     sizes = distinct.groupBy("document_id").agg(F.count(F.lit(1)).alias("n"))
     small = distinct.join(sizes.filter(F.col("n") <= few), "document_id", "left_semi")
     large = distinct.join(sizes.filter(F.col("n") > few), "document_id", "left_semi")
