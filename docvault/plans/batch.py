@@ -16,7 +16,7 @@ from docvault.operators.vault import (
     output_rows,
     version_date,
 )
-from docvault.plans.process import failed, process_messages, records_of
+from docvault.plans.process import asks_for_few, failed, process_messages, records_of
 from docvault.schemas import FAILURE
 from docvault.settings import JobSettings
 from docvault.sources.sinks import Tables, create_tables, read_table, write_batch
@@ -39,7 +39,8 @@ def process_batch(
     """
     spark = messages.sparkSession
     create_tables(spark, tables)
-    outcomes, rejected = process_messages(messages, documents, settings, model)
+    few = not callable(documents) and asks_for_few(messages)
+    outcomes, rejected = process_messages(messages, documents, settings, model, few_keys=few)
     early = failure_rows(rejected, "validate")
     write_batch(outcomes, tables, "outcomes", batch_id)
 

@@ -221,10 +221,13 @@ def classification_prompts(spark, sf_dir):
 
 
 def nonblank_text(spark, sf_dir):
-    """Every eleventh text replaced by one of several kinds of white space."""
+    """Texts of two sources replaced by two kinds of white space."""
     docs = inputs.documents(spark, sf_dir)
-    spaces = F.when(F.col("doc_id") % 2 == 0, F.lit("  \u0085")).otherwise(F.lit(" \t\n\x1c\x1f"))
-    text = F.when(F.col("doc_id") % 11 == 0, spaces).otherwise(F.col("text"))
+    text = (
+        F.when(F.col("source") == "src3", F.lit("\u00a0\u2003\u0085"))
+        .when(F.col("source") == "src7", F.lit(" \t\n\x1c\x1f"))
+        .otherwise(F.col("text"))
+    )
     return lookup.drop_blank_text(docs.select("doc_id", text.alias("text")))
 
 
@@ -339,7 +342,7 @@ def masked_ssns(spark, sf_dir):
 def unmasked_rows(spark, sf_dir):
     """Orders with a number in the clear, beside a masked one."""
     raw = inputs.ssns(spark, sf_dir)
-    shown = F.when(F.col("o_orderkey") % 3 == 0, F.col("raw")).otherwise(mask_ssn(F.col("raw")))
+    shown = F.when(F.col("o_orderstatus") == "F", F.col("raw")).otherwise(mask_ssn(F.col("raw")))
     lists = {c: no_strings() for c in LIST_CATEGORIES} | {"ssns": F.array(mask_ssn(F.col("raw")), shown)}
     found = make_classification(lists, no_items(), F.lit(False))
     rows = raw.select("o_orderkey", found.alias("classification"))

@@ -160,7 +160,7 @@ def ssns(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderkey") % 2 == 1, hyphenated)
         .otherwise(digits)
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", raw.alias("raw"))
 
 
 def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,9 @@ from docvault.settings import JobSettings
 
 Classifier = Callable[[DataFrame], DataFrame]
 
+# Keys have at most 1,024 characters, so this many stay well below 100 MB in memory.
+MAX_FEW_KEYS = 20_000
+
 
 def rules_classifier(settings: JobSettings) -> Classifier:
     def classify(texts: DataFrame) -> DataFrame:
@@ -76,6 +79,7 @@ def process_messages(
     settings: JobSettings,
     model: Callable[[str], str] | None = None,
     explode_records: bool = False,
+    few_keys: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(outcomes, rejected): what became of each valid message, and the invalid ones.
 
@@ -89,18 +93,26 @@ def process_messages(
     result is exchanged, never the text. A model is called once per requested document: the
     distinct keys select the texts first. Either way a document announced a million times is
     classified once.
+
+    few_keys says that the messages are known to ask for at most MAX_FEW_KEYS documents. Then
+    the keys are broadcast and select the texts before the rules too, still without an
+    exchange of texts.
     """
     parsed = parse_notifications(messages, explode_records)
     valid, rejected = split_valid(validate_inputs(parsed, settings))
     requests = valid.select("message_id", *KEY, "document_id", "version")
 
-    if model is None and isinstance(documents, DataFrame):
-        results = classify_documents(documents, rules_classifier(settings))
+    keys = requested_keys(requests)
+    if callable(documents):
+        texts = documents(keys)
+    elif few_keys:
+        texts = documents.join(F.broadcast(keys), KEY, "left_semi")
+    elif model:
+        texts = documents.join(keys, KEY, "left_semi")
     else:
-        keys = requested_keys(requests)
-        texts = documents(keys) if callable(documents) else documents.join(keys, KEY, "left_semi")
-        classify = rules_classifier(settings) if model is None else model_classifier(model, settings)
-        results = classify_documents(texts, classify)
+        texts = documents
+    classify = model_classifier(model, settings) if model else rules_classifier(settings)
+    results = classify_documents(texts, classify)
 
     joined = requests.join(results.withColumn("_found", F.lit(True)), KEY, "left")
     missing = F.col("_found").isNull()
@@ -115,6 +127,14 @@ def process_messages(
     return outcomes.select(*OUTCOME.names), rejected
 
 
+def asks_for_few(messages: DataFrame) -> bool:
+    """Whether there are at most MAX_FEW_KEYS messages, so no more documents than that.
+
+    take() stops at the first partitions that hold enough, and brings back constants only.
+    """
+    return len(messages.select(F.lit(1)).take(MAX_FEW_KEYS + 1)) <= MAX_FEW_KEYS
+
+
 def stored(outcomes: DataFrame) -> DataFrame:
     """Outcomes that become records: neither failed nor blank."""
     return outcomes.filter("error IS NULL AND NOT blank")

@@ -23,14 +23,18 @@ def normalize_messages(messages: DataFrame, default_received_at: datetime | str
     )
 
 
+def open_messages(reader, path: str, deliveries: bool) -> DataFrame:
+    """Raw messages from JSON lines, or from delivered batches of the form {"Records": [...]}."""
+    if deliveries:
+        return reader.schema(DELIVERY).option("multiLine", "true").json(path).selectExpr("inline(Records)")
+    return reader.schema(MESSAGE).json(path)
+
+
 def read_notifications(
     spark: SparkSession, path: str, default_received_at: datetime | str, deliveries: bool = False
 ) -> DataFrame:
-    """Messages from JSON lines, or from delivered batches of the form {"Records": [...]}."""
-    if not deliveries:
-        return normalize_messages(spark.read.schema(MESSAGE).json(path), default_received_at)
-    batches = spark.read.schema(DELIVERY).json(path, multiLine=True)
-    return normalize_messages(batches.selectExpr("inline(Records)"), default_received_at)
+    """Messages of a folder; a line that cannot be read becomes a message without a body."""
+    return normalize_messages(open_messages(spark.read, path, deliveries), default_received_at)
 
 
 def stream_notifications(
@@ -38,10 +42,9 @@ def stream_notifications(
     path: str,
     max_files_per_trigger: int = 1000,
     default_received_at: datetime | str | None = None,
+    deliveries: bool = False,
 ) -> DataFrame:
-    """The same messages as a stream over a directory of JSON lines."""
-    stream = (
-        spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", max_files_per_trigger)
-    ).json(path)
+    """The same messages as a stream over a folder."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     default = F.current_timestamp() if default_received_at is None else default_received_at
-    return normalize_messages(stream, default)
+    return normalize_messages(open_messages(reader, path, deliveries), default)

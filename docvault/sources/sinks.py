@@ -33,6 +33,16 @@ LAYOUT = {
     "audit": (AUDIT, ["audit_date", "batch_id"]),
     "failures": (FAILURE, ["batch_id"]),
 }
+# The column that spreads rows over files, and the one they are sorted by inside a file, so
+# that reads by key can skip parts of it.
+SPREAD = {
+    "outcomes": "message_id",
+    "vault": "version_date",
+    "output": "document_id",
+    "audit": "audit_date",
+    "failures": "message_id",
+}
+SORTED = {"vault": "source_key", "output": "output_key"}
 PARTITION_TYPES = {
     "batch_id": T.LongType(),
     "version_date": T.DateType(),
@@ -62,16 +72,17 @@ def read_table(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
 def write_batch(rows: DataFrame, tables: Tables, name: str, batch_id: int) -> None:
     """Write one batch of a table, replacing an earlier write of the same batch.
 
-    The rebalance step merges small pieces and splits hot days, so a write leaves files of
-    even size whatever the keys look like.
+    The rebalance step merges small pieces and splits hot ones, so a write leaves files of
+    even size whatever the keys look like. It goes by a column, not round robin: a task that
+    is run again sends its rows to the same places.
     """
     fields, partitions = LAYOUT[name]
     batch = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    batch = batch.select(*fields.names, *partitions)
-    days = [p for p in partitions if p != "batch_id"]
+    batch = batch.select(*fields.names, *partitions).hint("rebalance", SPREAD[name])
+    if name in SORTED:
+        batch = batch.sortWithinPartitions(*partitions, SORTED[name])
     (
-        batch.hint("rebalance", *days)
-        .write.mode("overwrite")
+        batch.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(tables.path(name))

@@ -3,8 +3,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from docvault.operators.monitor import error_alarm, parse_logs
 from docvault.plans.batch import process_batch
+from docvault.plans.process import MAX_FEW_KEYS, asks_for_few, process_messages
 from docvault.settings import JobSettings
+from docvault.sources.logs import read_logs
 from docvault.sources.notifications import stream_notifications
 from docvault.sources.sinks import Tables, read_table, write_json
 from docvault.streaming.runner import dead_letter_table, run_stream
@@ -139,3 +142,25 @@ def test_summaries_as_json(spark, tmp_path, documents):
     write_json(read_table(spark, tables, "output"), str(tmp_path / "json"), ["batch_id"])
     rows = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "json" / "batch_id=0")).collect()]
     assert {tuple(sorted(r)) for r in rows} == {("document_id", "output_key", "pii_counts", "version")}
+
+
+def test_few_and_many_keys_agree(spark, documents):
+    rows = batch(spark, FIRST)
+    got = []
+    for few in (True, False):
+        outcomes, _ = process_messages(rows, documents, SETTINGS, few_keys=few)
+        got.append(sorted(map(str, outcomes.collect())))
+    assert got[0] == got[1] and len(got[0]) == 5
+    assert asks_for_few(rows) and not asks_for_few(spark.range(MAX_FEW_KEYS + 1))
+
+
+def test_logs_to_alarms(spark, tmp_path):
+    lines = [
+        {"level": level, "timestamp": f"2024-01-01T00:0{minute}:30.5+00:00", "message": "x", "duration_ms": 1}
+        for minute, level in enumerate(["ERROR", "INFO", "ERROR"])
+    ]
+    (tmp_path / "log.txt").write_text("\n".join(map(json.dumps, lines)) + "\nnot json\n")
+    logs = parse_logs(read_logs(spark, str(tmp_path / "log.txt")))
+    assert logs.filter("level IS NULL").count() == 1
+    alarms = error_alarm(logs).collect()
+    assert sorted(r["window_start"].minute for r in alarms) == [0, 2]
