@@ -74,31 +74,23 @@ def parse_notifications(messages: DataFrame, explode_records: bool = False) -> D
         parsed,
         {
             "_is_object": is_object(whole),
-            "_is_array": is_array(whole),
-            "_is_string": is_string(whole),
             "_records": child(whole, "$.Records"),
             "_direct_bucket": child(whole, "$.bucket"),
             "_direct_key": child(whole, "$.key"),
         },
     )
     event = F.col("_is_object") & is_truthy(records)
-    parsed = compute_once(
-        parsed, {"_event": event, "_events": F.when(is_array(records), as_items(records))}
-    )
+    events = F.when(is_array(records), as_items(records))
     if explode_records:
-        parsed = parsed.select("*", F.explode_outer("_events").alias("_first"))
+        parsed = compute_once(parsed, {"_event": event})
+        parsed = parsed.select("*", F.explode_outer(events).alias("_first"))
     else:
-        parsed = parsed.withColumn("_first", F.get("_events", F.lit(0)))
-    parsed = compute_once(parsed, {"_s3": member_or_empty(first, "s3")})
-    parsed = compute_once(
-        parsed,
-        {
-            "_bucket": member_or_empty(F.col("_s3"), "bucket"),
-            "_object": member_or_empty(F.col("_s3"), "object"),
-        },
-    )
-    name, key = child(F.col("_bucket"), "$.name"), child(F.col("_object"), "$.key")
-    parsed = compute_once(parsed, {"_name": name, "_key": key})
+        parsed = compute_once(parsed, {"_event": event, "_first": F.get(events, F.lit(0))})
+    s3 = member_or_empty(first, "s3")
+    bucket, stored = member_or_empty(s3, "bucket"), member_or_empty(s3, "object")
+    parts = {"_s3": s3, "_bucket": bucket, "_object": stored}
+    parts |= {"_name": child(bucket, "$.name"), "_key": child(stored, "$.key")}
+    parsed = compute_once(parsed, parts)
 
     event_ok = is_object(first) & is_object(F.col("_s3"))
     event_ok = event_ok & is_object(F.col("_bucket")) & is_object(F.col("_object"))
