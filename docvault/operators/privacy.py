@@ -29,12 +29,14 @@ def written_forms(value: Column) -> Column:
     return F.array_distinct(F.array(value, F.substring(quoted, F.lit(7), F.length(quoted) - 8)))
 
 
-def scan_for_leaks(values: DataFrame, outward: DataFrame, few: int = 1000) -> DataFrame:
+def scan_for_leaks(
+    values: DataFrame, outward: DataFrame, few: int = 1000, few_bytes: int = 1_000_000
+) -> DataFrame:
     """Values of a document that appear in an outward record of the same document.
 
     values has (document_id, value), outward what outward_texts gives. For documents with at
-    most `few` distinct values these travel as one array and are tested inside the row. For
-    the others every piece of text of a length that occurs among the values is matched by
+    most `few` distinct values of `few_bytes` together, these travel as one array and are
+    tested inside the row. For the others every piece of text of a length that occurs among the values is matched by
     equality, so no group is ever paired with itself and no array outgrows its bound.
     """
     distinct = (
@@ -44,9 +46,12 @@ def scan_for_leaks(values: DataFrame, outward: DataFrame, few: int = 1000) -> Da
         .distinct()
     )
     outward = outward.filter("document_id IS NOT NULL AND text IS NOT NULL")
-    sizes = distinct.groupBy("document_id").agg(F.count(F.lit(1)).alias("n"))
-    small = distinct.join(sizes.filter(F.col("n") <= few), "document_id", "left_semi")
-    large = distinct.join(sizes.filter(F.col("n") > few), "document_id", "left_semi")
+    sizes = distinct.groupBy("document_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("bytes")
+    )
+    fits = (F.col("n") <= few) & (F.col("bytes") <= few_bytes)
+    small = distinct.join(sizes.filter(fits), "document_id", "left_semi")
+    large = distinct.join(sizes.filter(~fits), "document_id", "left_semi")
     found = ["document_id", "record_kind", "record_id", "value"]
 
     lists = small.groupBy("document_id").agg(F.collect_list("value").alias("_values"))

@@ -134,8 +134,8 @@ def test_rollup_totals(spark):
     assert len(got) == 3 * (len(CATEGORIES) + 1)
 
 
-@pytest.mark.parametrize("few", [0, 3, 1000])
-def test_leaks_by_either_way(spark, few):
+@pytest.mark.parametrize("few, few_bytes", [(0, 100), (3, 1000), (1000, 15), (1000, 1000)])
+def test_leaks_by_either_way(spark, few, few_bytes):
     rng = random.Random(5)
     values = [(f"d{rng.randint(0, 2)}", v) for v in ["Jane", "jane@x.org", "555", 'a"b', "é😀", "", "Ja", "10.0.0.1", "zz"]]
     texts = [
@@ -146,6 +146,7 @@ def test_leaks_by_either_way(spark, few):
         spark.createDataFrame(values, "document_id string, value string"),
         spark.createDataFrame(texts, "document_id string, record_kind string, record_id string, text string"),
         few,
+        few_bytes,
     )
     want = set()
     for doc, value in values:
