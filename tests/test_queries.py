@@ -5,8 +5,9 @@ from compare import connect, difference
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
+from docvault.plans import catalog, oracles
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
