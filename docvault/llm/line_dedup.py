@@ -54,12 +54,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
         ),
         "lines",
     )
-    common = (
+    # Stored, so that both sides of the join are exchanged for it alone and Spark can split them.
+    common = stored(
         hashes.groupBy("h1", "h2", "doc")
         .agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2")
         .agg(F.count("one").alias("n_docs"), F.max("doc").alias("keeper"))
         .where(F.col("n_docs") >= min_docs)
+        .select("h1", "h2", "keeper"),
+        "common-lines",
     )
     dropped = (
         hashes.join(common, ["h1", "h2"])
