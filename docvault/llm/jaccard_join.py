@@ -63,10 +63,10 @@ def ordered_prefix(tokens: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, n
 
 
 def further_prefix(tokens: np.ndarray, salt: int) -> np.ndarray:
-    """The prefix under a hash order, as 32-bit numbers, for a filter that may err on one side only."""
+    """The prefix under a hash order, by the keys of that order."""
     keys = mixed(tokens, salt)
     n = prefix_size(len(tokens))
-    return (np.partition(keys, n - 1)[:n] if n < len(keys) else keys).astype(np.uint32).view(np.int32)
+    return np.partition(keys, n - 1)[:n] if n < len(keys) else keys
 
 
 def surveyed(docs: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
 
 
 def wanted_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
-    """A bit for the hash of each id; the bits grow with the ids up to a fixed size.
+    """A bit for the hash of each doc_id; the bits grow with the ids up to a fixed size.
 
     Texts whose bit is set are read again. Some others pass, the more so beyond the fixed
     size; they cost time and change nothing.
@@ -198,7 +198,7 @@ def wanted_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def token_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """`sid, n, tokens, p2, p3` of the documents with these ids (and perhaps some others)."""
+    """`sid, n, tokens` of the documents in `ids(sid, doc_id)`; texts are not exchanged."""
     held, bits = wanted_filter(ids)
     shared = docs.sparkSession.sparkContext.broadcast(held)  # MOST_FILTER_BITS at most, 16 MB
     place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
@@ -209,41 +209,68 @@ def token_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
             at = batch.column("place").to_numpy()
             hit = (words_held[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
             texts = batch.filter(pa.array(hit.astype(bool)))
-            found: dict[int, np.ndarray] = {}
-            for text in column_bytes(texts, "text"):
-                own = token_set(text)
-                if len(own):
-                    found[set_id(own)] = own
-            yield pa.record_batch(
-                [
-                    pa.array(list(found), pa.int64()),
-                    pa.array([len(s) for s in found.values()], pa.int32()),
-                    pa.array([s.view(np.int64) for s in found.values()], pa.list_(pa.int64())),
-                    *[pa.array([further_prefix(s, k) for s in found.values()], pa.list_(pa.int32())) for k in ORDERS],
-                ],
-                names=["sid", "n", "tokens", "p2", "p3"],
-            )
-
-    schema = "sid bigint, n int, tokens array<bigint>, p2 array<int>, p3 array<int>"
-    return docs.withColumn("place", place).mapInArrow(run, schema)
+            sets = [token_set(t) for t in column_bytes(texts, "text")]
+            arrays = [
+                texts.column("doc_id"),
+                pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
+                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+            ]
+            yield pa.record_batch(arrays, names=["doc_id", "sid", "tokens"])
+
+    found = docs.withColumn("place", place).mapInArrow(run, "doc_id bigint, sid bigint, tokens array<bigint>")
+    return found.join(ids, ["doc_id", "sid"]).select("sid", "tokens")
 
 
 def sizes_allow(a: Column, b: Column) -> Column:
     return (100 * F.least(a, b)) >= PERCENT * F.greatest(a, b)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs `a, b` of sets that link.
+def enough(common: Column, a: Column, b: Column) -> Column:
+    """Whether so many common tokens make sets of these sizes link."""
+    return common * (100 + PERCENT) >= PERCENT * (a + b)
+
+
+def possible(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Pairs `a, b` that may link by their sizes and by the tokens that both have in their prefix.
+
+    The set whose prefix ends first in the order shares with the other one what both prefixes
+    share and at most all of its other tokens. `prefixes` has `sid, n, shared`: the tokens of
+    each prefix that any other set has in its own.
+    """
+    for side in ("a", "b"):
+        pairs = pairs.join(prefixes.select(*[F.col(c).alias(f"{side}_{c}" if c != "sid" else side) for c in ("sid", "n", "shared")]), side)
+    a, b = F.col("a_n"), F.col("b_n")
+    rest = F.expr(f"({PERCENT} * greatest(a_n, b_n) + 99) div 100 - 1")
+    common = F.size(F.array_intersect("a_shared", "b_shared"))
+    return pairs.where(sizes_allow(a, b)).where(enough(common + rest, a, b)).select("a", "b")
+
+
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets link: they must share prefix tokens under each further order, too."""
+    for salt in ORDERS:
+        if not len(np.intersect1d(further_prefix(a, salt), further_prefix(b, salt), assume_unique=True)):
+            return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common * (100 + PERCENT) >= PERCENT * (len(a) + len(b))
+
 
-    A pair must share prefix tokens under each of the further orders, too, before the sets
-    are intersected.
+def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs `a, b` of sets that link; the sets are made anew from the texts of their members.
+
+    A set travels once for each pair, to its partner.
     """
-    left = sets.select(F.col("sid").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("n", "tokens", "p2", "p3")])
-    right = sets.select(F.col("sid").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("n", "tokens", "p2", "p3")])
-    both = pairs.join(left, "a").join(right, "b").where(sizes_allow(F.col("a_n"), F.col("b_n")))
-    both = both.where(F.arrays_overlap("a_p2", "b_p2") & F.arrays_overlap("a_p3", "b_p3"))
-    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return both.where(common * (100 + PERCENT) >= PERCENT * (F.col("a_n") + F.col("b_n"))).select("a", "b")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    sets = stored(token_sets(docs, members.join(wanted, "sid").select("sid", "doc_id")), "sets")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c) for c in ("a_tokens", "b_tokens"))
+            sides = [[x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in c] for c in columns]
+            yield batch.select(["a", "b"]).filter(pa.array([linked(x, y) for x, y in zip(*sides, strict=True)], pa.bool_()))
+
+    right = sets.select(F.col("sid").alias("b"), F.col("tokens").alias("b_tokens"))
+    left = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("a_tokens"))
+    return pairs.join(right, "b").join(left, "a").mapInArrow(run, "a bigint, b bigint")
 
 
 def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
@@ -257,15 +284,11 @@ def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
     level = levels(summed_sketch(survey))
     shared = stored(shared_tokens(prefix_tokens(docs, level)), "shared-tokens")
     members = survey.where("sid IS NOT NULL").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"))
-    members = members.join(shared.select("sid").distinct(), "sid", "left_semi")
-    members = stored(members.select("sid", F.col("n").cast("int").alias("n"), "doc_id"), "members")
-    # A set that several tasks have found is one row.
-    sets = token_sets(docs, members.select("doc_id"))
-    sets = sets.join(members.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
-    sets = stored(sets, "sets")
-    sizes = members.select("sid", "n")
+    by_set = shared.groupBy("sid").agg(F.collect_set("token").alias("shared"))  # at most its own prefix
+    members = stored(members.join(by_set, "sid"), "members")
     stars = shared.where("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
-    edges = stored(verified(stars, sets), "star-links")
+    stars = stored(possible(stars, members), "stars")
+    edges = stored(verified(stars, docs, members), "star-links")
     found = stored(components(edges), "star-components")
     labelled = (
         shared.select("token", "sid")
@@ -278,14 +301,17 @@ def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
         .where("low < high")
         .select("token")
     )
-    rest = stored(labelled.join(open_tokens, "token", "left_semi").join(sizes, "sid"), "open-tokens")
+    rest = labelled.join(open_tokens, "token", "left_semi").distinct()
+    rest = stored(rest.join(members.select("sid", "n"), "sid"), "open-tokens")
     one = rest.select("token", F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
     two = rest.select("token", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
     pairs = one.join(two, "token").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
     pairs = pairs.where(sizes_allow(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = verified(pairs.join(tried, ["a", "b"], "left_anti"), sets)
-    merged = components(edges.unionAll(more))
+    pairs = stored(possible(pairs.join(tried, ["a", "b"], "left_anti"), members), "other-pairs")
+    if pairs.isEmpty():
+        return found.select(F.col("node").alias("sid"), "component")
+    merged = components(edges.unionAll(verified(pairs, docs, members)))
     return merged.select(F.col("node").alias("sid"), "component")
 
 

@@ -6,6 +6,8 @@ import numpy as np
 import xxhash
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
+#: An odd multiplier for each place in a shingle.
+PLACES = np.array([pow(0x9E3779B97F4A7C15, i, 2**64) for i in range(1, 33)], np.uint64)
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -30,15 +32,18 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 def shingles(codes: np.ndarray, k: int = 5) -> np.ndarray:
-    """Hashes of the k-word shingles in order; fewer than k words are one shingle, none are none."""
+    """Hashes of the k-word shingles in order; fewer than k words are one shingle, none are none.
+
+    A sum of the words' hashes, each times the number of its place, mixed once.
+    """
     n = len(codes)
     if n == 0:
         return codes
     size = min(n, k)
-    value = np.full(n - size + 1, size, np.uint64)
-    for i in range(size):
-        value = mixed(value * STEP + codes[i : n - size + 1 + i])
-    return value
+    value = codes[: n - size + 1] * PLACES[0]
+    for i in range(1, size):
+        value += codes[i : n - size + 1 + i] * PLACES[i % len(PLACES)]
+    return mixed(value, salt=k - size)
 
 
 def column_bytes(batch, name: str) -> list:
