@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from docvault.llm.frames import NO_ID, pick, stored
 
 #: Words remembered by one task, with their ids.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 500_000
 #: A length class is numbered in this many parts, so that a very common length is no single task.
 RANK_PARTS = 64
 
@@ -23,33 +25,48 @@ class WordIds(dict):
     """Text without blanks and line ends to its ids as little-endian bytes.
 
     The tokenizer drops white space between words, so the ids of a text are those of its words
-    one after the other. Full stops and commas at the end of a word that ends in a letter are
-    a token run of their own, which lets `word`, `word.` and `word,` share an entry.
+    one after the other. ASCII punctuation at the end of a word that ends in a letter is a run
+    of its own; a word of ASCII letters is one run, whose lower case goes to the tokenizer's
+    model directly. All other words go through the whole tokenizer.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model = tokenizer, tokenizer.model
 
-    def ids(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
+    def learn(self, found: set[str]) -> None:
+        """Make sure that all these words are known."""
+        new = found.difference(self)
+        if len(self) + len(new) > CACHED_WORDS:
             self.clear()
-        core = word.rstrip(".,")
-        if len(core) < len(word) and core and core[-1].isalpha():
-            value = self[core] + self[word[len(core) :]]
-        else:
-            value = self.ids(word)
-        self[word] = value
-        return value
+            new = found
+        whole = []
+        tails: dict[str, bytes] = {"": b""}
+        for word in new:
+            core = word.rstrip(punctuation)
+            if not (core.isascii() and core.isalpha()):
+                whole.append(word)
+                continue
+            tail = word[len(core) :]
+            if tail not in tails:
+                tails[tail] = as_bytes(self.tokenizer.encode(tail, add_special_tokens=False).ids)
+            self[word] = as_bytes([t.id for t in self.model.tokenize(core.lower())]) + tails[tail]
+        for word, encoding in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+            self[word] = as_bytes(encoding.ids)
+
+
+def as_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def text_words(text: str | None) -> list[str]:
+    """What stands between blanks and line ends."""
+    return [w for w in (text or "").replace("\n", " ").split(" ") if w]
 
 
-def text_ids(text: str | None, known: WordIds, end_id: int) -> bytes:
-    """All ids of a text and the end id, four bytes each."""
-    found = (text or "").replace("\n", " ").split(" ")
-    return b"".join(map(known.__getitem__, filter(None, found))) + end_id.to_bytes(4, "little")
+def text_ids(found: list[str], known: WordIds, end_id: int) -> bytes:
+    """All ids of a text's words and the end id, four bytes each."""
+    return b"".join(map(known.__getitem__, found)) + as_bytes([end_id])
 
 
 def token_pieces(
@@ -70,8 +87,10 @@ def token_pieces(
         known = WordIds(Tokenizer.from_file(tokenizer_path))
         for batch in batches:
             columns = [[], [], [], [], [], []]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = text_ids(text, known, end_id)
+            texts = [text_words(t) for t in batch.column("text").to_pylist()]
+            known.learn(set().union(*texts))
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                ids = text_ids(found, known, end_id)
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     row = (doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part))
