@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import struct
+import os
+import sys
+import types
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from string import punctuation
@@ -15,8 +18,10 @@ from pyspark.sql import functions as F
 
 from docvault.llm.frames import NO_ID, pick, stored
 
-#: Words remembered by one task, with their ids.
-CACHED_WORDS = 500_000
+#: Words remembered by a Python worker, with their ids, in each of two generations.
+CACHED_WORDS = 150_000
+#: Characters of a text that are split into words at a time.
+SLICE = 1 << 20
 #: A length class is numbered in this many parts, so that a very common length is no single task.
 RANK_PARTS = 64
 
@@ -27,46 +32,95 @@ class WordIds(dict):
     The tokenizer drops white space between words, so the ids of a text are those of its words
     one after the other. ASCII punctuation at the end of a word that ends in a letter is a run
     of its own; a word of ASCII letters is one run, whose lower case goes to the tokenizer's
-    model directly. All other words go through the whole tokenizer.
+    model directly. All other words go through the whole tokenizer. When there are too many
+    words, those not seen since the last time that happened are forgotten.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def learn(self, found: set[str]) -> None:
         """Make sure that all these words are known."""
-        new = found.difference(self)
-        if len(self) + len(new) > CACHED_WORDS:
+        if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
-            new = found
+        parts = []
         whole = []
-        tails: dict[str, bytes] = {"": b""}
-        for word in new:
+        for word in [w for w in found if w not in self]:
+            if word in self.older:
+                self[word] = self.older[word]
+                continue
             core = word.rstrip(punctuation)
-            if not (core.isascii() and core.isalpha()):
+            tail = word[len(core) :]
+            if not core.isalpha() or len(tail) > 8:
                 whole.append(word)
                 continue
-            tail = word[len(core) :]
-            if tail not in tails:
-                tails[tail] = as_bytes(self.tokenizer.encode(tail, add_special_tokens=False).ids)
-            self[word] = as_bytes([t.id for t in self.model.tokenize(core.lower())]) + tails[tail]
-        for word, encoding in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
-            self[word] = as_bytes(encoding.ids)
+            if core.isascii():
+                core = core.lower()
+                if core not in self:
+                    self[core] = as_bytes([t.id for t in self.model.tokenize(core)])
+            elif core not in self:
+                whole.append(core)
+            parts.append((word, core, tail))
+        if whole:
+            for word, encoding in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+                self[word] = as_bytes(encoding.ids)
+        for word, core, tail in parts:
+            self[word] = self[core] + (self.tail_ids(tail) if tail else b"")
+
+    def tail_ids(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) >= CACHED_WORDS:
+                self.tails.clear()
+            self.tails[tail] = as_bytes(self.tokenizer.encode(tail, add_special_tokens=False).ids)
+        return self.tails[tail]
+
+
+def worker_state() -> types.ModuleType:
+    """A place for what the tasks of one Python worker share."""
+    return sys.modules.setdefault("docvault_worker_state", types.ModuleType("docvault_worker_state"))
+
+
+def known_words(tokenizer_path: str) -> WordIds:
+    """The tokenizer and the words of this worker; it is loaded once for all of its tasks."""
+    from tokenizers import Tokenizer
+
+    state = worker_state()
+    if getattr(state, "tokenizer_path", None) != tokenizer_path:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
+        state.tokenizer_path, state.words = tokenizer_path, WordIds(Tokenizer.from_file(tokenizer_path))
+    return state.words
 
 
 def as_bytes(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
 
 
-def text_words(text: str | None) -> list[str]:
-    """What stands between blanks and line ends."""
-    return [w for w in (text or "").replace("\n", " ").split(" ") if w]
+def text_words(text: str) -> Iterator[list[str]]:
+    """What stands between blanks and line ends, slice by slice."""
+    start = 0
+    while start < len(text):
+        end = start + SLICE
+        if end < len(text):
+            ends = [x for x in (text.find(" ", end), text.find("\n", end)) if x >= 0]
+            end = min(ends, default=len(text))
+        yield [w for w in text[start:end].replace("\n", " ").split(" ") if w]
+        start = end
 
 
-def text_ids(found: list[str], known: WordIds, end_id: int) -> bytes:
-    """All ids of a text's words and the end id, four bytes each."""
-    return b"".join(map(known.__getitem__, found)) + as_bytes([end_id])
+def text_ids(text: str | None, known: WordIds, end_id: int) -> bytes:
+    """All ids of a text and the end id, four bytes each."""
+    parts = []
+    for found in text_words(text or ""):
+        known.learn(set(found))
+        parts.append(b"".join(map(known.__getitem__, found)))
+    return b"".join(parts) + as_bytes([end_id])
 
 
 def token_pieces(
@@ -82,15 +136,11 @@ def token_pieces(
         schema += ", ids array<int>"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        known = WordIds(Tokenizer.from_file(tokenizer_path))
+        known = known_words(tokenizer_path)
         for batch in batches:
             columns = [[], [], [], [], [], []]
-            texts = [text_words(t) for t in batch.column("text").to_pylist()]
-            known.learn(set().union(*texts))
-            for doc_id, found in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                ids = text_ids(found, known, end_id)
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                ids = text_ids(text, known, end_id)
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     row = (doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part))
