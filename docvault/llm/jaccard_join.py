@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +29,8 @@ ORDERS = (2, 3)
 FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 27
 #: Parts that a frequent token's rows are dealt into.
 SALTS = 64
+#: Tokens of more sets than this are compared in blocks of about so many sets.
+FEW, BLOCK = 32, 256
 #: Sets whose tokens one task remembers to have sent.
 REMEMBERED = 100_000
 
@@ -240,9 +243,13 @@ def possible(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         pairs = pairs.join(prefixes.select(*[F.col(c).alias(f"{side}_{c}" if c != "sid" else side) for c in ("sid", "n", "shared")]), side)
     a, b = F.col("a_n"), F.col("b_n")
-    rest = F.expr(f"({PERCENT} * greatest(a_n, b_n) + 99) div 100 - 1")
     common = F.size(F.array_intersect("a_shared", "b_shared"))
-    return pairs.where(sizes_allow(a, b)).where(enough(common + rest, a, b)).select("a", "b")
+    return pairs.where(sizes_allow(a, b)).where(enough(common + others("a_n", "b_n"), a, b)).select("a", "b")
+
+
+def others(a: str, b: str) -> Column:
+    """The tokens behind the prefix of the larger set."""
+    return F.expr(f"({PERCENT} * greatest({a}, {b}) + 99) div 100 - 1")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -302,19 +309,92 @@ def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
         .select("token")
     )
     rest = labelled.join(open_tokens, "token", "left_semi").distinct()
-    rest = stored(rest.join(members.select("sid", "n"), "sid"), "open-tokens")
-    one = rest.select("token", F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    two = rest.select("token", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    pairs = one.join(two, "token").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
-    pairs = pairs.where(sizes_allow(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stored(possible(pairs.join(tried, ["a", "b"], "left_anti"), members), "other-pairs")
+    rest = stored(rest.join(members.select("sid", "n", "shared"), "sid"), "open-tokens")
+    pairs = stored(pairs_across(rest).join(tried(stars), ["a", "b"], "left_anti"), "other-pairs")
     if pairs.isEmpty():
         return found.select(F.col("node").alias("sid"), "component")
     merged = components(edges.unionAll(verified(pairs, docs, members)))
     return merged.select(F.col("node").alias("sid"), "component")
 
 
+def tried(stars: DataFrame) -> DataFrame:
+    return stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def pairs_across(rest: DataFrame) -> DataFrame:
+    """Distinct pairs `a, b` that share a token, lie in different components and may link.
+
+    `rest` has `token, sid, component, n, shared`. Tokens of at most FEW sets are joined with
+    themselves. A larger group is cut into blocks of about BLOCK sets, those outside of its
+    largest component against all, and a block counts the common tokens of its pairs as a
+    product of two small matrices; only pairs with enough of them come out.
+    """
+    by_component = rest.groupBy("token", "component").agg(F.count("sid").alias("k"))
+    sizes = by_component.groupBy("token").agg(F.sum("k").alias("all"), F.max("k").alias("largest"))
+    main = by_component.join(sizes, "token").where("k = largest").groupBy("token").agg(
+        F.min("component").alias("main"), F.first("all").alias("all"), F.first("largest").alias("largest")
+    )
+    main = stored(main, "token-sizes")
+    sized = rest.join(main, "token")
+    few = sized.where(F.col("all") <= FEW)
+    one, two = (
+        few.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("sid", "component", "n")], F.size("shared").alias(f"{side}_c"))
+        for side in ("a", "b")
+    )
+    bound = enough(F.least("a_c", "b_c") + others("a_n", "b_n"), F.col("a_n"), F.col("b_n"))
+    close = (F.col("a_sid") < F.col("b_sid")) & (F.col("a_component") != F.col("b_component"))
+    close = close & sizes_allow(F.col("a_n"), F.col("b_n")) & bound
+    joined = one.join(two, "token").where(close).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
+    joined = possible(joined, rest.select("sid", "n", "shared").dropDuplicates(["sid"]))
+
+    many = sized.where(F.col("all") > FEW).withColumn("out", F.col("component") != F.col("main"))
+    parts = {"outs": F.col("all") - F.col("largest"), "mains": F.col("largest")}
+    many = many.withColumns({n: F.ceil(k / BLOCK).cast("int") for n, k in parts.items()})
+    own = F.pmod(F.hash("sid"), F.when(F.col("out"), F.col("outs")).otherwise(F.col("mains")))
+    many = many.withColumn("own", own)
+
+    def block(kind: int, i: Column, j: Column, left: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), left.alias("left"))
+
+    up_to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    mine = F.col("own")
+    against_main = F.transform(up_to("mains"), lambda j: block(0, mine, j, F.lit(True)))
+    among = F.transform(up_to("outs"), lambda j: block(1, F.least(mine, j), F.greatest(mine, j), mine <= j))
+    places = F.when(F.col("out"), F.concat(against_main, among)).otherwise(
+        F.transform(up_to("outs"), lambda i: block(0, i, mine, F.lit(False)))
+    )
+    dealt = many.select("token", F.inline(places), "sid", "component", "n", "shared")
+    found = dealt.groupBy("token", "kind", "i", "j").applyInPandas(block_pairs, "a bigint, b bigint")
+    return joined.unionAll(found).distinct()
+
+
+def block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of a block's left and right sets that may link; see `possible`."""
+    tokens, where = np.unique(np.concatenate(rows["shared"].to_list()), return_inverse=True)
+    at = np.repeat(np.arange(len(rows)), rows["shared"].map(len))
+    common = np.bincount(where) > 1
+    number = np.cumsum(common) - 1
+    matrix = np.zeros((len(rows), max(1, int(common.sum()))), np.float32)
+    kept = common[where]
+    matrix[at[kept], number[where[kept]]] = 1
+    left = rows["left"].to_numpy()
+    same = rows["kind"].iloc[0] == 1 and rows["i"].iloc[0] == rows["j"].iloc[0]
+    x = np.arange(len(rows)) if same else np.flatnonzero(left)
+    y = x if same else np.flatnonzero(~left)
+    counts = (matrix[x] @ matrix[y].T).astype(np.int64)
+    n, sid, component = (rows[c].to_numpy() for c in ("n", "sid", "component"))
+    low, high = np.minimum.outer(n[x], n[y]).astype(np.int64), np.maximum.outer(n[x], n[y]).astype(np.int64)
+    may = (100 * low >= PERCENT * high) & not_equal(component[x], component[y]) & not_equal(sid[x], sid[y])
+    may &= (counts + (PERCENT * high + 99) // 100 - 1) * (100 + PERCENT) >= PERCENT * (low + high)
+    i, j = np.nonzero(may)
+    a, b = sid[x[i]], sid[y[j]]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+
+def not_equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a[:, None] != b[None, :]
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """`doc_id, n_shingles, component_id` for every row of `docs`.
 
@@ -333,6 +413,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rows = survey.where("chunk IS NULL").select("doc_id", "n", "sid")
     labelled = rows.join(linked, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     least = labelled.where("sid IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = stored(least, "least-ids")  # so that Spark can split the join with a large component
     out = labelled.join(least, "component", "left")
     return out.select(
         "doc_id",
