@@ -98,8 +98,10 @@ def stored_bytes(classification: Column, compact: Column) -> Column:
     return F.length(compact) + 5 * F.length(wide) + 6 * astral + commas + item_separators
 
 
-def guard_size(classification: Column, compact: Column, max_bytes: int) -> Column:
-    """The JSON text, or the marker when it is over the limit; small texts skip the count."""
+def guard_size(classification: Column, compact: Column, max_bytes: int | None) -> Column:
+    """The JSON text, or the marker when it is over the limit, if there is one; small texts skip the count."""
+    if max_bytes is None:
+        return compact
     surely_fits = F.octet_length(compact).cast("bigint") * 7 + 64 <= max_bytes
     too_large = stored_bytes(classification, compact) > max_bytes
     return (

@@ -36,11 +36,21 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"(?U)^{SPACE}+|{SPACE}+\\z", "")
 
 
-def truncate_text(text: Column, max_chars: int) -> Column:
+def truncate_text(text: Column, max_chars: int | None) -> Column:
+    if max_chars is None:
+        return text
     cut = F.concat(F.substring(text, 1, max_chars), F.lit(TRUNCATION_MARKER))
     return F.when(F.length(text) > max_chars, cut).otherwise(text)
 
 
+def text_pieces(text: Column, size: int, overlap: int) -> Column:
+    """A text as overlapping pieces of at most `size` characters; a null text is one null piece."""
+    step = size - overlap
+    last = F.greatest(F.ceil((F.length(text) - overlap) / step) - 1, F.lit(0)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.substr(text, i * step + 1, F.lit(size)))
+    return F.when(F.length(text) > size, pieces).otherwise(F.array(text))
+
+
 def build_prompt(text: Column) -> Column:
     """User message only; the system text is a constant the document cannot reach."""
     return F.concat(F.lit(USER_PREFIX), text)

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import replace
+from functools import partial
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docvault.functions.classification import json_to_classification, parse_error_classification
+from docvault.functions.classification import (
+    json_to_classification,
+    make_classification,
+    parse_error_classification,
+)
 from docvault.functions.json_text import child, is_array, is_object, is_string, strict_json
 from docvault.functions.rules import classify_text, has_digit, without_secrets
-from docvault.functions.text import build_prompt, strip, truncate_text
+from docvault.functions.text import SYSTEM_PROMPT, build_prompt, strip, text_pieces, truncate_text
 from docvault.operators.ingest import CLASSIFY, EXTRACTION, UNEXPECTED
 from docvault.operators.once import compute_once
 from docvault.schemas import LIST_CATEGORIES, OCR_BLOCKS
@@ -94,18 +100,20 @@ def map_once(
 
 def classify_with(
     texts: DataFrame,
-    model: Callable[[str], str],
+    model: Callable[[str, str], str],
     settings: JobSettings,
     calls_at_once: int = 4,
 ) -> DataFrame:
     """Replace text by response, with error_type and error, by calling a model function.
 
-    model takes the user message and returns the raw response; it may raise TransientError.
-    It is called once per row with a text, so pass distinct documents. Rows with a null text
-    or with an error from an earlier step go through without a call.
+    model takes the system text and the user message and returns the raw response; it may raise
+    TransientError. It is called once per row with a text, so pass distinct documents. Rows with
+    a null text or with an error from an earlier step go through without a call. Texts go out
+    whole unless the settings cut them; `classify_in_pieces` sends long ones in pieces.
     """
     prompt = build_prompt(truncate_text(F.col("text"), settings.max_text_chars))
-    call = guarded(with_retries(model, settings.max_attempts, settings.retry_base_ms), CLASSIFY)
+    asked = partial(model, SYSTEM_PROMPT)
+    call = guarded(with_retries(asked, settings.max_attempts, settings.retry_base_ms), CLASSIFY)
     prompts = with_errors(texts).withColumn("text", prompt)
     return map_once(prompts, "text", call, "response", T.StringType(), calls_at_once)
 
@@ -172,8 +180,49 @@ def parse_responses(answers: DataFrame) -> DataFrame:
     )
 
 
+def classify_in_pieces(
+    texts: DataFrame, by: list[str], model: Callable[[str, str], str], settings: JobSettings
+) -> DataFrame:
+    """Replace text by a classification from a model that sees every part of it.
+
+    A text longer than `piece_chars` is sent in overlapping pieces, and the lists that come back
+    are joined, a value that several pieces have found once. A document fails if a piece does,
+    with the error of the first. `by` names the documents; rows of one name are one document.
+    """
+    text = truncate_text(F.col("text"), settings.max_text_chars)
+    pieces = F.posexplode(text_pieces(text, settings.piece_chars, settings.piece_overlap))
+    cut = with_errors(texts).select("*", pieces.alias("_piece", "_part")).drop("text")
+    cut = cut.withColumnRenamed("_part", "text")
+    answers = parse_responses(classify_with(cut, model, replace(settings, max_text_chars=None)))
+    carried = [c for c in answers.columns if c not in (*by, "_piece", "classification")]
+    row = F.struct("_piece", *carried, "classification")
+    merged = answers.groupBy(*by).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    failing = F.get(F.filter("_rows", lambda r: r["error"].isNotNull()), F.lit(0))
+    merged = compute_once(merged, {"_first": F.coalesce(failing, F.get("_rows", F.lit(0)))})
+    return merged.select(
+        *by,
+        *[F.col("_first")[c].alias(c) for c in carried],
+        F.when(failing.isNull(), joined_classification(F.col("_rows"))).alias("classification"),
+    )
+
+
+def joined_classification(rows: Column) -> Column:
+    """The classifications of a text's pieces as one."""
+
+    def joined(name: str) -> Column:
+        together = F.flatten(F.transform(rows, lambda r: r["classification"][name]))
+        return F.when(F.size(rows) > 1, F.array_distinct(together)).otherwise(together)
+
+    broken = F.exists(rows, lambda r: r["classification"]["parse_error"])
+    found = make_classification({c: joined(c) for c in LIST_CATEGORIES}, joined("other_pii"), broken)
+    return F.when(F.get(rows, F.lit(0))["classification"].isNotNull(), found)
+
+
 def classify_rules(texts: DataFrame, settings: JobSettings) -> DataFrame:
-    """Replace text by a classification made from the built-in patterns, without Python."""
+    """Replace text by a classification made from the built-in patterns, without Python.
+
+    The patterns see the whole text, however long, unless the settings cut it.
+    """
     carried = [c for c in texts.columns if c != "text"]
     shortened = truncate_text(F.col("text"), settings.max_text_chars)
     read = texts.select(*carried, shortened.alias("_text"))

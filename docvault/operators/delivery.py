@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docvault.operators.ingest import VALIDATION
+from docvault.operators.ingest import VALIDATION, message_key, parse_notifications
 from docvault.schemas import FAILURE
 
-# Fixed value: one failed message is counted under both its id and its document, because
-# messages without an id all share the name "unknown".
-LEDGER_KEY = ["message_id", "document_id"]
+# Fixed value: one failed message is counted under both its id and what it is about (its
+# document, or its body where that names none), because messages without an id all share the
+# name "unknown".
+LEDGER_KEY = ["message_id", "message_key"]
 
 
 def failure_rows(failed: DataFrame, stage: str) -> DataFrame:
     """Failed requests as failure records; the object key itself is left out."""
     return failed.select(
         "message_id",
+        "message_key",
         "document_id",
         "version",
         F.lit(stage).alias("stage"),
@@ -31,6 +33,7 @@ def collect_failures(rejected: DataFrame, failed: DataFrame) -> DataFrame:
     early = failure_rows(rejected, "validate")
     late = failed.select(
         *LEDGER_KEY,
+        "document_id",
         "version",
         "stage",
         "error_type",
@@ -42,13 +45,21 @@ def collect_failures(rejected: DataFrame, failed: DataFrame) -> DataFrame:
 
 def attempt_ledger(failures: DataFrame, order: str = "batch_id") -> DataFrame:
     """Failed attempts per message with the newest error."""
-    newest = F.max_by(F.struct("stage", "error_type", "error"), F.col(order))
+    newest = F.max(F.struct(F.col(order).alias("at"), "stage", "error_type", "error"))
     ledger = failures.groupBy(*LEDGER_KEY).agg(
+        F.max("document_id").alias("document_id"),
         F.count(F.lit(1)).alias("attempts"),
         newest.alias("_newest"),
-        F.max(order).alias("last_attempt"),
     )
-    return ledger.select(*LEDGER_KEY, "attempts", "last_attempt", "_newest.*")
+    return ledger.select(
+        *LEDGER_KEY,
+        "document_id",
+        "attempts",
+        F.col("_newest.at").alias("last_attempt"),
+        "_newest.stage",
+        "_newest.error_type",
+        "_newest.error",
+    )
 
 
 def dead_letters(ledger: DataFrame, max_deliveries: int = 3) -> DataFrame:
@@ -59,6 +70,20 @@ def still_retrying(ledger: DataFrame, max_deliveries: int = 3) -> DataFrame:
     return ledger.filter(F.col("attempts") < max_deliveries)
 
 
-def select_for_retry(messages: DataFrame, failures: DataFrame) -> DataFrame:
-    """Messages to deliver again: only those listed as failed."""
-    return messages.join(failures.select("message_id").distinct(), "message_id", "left_semi")
+def select_for_retry(
+    messages: DataFrame, failures: DataFrame, dead: DataFrame | None = None, explode_records: bool = False
+) -> DataFrame:
+    """Messages to deliver again: those listed as failed, without the dead letters.
+
+    Messages are told apart as in the ledger. With explode_records a message with several
+    failed records is delivered once.
+    """
+    due = failures.select(*LEDGER_KEY).distinct()
+    if dead is not None:
+        due = due.join(dead.select(*LEDGER_KEY), LEDGER_KEY, "left_anti")
+    whole = messages.withColumn("_message", F.struct(*messages.columns))
+    named = parse_notifications(whole, explode_records).select(
+        "_message", "message_id", message_key(F.col("source_key"), F.col("body_digest")).alias("message_key")
+    )
+    found = named.join(due, LEDGER_KEY, "left_semi").select("_message.*")
+    return found.dropDuplicates(messages.columns) if explode_records else found

@@ -65,9 +65,11 @@ def parse_notifications(messages: DataFrame, explode_records: bool = False) -> D
 
     The event form {"Records": [{"s3": ...}]} is tried first and its key is form-decoded,
     then the direct form {"bucket", "key"}. Only the first record of an event counts unless
-    explode_records is set. Nothing is raised: every other shape ends up in error_type.
+    explode_records is set. `body_digest` stands for the body. Nothing is raised: every other shape ends up in error_type.
     """
     carried = [c for c in messages.columns if c != "body"]
+    messages = messages.withColumn("body_digest", F.sha2(F.coalesce("body", F.lit("")), 256))
+    carried.append("body_digest")
     whole, records, first = F.col("_json"), F.col("_records"), F.col("_first")
     parsed = compute_once(messages, {"_json": strict_json(F.col("body"))})
     parsed = compute_once(
@@ -137,6 +139,11 @@ def rule_broken(bucket: Column, key: Column, settings: JobSettings) -> Column:
     )
 
 
+def message_key(key: Column, body_digest: Column) -> Column:
+    """What a message is about: its document, or its body where that names none."""
+    return F.coalesce(document_id(key), F.concat(F.lit("body:"), body_digest))
+
+
 def validate_inputs(parsed: DataFrame, settings: JobSettings) -> DataFrame:
     """Apply the rules to parsed requests and give every row its document id and version."""
     broken = rule_broken(F.col("source_bucket"), F.col("source_key"), settings)
@@ -149,6 +156,7 @@ def validate_inputs(parsed: DataFrame, settings: JobSettings) -> DataFrame:
         .alias("error_type"),
         F.coalesce("_rule", "_unparsed").alias("error"),
         document_id(F.col("source_key")).alias("document_id"),
+        message_key(F.col("source_key"), F.col("body_digest")).alias("message_key"),
         version_ms(F.col("received_at")).alias("version"),
     )
 

@@ -19,10 +19,12 @@ def requested_keys(requests: DataFrame) -> DataFrame:
 def lookup_documents(requests: DataFrame, documents: DataFrame) -> DataFrame:
     """Requests with their text; a request without a document gets an extraction error.
 
-    An equi join without a hint: Spark broadcasts the requests when their measured size is
-    small, and otherwise merges, splitting hot keys on the request side.
+    The requested keys select the texts first: where they are few, Spark broadcasts them and
+    no other text is exchanged; otherwise the texts are exchanged once for both joins, and hot
+    keys on the request side are split.
     """
-    found = documents.select(*KEY, "text", F.lit(True).alias("_found"))
+    wanted = documents.join(requested_keys(requests), KEY, "left_semi")
+    found = wanted.select(*KEY, "text", F.lit(True).alias("_found"))
     joined = requests.join(found, KEY, "left")
     missing = F.col("_found").isNull()
     return joined.withColumns(
@@ -33,6 +35,12 @@ def lookup_documents(requests: DataFrame, documents: DataFrame) -> DataFrame:
     ).drop("_found")
 
 
+def missing_documents(requests: DataFrame, documents: DataFrame) -> DataFrame:
+    """Requests without a document, with their error; no text is read."""
+    missing = requests.drop("error_type", "error").join(documents.select(*KEY), KEY, "left_anti")
+    return missing.withColumns({"error_type": F.lit(EXTRACTION), "error": F.lit("document_not_found")})
+
+
 def drop_blank_text(texts: DataFrame) -> DataFrame:
     """Documents with something to classify; the others end here without a failure."""
     return texts.filter(~is_blank(F.col("text")))

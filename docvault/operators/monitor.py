@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docvault.functions.json_text import as_string, child, strict_json
 from docvault.operators.once import compute_once
+from docvault.operators.percentiles import group_percentiles
 
 # The alarm windows and quantile.
 ERROR_WINDOW = "60 seconds"
@@ -29,7 +30,11 @@ def parse_logs(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def error_alarm(logs: DataFrame, watermark: str = "5 minutes") -> DataFrame:
-    """One-minute windows with at least one error. The watermark only matters on streams."""
+    """One-minute windows with at least one error.
+
+    The watermark only matters on streams, where rows that come later are left out; see
+    `corrections`.
+    """
     windows = (
         logs.withWatermark("timestamp", watermark)
         .groupBy(F.window("timestamp", ERROR_WINDOW))
@@ -74,6 +79,30 @@ def duration_windows(durations: DataFrame, watermark: str = "10 minutes") -> Dat
     )
 
 
+def exact_duration_windows(durations: DataFrame) -> DataFrame:
+    """The same windows over a table, however many distinct durations one of them has.
+
+    The stream's version keeps the distinct durations of a window together; this one orders
+    only those near the percentile (see operators.percentiles).
+    """
+    windowed = durations.select(F.window("timestamp", SLOW_WINDOW).alias("_w"), "duration_ms").select(
+        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "duration_ms"
+    )
+    group = ["window_start", "window_end"]
+    events = windowed.groupBy(*group).agg(F.count(F.lit(1)).alias("events"))
+    quantiles = group_percentiles(windowed, group, "duration_ms", {"p99_ms": SLOW_QUANTILE})
+    return events.join(quantiles, group).select(*group, "events", "p99_ms")
+
+
+def corrections(streamed: DataFrame, recomputed: DataFrame) -> DataFrame:
+    """Windows that a stream has left out or counted short because rows came after its watermark.
+
+    `recomputed` comes from the same operator over the table of all rows; run it when late rows
+    have arrived, and append what this returns: the last entry of a window holds.
+    """
+    return recomputed.exceptAll(streamed)
+
+
 def slow_alarm(windows: DataFrame, slow_ms: float = 108_000) -> DataFrame:
     """Pairs of adjacent windows whose P99 is over the threshold, named by the second one.
 

@@ -30,14 +30,14 @@ def written_forms(value: Column) -> Column:
 
 
 def scan_for_leaks(
-    values: DataFrame, outward: DataFrame, few: int = 1000, few_bytes: int = 1_000_000
+    values: DataFrame, outward: DataFrame, list_values: int = 500, list_bytes: int = 500_000
 ) -> DataFrame:
     """Values of a document that appear in an outward record of the same document.
 
-    values has (document_id, value), outward what outward_texts gives. For documents with at
-    most `few` distinct values of `few_bytes` together, these travel as one array and are
-    tested inside the row. For the others every piece of text of a length that occurs among the values is matched by
-    equality, so no group is ever paired with itself and no array outgrows its bound.
+    values has (document_id, value), outward what outward_texts gives. The distinct values of a
+    document are dealt by their hash into lists of about `list_values` values and `list_bytes`
+    bytes. Every record of the document meets every list, tests its values where they meet, and
+    only hits go on; so nothing is paired within a group and no list grows with its document.
     """
     distinct = (
         values.filter("document_id IS NOT NULL AND value != ''")
@@ -45,32 +45,16 @@ def scan_for_leaks(
         .filter("value IS NOT NULL")
         .distinct()
     )
-    outward = outward.filter("document_id IS NOT NULL AND text IS NOT NULL")
     sizes = distinct.groupBy("document_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("bytes")
+        F.ceil(F.greatest(F.count(F.lit(1)) / list_values, F.sum(F.octet_length("value")) / list_bytes)).alias("_lists")
     )
-    fits = (F.col("n") <= few) & (F.col("bytes") <= few_bytes)
-    small = distinct.join(sizes.filter(fits), "document_id", "left_semi")
-    large = distinct.join(sizes.filter(~fits), "document_id", "left_semi")
-    found = ["document_id", "record_kind", "record_id", "value"]
-
-    lists = small.groupBy("document_id").agg(F.collect_list("value").alias("_values"))
-    hits = F.filter("_values", lambda v: F.col("text").contains(v))
-    inside = outward.join(lists, "document_id").withColumn("value", F.explode(hits)).select(*found)
-
-    lengths = large.select("document_id", F.length("value").alias("_length")).distinct()
-    lengths = lengths.groupBy("document_id").agg(F.collect_list("_length").alias("_lengths"))
-    pieces = (
-        outward.join(lengths, "document_id")
-        .select("*", F.explode("_lengths").alias("_length"))
-        .filter(F.length("text") >= F.col("_length"))
-        .select(
-            "*",
-            F.explode(F.sequence(F.lit(1), F.length("text") - F.col("_length") + 1)).alias("_at"),
-        )
-        .withColumn("value", F.substring("text", F.col("_at"), F.col("_length")))
-        .select(*found)
-        .distinct()
+    number = F.pmod(F.xxhash64("value"), F.col("_lists"))
+    lists = (
+        distinct.join(sizes, "document_id")
+        .groupBy("document_id", number.alias("_list"))
+        .agg(F.collect_list("value").alias("_values"))
     )
-    by_piece = pieces.join(large, ["document_id", "value"], "left_semi").select(*found)
-    return inside.unionByName(by_piece).distinct()
+    outward = outward.filter("document_id IS NOT NULL AND text IS NOT NULL")
+    hits = F.filter("_values", lambda v: F.col("text").contains(v))
+    found = outward.join(lists, "document_id").withColumn("value", F.explode(hits))
+    return found.select("document_id", "record_kind", "record_id", "value").distinct()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docvault.functions.classification import item_total
+from docvault.operators.percentiles import group_percentiles
 from docvault.schemas import CATEGORIES, LIST_CATEGORIES
 
 
@@ -73,19 +74,16 @@ def failure_breakdown(failures: DataFrame) -> DataFrame:
 def audit_history(audit: DataFrame) -> DataFrame:
     """Documents, items and duration statistics per day and bucket.
 
-    Rows with equal durations are combined first, so a day with most of the rows is spread
-    over many tasks and the exact percentile sees one entry per distinct millisecond.
+    Sums are taken with partial results; the exact percentiles order only the durations near
+    them, so a day with most of the rows is no single task.
     """
     group = ["audit_date", "source_bucket"]
-    items = item_total(F.col("pii_counts"))
-    by_duration = audit.groupBy(*group, "duration_ms").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(items).alias("items")
-    )
-    return by_duration.groupBy(*group).agg(
-        F.sum("n").alias("documents"),
-        F.sum("items").alias("items"),
+    rows = audit.select(*group, item_total(F.col("pii_counts")).alias("_items"), "duration_ms")
+    totals = rows.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.sum("_items").alias("items"),
         F.min("duration_ms").alias("min_duration_ms"),
         F.max("duration_ms").alias("max_duration_ms"),
-        F.percentile("duration_ms", 0.5, F.col("n")).alias("p50_duration_ms"),
-        F.percentile("duration_ms", 0.99, F.col("n")).alias("p99_duration_ms"),
     )
+    named = {"p50_duration_ms": 0.5, "p99_duration_ms": 0.99}
+    return totals.join(group_percentiles(rows, group, "duration_ms", named), group)

@@ -16,24 +16,26 @@ from docvault.functions.classification import (
 )
 from docvault.functions.json_text import strict_json
 from docvault.functions.keys import audit_key, document_id, output_key
+from docvault.functions.masking import mask_ssns
 from docvault.functions.timing import duration_ms, expires_at, moment, processed_at
 from docvault.operators.once import compute_once
-from docvault.schemas import COUNTS, VAULT
+from docvault.schemas import COUNTS
 from docvault.settings import JobSettings
 
-IDENTITY = ["document_id", "version"]
+IDENTITY = ["document_id", "source_bucket", "version"]
 HOUR_MS = 3_600_000
 
 
 def vault_rows(classified: DataFrame, settings: JobSettings, as_of: datetime | str | Column) -> DataFrame:
     """Vault records from (source_bucket, source_key, version, classification).
 
-    The classification must be masked. The counts are taken before the size guard, so they
-    stay true when the values are replaced by the marker.
+    Social security numbers are masked here, whatever was done before. The counts are taken
+    before the size guard, so they stay true when the values are replaced by the marker.
     """
     now = moment(as_of)
     doc_id = document_id(F.col("source_key"))
     found = F.col("classification")
+    classified = classified.withColumn("classification", mask_ssns(found))
     compact = compute_once(classified, {"_json": classification_to_json(found)})
     return compact.select(
         doc_id.alias("document_id"),
@@ -54,22 +56,23 @@ def version_date(version: Column) -> Column:
 
 
 def once_per_identity(records: DataFrame) -> DataFrame:
-    """One record per (document_id, version); the lowest bucket name wins.
+    """One record per (document, bucket, version); of different ones the least by all columns.
 
     Copies are combined before the exchange, so many copies of one record do not meet in
-    one task.
+    one task. Pass narrow rows: keys first, what was found joined on afterwards.
     """
     rest = F.struct(*[c for c in records.columns if c not in IDENTITY])
-    kept = records.groupBy(*IDENTITY).agg(F.min_by(rest, "source_bucket").alias("_kept"))
+    kept = records.groupBy(*IDENTITY).agg(F.min(rest).alias("_kept"))
     return kept.select(*IDENTITY, "_kept.*").select(*records.columns)
 
 
 def append_new_only(candidates: DataFrame, existing_keys: DataFrame) -> DataFrame:
-    """Candidates whose (document_id, version) is not in the vault yet, each once.
+    """Candidates whose (document, bucket, version) is not in the vault yet, each once.
 
-    Only the two key columns of the vault take part. Callers prune the vault to the days of
-    the candidates first: the version decides the day, so no duplicate can lie elsewhere.
-    The join finds the candidates already exchanged by identity.
+    The same key in two buckets are two documents. Only the key columns of the vault take
+    part. Callers prune the vault to the days of the candidates first: the version decides the
+    day, so no duplicate can lie elsewhere. The join finds the candidates already exchanged by
+    identity.
     """
     return once_per_identity(candidates).join(
         existing_keys.select(*IDENTITY), IDENTITY, "left_anti"
@@ -91,7 +94,11 @@ def output_rows(written: DataFrame) -> DataFrame:
     """Count-only summaries of records that were written."""
     counted = compute_once(written, {"_counts": read_counts(F.col("pii_counts"))})
     return counted.select(
-        output_key(F.col("source_key")).alias("output_key"), *IDENTITY, F.col("_counts").alias("pii_counts")
+        output_key(F.col("source_key")).alias("output_key"),
+        "source_bucket",
+        "document_id",
+        "version",
+        F.col("_counts").alias("pii_counts"),
     )
 
 
@@ -101,7 +108,8 @@ def audit_rows(written: DataFrame) -> DataFrame:
     counted = compute_once(written, {"_counts": read_counts(F.col("pii_counts"))})
     return counted.select(
         audit_key(day, F.col("document_id"), F.col("version")).alias("audit_key"),
-        *IDENTITY,
+        "document_id",
+        "version",
         "source_key_hash",
         "source_bucket",
         F.col("_counts").alias("pii_counts"),
@@ -124,18 +132,20 @@ def find_by_source_keys(records: DataFrame, keys: DataFrame) -> DataFrame:
 def version_history(records: DataFrame) -> DataFrame:
     """Each record with its number among the versions of its document and what changed.
 
-    Versions are numbered within (document, hour) first. A document has at most one record
-    per millisecond, so such a group is bounded whatever the share of the document in the
-    table; the last record of every hour then carries the running totals to the next one.
+    A document is a key in a bucket. Versions are numbered within (document, hour) first. A
+    document has at most one record per millisecond, so such a group is bounded whatever the
+    share of the document in the table; the last record of every hour then carries the running
+    totals to the next one.
     """
+    document = ["document_id", "source_bucket"]
     counted = compute_once(
         records.select(*IDENTITY, "pii_counts"), {"_counts": read_counts(F.col("pii_counts"))}
     )
     slot = F.expr(f"version div {HOUR_MS}")
     base = counted.select(*IDENTITY, item_total(F.col("_counts")).alias("items"), slot.alias("_slot"))
     # The same filter and columns on both sides of the join let them share one exchange.
-    base = base.filter("document_id IS NOT NULL AND _slot IS NOT NULL")
-    in_slot = Window.partitionBy("document_id", "_slot").orderBy("version")
+    base = base.filter("document_id IS NOT NULL AND source_bucket IS NOT NULL AND _slot IS NOT NULL")
+    in_slot = Window.partitionBy(*document, "_slot").orderBy("version")
     numbered = base.select(
         "*",
         F.row_number().over(in_slot).alias("_n"),
@@ -143,16 +153,16 @@ def version_history(records: DataFrame) -> DataFrame:
         F.lag("items").over(in_slot).alias("_items_before"),
         F.lead("version").over(in_slot).isNull().alias("_last"),
     )
-    by_slot = Window.partitionBy("document_id").orderBy("_slot")
+    by_slot = Window.partitionBy(*document).orderBy("_slot")
     earlier = by_slot.rowsBetween(Window.unboundedPreceding, -1)
     carried = numbered.filter("_last").select(
-        "document_id",
+        *document,
         "_slot",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
         F.lag("version").over(by_slot).alias("_version_carried"),
         F.lag("items").over(by_slot).alias("_items_carried"),
     )
-    joined = numbered.join(carried, ["document_id", "_slot"])
+    joined = numbered.join(carried, [*document, "_slot"])
     return joined.select(
         *IDENTITY,
         (F.col("_offset") + F.col("_n")).alias("version_no"),
@@ -163,9 +173,15 @@ def version_history(records: DataFrame) -> DataFrame:
 
 
 def latest_version(rows: DataFrame, key: str = "document_id") -> DataFrame:
-    """The newest row per key, combined on the map side instead of sorted per key."""
-    newest = F.max_by(F.struct(*rows.columns), "version")
-    return rows.groupBy(F.col(key).alias("_key")).agg(newest.alias("_row")).select("_row.*")
+    """The newest row per key; of several with one version, the one with the least bucket.
+
+    The newest version is found from two columns with partial results, and joined back.
+    """
+    rows = rows.filter(F.col(key).isNotNull() & F.col("version").isNotNull())
+    newest = rows.groupBy(key).agg(F.max("version").alias("version"))
+    found = rows.join(newest, [key, "version"], "left_semi").select(*rows.columns)
+    order = Window.partitionBy(key).orderBy("source_bucket", "document_id")
+    return found.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
 
 
 def active_records(records: DataFrame, as_of: datetime | str | Column) -> DataFrame:
@@ -175,19 +191,3 @@ def active_records(records: DataFrame, as_of: datetime | str | Column) -> DataFr
 def expired_records(records: DataFrame, as_of: datetime | str | Column) -> DataFrame:
     """Dry run of the purge: the rows that would go."""
     return records.filter(F.col("expires_at") <= F.unix_seconds(moment(as_of)))
-
-
-def purge_expired(records: DataFrame, as_of: datetime | str, snapshot_path: str) -> None:
-    """Write the surviving records to a new folder, for the caller to switch to.
-
-    A new folder, because replacing partitions in place leaves those without survivors.
-    """
-    survivors = active_records(records, as_of).select(
-        *VAULT.names, version_date(F.col("version")).alias("version_date"), "batch_id"
-    )
-    (
-        survivors.hint("rebalance", "version_date")
-        .write.mode("errorifexists")
-        .partitionBy("version_date", "batch_id")
-        .parquet(snapshot_path)
-    )

@@ -1,67 +1,141 @@
-"""Processing one batch of messages into the pipeline's tables."""
+"""Processing one batch of messages into the pipeline's tables, and keeping the tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docvault.operators.delivery import failure_rows
+from docvault.functions.timing import SECONDS_PER_DAY, moment
+from docvault.operators.delivery import collect_failures
+from docvault.operators.ingest import split_valid
+from docvault.operators.lookup import KEY
 from docvault.operators.vault import (
     IDENTITY,
+    active_records,
     append_new_only,
     audit_rows,
     output_rows,
+    vault_rows,
     version_date,
 )
-from docvault.plans.process import asks_for_few, failed, process_messages, records_of
-from docvault.schemas import FAILURE
+from docvault.plans.process import Documents, failed, outcomes_of, requests_of, results_of, stored
 from docvault.settings import JobSettings
-from docvault.sources.sinks import Tables, create_tables, read_table, write_batch
+from docvault.sources.sinks import (
+    LAYOUT,
+    WORKING,
+    Tables,
+    clear_batch,
+    create_tables,
+    read_batch,
+    read_table,
+    write_batch,
+    write_merged,
+)
+
+
+def first_moment(spark, tables: Tables, batch_id: int, as_of: datetime | str) -> Column:
+    """The moment that the batch was first run at; a later run of it keeps to that."""
+    known = read_batch(spark, tables, "moments", batch_id).first()
+    if known is None:
+        now = spark.range(1).select(F.unix_micros(moment(as_of)).alias("as_of_us"))
+        write_batch(now, tables, "moments", batch_id)
+        known = read_batch(spark, tables, "moments", batch_id).first()
+    return F.timestamp_micros(F.lit(known["as_of_us"]))
 
 
 def process_batch(
     messages: DataFrame,
-    documents: DataFrame | Callable[[DataFrame], DataFrame],
+    documents: Documents,
     tables: Tables,
     batch_id: int,
     as_of: datetime | str,
     settings: JobSettings,
-    model: Callable[[str], str] | None = None,
+    model: Callable[[str, str], str] | None = None,
+    explode_records: bool = False,
+    whole_table: bool = False,
 ) -> None:
     """Write vault, output, audit and failure rows of one batch; safe to repeat.
 
-    The outcomes are written first, so a model is called once and a lost executor costs at
-    most the running step. Output and audit are read off the vault rows that were written,
-    so duplicates have neither. Each write replaces only this batch.
+    Each step is written before the next reads it, so messages are parsed once, a model is
+    called once per document, and a lost executor costs at most the running step. What was
+    found stands once per document; messages about it carry keys only, and duplicates are gone
+    before what was found is joined on. Output and audit are read off the vault rows that were
+    written, so duplicates have neither.
+
+    Run again, a batch replaces all that it wrote, whatever comes out this time, and keeps the
+    moment of its first run. The working tables hold nothing of a batch once it is through.
     """
     spark = messages.sparkSession
     create_tables(spark, tables)
-    few = not callable(documents) and asks_for_few(messages)
-    outcomes, rejected = process_messages(messages, documents, settings, model, few_keys=few)
-    early = failure_rows(rejected, "validate")
-    write_batch(outcomes, tables, "outcomes", batch_id)
-
-    own = F.col("batch_id") == batch_id
-    outcomes = read_table(spark, tables, "outcomes").filter(own).drop("batch_id")
-    late = failed(outcomes).select(
-        *[c for c in FAILURE.names if c != "retryable"], F.lit(True).alias("retryable")
-    )
-    write_batch(early.unionByName(late), tables, "failures", batch_id)
-
-    # The day range of the batch prunes every later read of the vault.
+    now = first_moment(spark, tables, batch_id, as_of)
+
+    write_batch(requests_of(messages, settings, explode_records), tables, "requests", batch_id)
+    valid, rejected = split_valid(read_batch(spark, tables, "requests", batch_id).drop("batch_id"))
+    write_batch(results_of(valid, documents, settings, model, whole_table), tables, "results", batch_id)
+    results = read_batch(spark, tables, "results", batch_id).drop("batch_id")
+
+    outcomes = outcomes_of(valid, results.drop("classification"))
+    write_batch(collect_failures(rejected, failed(outcomes)), tables, "failures", batch_id)
+
+    # The day range of the batch prunes the vault.
+    candidates = stored(outcomes).select(*IDENTITY, "source_key").distinct()
     day = version_date(F.col("version"))
-    first, last = outcomes.agg(F.min(day), F.max(day)).first()
-    if first is None:
-        return
-    in_range = F.col("version_date").between(first, last)
-    vault = read_table(spark, tables, "vault").filter(in_range)
-    candidates = records_of(outcomes, settings, as_of)
-    fresh = append_new_only(candidates, vault.filter(~own).select(*IDENTITY))
-    write_batch(fresh.withColumn("version_date", day), tables, "vault", batch_id)
-
-    written = read_table(spark, tables, "vault").filter(in_range & own)
+    first, last = candidates.agg(F.min(day), F.max(day)).first()
+    in_range = F.lit(False) if first is None else F.col("version_date").between(first, last)
+    others = read_table(spark, tables, "vault").filter(in_range & (F.col("batch_id") != batch_id))
+    fresh = append_new_only(candidates, others.select(*IDENTITY))
+    found = fresh.join(results.select(*KEY, "classification"), KEY)
+    records = vault_rows(found, settings, now)
+    write_batch(records.withColumn("version_date", day), tables, "vault", batch_id)
+
+    written = read_batch(spark, tables, "vault", batch_id)
     write_batch(output_rows(written), tables, "output", batch_id)
     write_batch(audit_rows(written), tables, "audit", batch_id)
+    for name in WORKING:
+        clear_batch(spark, tables, name, batch_id)
+
+
+def write_snapshot(
+    spark, tables: Tables, target: Tables, as_of: datetime | str, settings: JobSettings, merge_before: int
+) -> None:
+    """The tables without what has expired, and with few files, in a new place to switch to.
+
+    Vault and audit rows go by their expires_at, output rows with their vault rows, failures by
+    the age of their messages. Batches below `merge_before` become one part; they must not run
+    again. Later ones keep a part of their own and can. Working tables start empty.
+    """
+    now_s = F.unix_seconds(moment(as_of))
+    vault = active_records(read_table(spark, tables, "vault"), as_of)
+    kept = {
+        "vault": vault,
+        "audit": active_records(read_table(spark, tables, "audit"), as_of),
+        "output": read_table(spark, tables, "output").join(vault.select(*IDENTITY), IDENTITY, "left_semi"),
+        "failures": read_table(spark, tables, "failures").filter(
+            F.floor(F.col("version") / 1000) + settings.ttl_days * SECONDS_PER_DAY > now_s
+        ),
+        "distinct": read_table(spark, tables, "distinct").filter(
+            F.floor(F.col("version") / 1000) + settings.ttl_days * SECONDS_PER_DAY > now_s
+        ),
+        "moments": read_table(spark, tables, "moments").filter(F.col("batch_id") >= merge_before),
+    }
+    for name, rows in kept.items():
+        write_merged(rows, target, name, merge_before)
+    create_tables(spark, target)
+
+
+def snapshot_counts(spark, tables: Tables, target: Tables) -> DataFrame:
+    """Rows of each table before and after a snapshot."""
+    names = [n for n in LAYOUT if n not in (*WORKING, "moments")]
+    counts = [
+        read_table(spark, place, name).select(
+            F.lit(name).alias("table_name"), F.lit(after).alias("before"), F.lit(1 - after).alias("after")
+        )
+        for name in names
+        for place, after in ((tables, 1), (target, 0))
+    ]
+    rows = reduce(DataFrame.unionAll, counts)
+    return rows.groupBy("table_name").agg(F.sum("before").alias("rows_before"), F.sum("after").alias("rows_after"))

@@ -23,16 +23,18 @@ from docvault.functions.classification import (
 from docvault.functions.keys import audit_key, document_id, output_key
 from docvault.functions.masking import mask_ssn
 from docvault.functions.text import USER_PREFIX, build_prompt, truncate_text
-from docvault.functions.timing import version_ms
+from docvault.functions.timing import expires_at, version_ms
 from docvault.operators import classify, delivery, ingest, lookup, monitor, privacy, reports, vault
 from docvault.operators.once import compute_once
 from docvault.plans import inputs
-from docvault.plans.process import process_messages, records_of
+from docvault.operators.ingest import split_valid
+from docvault.plans.batch import process_batch, snapshot_counts, write_snapshot
+from docvault.plans.process import failures_of, process_messages, records_of, requests_of
 from docvault.schemas import CATEGORIES, LIST_CATEGORIES
 from docvault.session import configure, work_dir
 from docvault.settings import JobSettings
 from docvault.sources import documents as document_sources
-from docvault.sources.notifications import normalize_messages
+from docvault.sources.notifications import normalize_messages, read_notifications, stream_notifications
 from docvault.sources.sinks import Tables, read_table
 from docvault.streaming.alarms import append_stream
 from docvault.streaming.runner import dedupe_stream, run_stream
@@ -41,7 +43,7 @@ SETTINGS = JobSettings(expected_bucket=inputs.BUCKET)
 SHORT_TEXT = 1000
 SMALL_JSON = 5000
 DAY_S = 86_400
-STREAM_WAIT_S = 3600
+LATER = "2024-02-02 00:00:05"
 
 
 def wide_counts(counted: DataFrame, *carry: str) -> DataFrame:
@@ -74,7 +76,10 @@ def rule_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes, _ = process_messages(
-        inputs.messages(spark, sf_dir, damaged=False), inputs.documents(spark, sf_dir), SETTINGS
+        inputs.messages(spark, sf_dir, damaged=False),
+        inputs.documents(spark, sf_dir),
+        SETTINGS,
+        whole_table=True,
     )
     return outcomes
 
@@ -139,18 +144,20 @@ def all_event_records(spark, sf_dir):
     return parsed.select("message_id", "source_bucket", "source_key", "error")
 
 
+def ended_messages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(outcomes, rejected) of damaged messages whose documents go through a model."""
+    return process_messages(
+        inputs.messages(spark, sf_dir), inputs.documents(spark, sf_dir), SETTINGS, model=sample_model
+    )
+
+
 def failures(spark, sf_dir):
-    """Failures before classification, which looks at keys only and never reads a text."""
-    parsed = ingest.parse_notifications(inputs.messages(spark, sf_dir))
-    valid, rejected = ingest.split_valid(ingest.validate_inputs(parsed, SETTINGS))
-    keys = inputs.documents(spark, sf_dir).select(*lookup.KEY, F.lit("").alias("text"))
-    requests = valid.select("message_id", *lookup.KEY, "document_id", "version")
-    missing = lookup.lookup_documents(requests, keys).filter("error IS NOT NULL")
-    return delivery.collect_failures(rejected, missing.withColumn("stage", F.lit("extract")))
+    """Failures of every stage: parsing, rules, missing documents, model."""
+    return failures_of(*ended_messages(spark, sf_dir))
 
 
 def failure_list(spark, sf_dir):
-    return failures(spark, sf_dir)
+    return failures(spark, sf_dir).drop("message_key")
 
 
 def failure_breakdown(spark, sf_dir):
@@ -158,12 +165,31 @@ def failure_breakdown(spark, sf_dir):
 
 
 def batch_summary(spark, sf_dir):
-    """Queue batches of five consecutive messages."""
-    messages = inputs.messages(spark, sf_dir).withColumn(
-        "batch_id", F.floor(F.unix_seconds("received_at") / 5)
+    """Queue batches of five consecutive messages, and how many of each failed at any stage."""
+    outcomes, rejected = ended_messages(spark, sf_dir)
+    ended = outcomes.select("version", "error").unionByName(rejected.select("version", "error"))
+    return reports.batch_summary(ended.withColumn("batch_id", F.floor(F.col("version") / 5000)))
+
+
+def delivered_messages(spark, sf_dir):
+    """Delivered batches of five messages, one a line, some cut short, through the reader."""
+    docs = inputs.documents(spark, sf_dir)
+    message = F.struct(
+        F.col("doc_id"),
+        F.concat(F.lit("m"), F.col("doc_id").cast("string")).alias("messageId"),
+        inputs.direct_body(F.col("source_bucket"), F.col("source_key")).alias("body"),
+        F.col("received_at").alias("receivedAt"),
     )
-    checked = ingest.validate_inputs(ingest.parse_notifications(messages), SETTINGS)
-    return reports.batch_summary(checked)
+    batches = docs.groupBy(F.floor(F.col("doc_id") / 5).alias("batch")).agg(
+        F.sort_array(F.collect_list(message)).alias("rows")
+    )
+    records = F.transform("rows", lambda r: r.dropFields("doc_id"))
+    line = F.to_json(F.struct(records.alias("Records")))
+    line = F.when(F.pmod("batch", F.lit(50)) == 49, F.substring(line, 1, 20)).otherwise(line)
+    place = work_dir(spark, "deliveries")
+    batches.select(line.alias("value")).write.text(place)
+    found = read_notifications(spark, place, inputs.AS_OF, deliveries="lines")
+    return found.select("message_id", "body", F.unix_millis("received_at").alias("received_ms"))
 
 
 def document_lookup(spark, sf_dir):
@@ -242,13 +268,16 @@ def page_matches(spark, sf_dir):
     return found.select("page_id", *joined_lists(F.col("classification")))
 
 
-def labelled_text_matches(spark, sf_dir):
+def sentences(spark, sf_dir) -> DataFrame:
     """Order facts written out as sentences, which have what the documents lack."""
     orders = inputs.table(spark, sf_dir, "orders")
     number = F.col("o_orderkey").cast("string")
     padded = F.lpad(number, 9, "0")
+    names = F.array(*[F.lit(n) for n in ("Ada Lovelace", "Alan Turing", "Grace Hopper")])
     text = F.concat(
-        F.lit("Name: Ada Lovelace. SSN: "),
+        F.lit("Name: "),
+        F.get(names, (F.col("o_orderkey") % 3).cast("int")),
+        F.lit(". SSN: "),
         F.concat_ws("-", F.substring(padded, 1, 3), F.substring(padded, 4, 2), F.substring(padded, 6, 4)),
         F.lit(" born "),
         F.date_format("o_orderdate", "MM/dd/yyyy"),
@@ -261,10 +290,24 @@ def labelled_text_matches(spark, sf_dir):
         F.lit(". Status "),
         F.col("o_orderstatus"),
     )
-    found = classify.classify_rules(orders.select("o_orderkey", text.alias("text")), SETTINGS)
+    return orders.select("o_orderkey", text.alias("text"))
+
+
+def labelled_text_matches(spark, sf_dir):
+    found = classify.classify_rules(sentences(spark, sf_dir), SETTINGS)
     return found.select("o_orderkey", *joined_lists(F.col("classification")))
 
 
+def long_text_matches(spark, sf_dir):
+    """Two hundred documents at a time as one text, with a number to find at its end."""
+    docs = inputs.documents(spark, sf_dir).select(F.floor(F.col("doc_id") / 200).alias("part"), "doc_id", "text")
+    texts = document_sources.joined_lines(docs, ["part"], "text", "doc_id")
+    last = F.lpad(F.col("part").cast("string"), 4, "0")
+    texts = texts.select("part", F.concat("text", F.lit("\nSSN: 123-45-"), last).alias("text"))
+    found = classify.classify_rules(texts, SETTINGS)
+    return found.select("part", *joined_lists(F.col("classification")))
+
+
 def document_pii_counts(spark, sf_dir):
     """The flow end to end: messages to masked classifications to counts per document."""
     outcomes = clean_outcomes(spark, sf_dir)
@@ -296,7 +339,7 @@ def parsed_responses(spark, sf_dir):
     )
 
 
-def sample_model(prompt: str) -> str:
+def sample_model(system: str, prompt: str) -> str:
     """Stands in for a model: plain, fenced, chatty and failing answers by text length."""
     text = prompt[len(USER_PREFIX):]
     if len(text) % 7 == 0:
@@ -350,18 +393,21 @@ def unmasked_rows(spark, sf_dir):
 
 
 def leak_scan(spark, sf_dir):
-    """Summaries, audit rows, and log lines that wrongly carry the text of labelled documents."""
+    """Summaries, audit rows, failures, and log lines that wrongly carry the texts."""
     place = work_dir(spark, "records")
     document_records(spark, sf_dir).write.parquet(place)
     records = spark.read.parquet(place)
     values = reports.explode_pii(vault.with_classification(records), ["document_id"])
-    labelled = inputs.table(spark, sf_dir, "labels").select("doc_id").distinct()
-    logs = inputs.documents(spark, sf_dir).join(labelled, "doc_id", "left_semi").select(
+    logs = inputs.documents(spark, sf_dir).select(
         document_id(F.col("source_key")).alias("document_id"), F.col("text").alias("message")
     )
+    valid, rejected = split_valid(requests_of(inputs.messages(spark, sf_dir), SETTINGS))
+    missing = lookup.missing_documents(valid, inputs.documents(spark, sf_dir))
+    failed = delivery.collect_failures(rejected, missing.withColumn("stage", F.lit("extract")))
     outward = (
         privacy.outward_texts(vault.output_rows(records), "output")
         .unionByName(privacy.outward_texts(vault.audit_rows(records), "audit"))
+        .unionByName(privacy.outward_texts(failed, "failure"))
         .unionByName(privacy.outward_texts(logs, "log"))
     )
     leaks = privacy.scan_for_leaks(values, outward)
@@ -392,20 +438,39 @@ def size_guarded(spark, sf_dir):
     )
 
 
-def preloaded(spark, sf_dir) -> DataFrame:
-    """Vault rows of the labelled documents, as if an earlier run had stored them."""
-    labelled = inputs.table(spark, sf_dir, "labels").select("doc_id").distinct()
-    docs = inputs.documents(spark, sf_dir).join(labelled, "doc_id", "left_semi")
+def masked_vault_records(spark, sf_dir):
+    """Vault rows of texts with social security numbers, which only the vault step masks."""
+    rows = classify.classify_rules(
+        sentences(spark, sf_dir).select(
+            F.lit(inputs.BUCKET).alias("source_bucket"),
+            F.concat(F.lit("incoming/orders/"), F.col("o_orderkey").cast("string")).alias("source_key"),
+            F.col("o_orderkey").alias("version"),
+            "text",
+        ),
+        SETTINGS,
+    )
+    return vault.vault_rows(rows, SETTINGS, inputs.AS_OF).select("source_key", "version", "pii_counts", "pii_data")
+
+
+def identities(docs: DataFrame) -> DataFrame:
     return docs.select(
-        document_id(F.col("source_key")).alias("document_id"), version_ms(F.col("received_at")).alias("version")
+        document_id(F.col("source_key")).alias("document_id"),
+        "source_bucket",
+        version_ms(F.col("received_at")).alias("version"),
+        "source_key",
     )
 
 
 def appended(spark, sf_dir) -> DataFrame:
     """Every document delivered twice to a vault that already has the labelled ones."""
+    docs = inputs.documents(spark, sf_dir)
+    labelled = inputs.table(spark, sf_dir, "labels").select("doc_id").distinct()
     delivered = F.explode(F.array(F.lit(1), F.lit(2))).alias("_delivery")
-    records = document_records(spark, sf_dir).select("*", delivered).drop("_delivery")
-    return vault.append_new_only(records, preloaded(spark, sf_dir))
+    candidates = identities(docs).select("*", delivered).drop("_delivery")
+    stored_before = identities(docs.join(labelled, "doc_id", "left_semi"))
+    fresh = vault.append_new_only(candidates, stored_before)
+    found = rule_classified(spark, sf_dir).select(*lookup.KEY, "classification")
+    return vault.vault_rows(fresh.join(found, lookup.KEY), SETTINGS, inputs.AS_OF)
 
 
 def vault_append(spark, sf_dir):
@@ -455,7 +520,8 @@ def versioned(spark, sf_dir) -> DataFrame:
 
 
 def version_history(spark, sf_dir):
-    return as_text(vault.version_history(versioned(spark, sf_dir)), "previous_version", "items_change")
+    history = vault.version_history(versioned(spark, sf_dir)).drop("source_bucket")
+    return as_text(history, "previous_version", "items_change")
 
 
 def output_latest(spark, sf_dir):
@@ -474,21 +540,30 @@ def expiry_moment():
     return "2024-12-31 00:01:40"
 
 
+def expiring(spark, sf_dir) -> DataFrame:
+    """When the record of each document expires, if it is stored as the document arrives."""
+    docs = inputs.documents(spark, sf_dir)
+    return identities(docs).withColumn(
+        "expires_at", expires_at(F.timestamp_millis("version"), SETTINGS.ttl_days)
+    )
+
+
 def active_records(spark, sf_dir):
-    records = document_records(spark, sf_dir, as_of=F.col("received_at"))
+    records = expiring(spark, sf_dir)
     return vault.active_records(records, expiry_moment()).select("document_id", "version", "expires_at")
 
 
 def expired_records(spark, sf_dir):
-    records = document_records(spark, sf_dir, as_of=F.col("received_at"))
+    records = expiring(spark, sf_dir)
     return vault.expired_records(records, expiry_moment()).select("document_id", "version", "expires_at")
 
 
 def audit_history(spark, sf_dir):
-    """Documents that take as many milliseconds as they have characters."""
-    done = F.timestamp_millis(F.unix_millis("received_at") + F.col("n_chars"))
-    audit = vault.audit_rows(document_records(spark, sf_dir, as_of=done))
-    history = reports.audit_history(audit)
+    """Documents of seven days, each taking as many milliseconds as it has characters."""
+    day = F.pmod("doc_id", F.lit(7)) * DAY_S * 1000
+    rows = rule_classified(spark, sf_dir).withColumn("version", version_ms(F.col("received_at")) + day)
+    done = F.timestamp_millis(F.col("version") + F.col("n_chars"))
+    history = reports.audit_history(vault.audit_rows(vault.vault_rows(rows, SETTINGS, done)))
     return history.withColumns(
         {
             "audit_date": F.col("audit_date").cast("string"),
@@ -501,17 +576,25 @@ def audit_history(spark, sf_dir):
 
 
 def retry_messages(spark, sf_dir):
-    messages = inputs.messages(spark, sf_dir)
-    retry = delivery.select_for_retry(messages, failures(spark, sf_dir))
+    """Failed messages; those of even seconds have failed three times and are dead letters."""
+    failed = failures(spark, sf_dir)
+    times = F.when(F.col("version") % 2000 == 0, F.sequence(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0)))
+    attempts = failed.select("*", F.explode(times).alias("batch_id"))
+    dead = delivery.dead_letters(delivery.attempt_ledger(attempts), SETTINGS.max_deliveries)
+    retry = delivery.select_for_retry(inputs.messages(spark, sf_dir), attempts, dead)
     return retry.select("message_id", F.unix_millis("received_at").alias("received_ms"))
 
 
 def ledger(spark, sf_dir) -> DataFrame:
-    """Error events as failed attempts: users are messages, event kinds their documents."""
+    """Error events as failed attempts: users are messages, each about many documents; some
+    events name none and are told apart by what stands for their body."""
     events = inputs.table(spark, sf_dir, "events").filter("event_type = 'error'")
+    named = F.when(F.col("event_id") % 11 != 0, F.sha2((F.col("event_id") % 40).cast("string"), 256))
+    body = F.concat(F.lit("body:"), (F.col("event_id") % 3).cast("string"))
     attempts = events.select(
         F.col("user_id").cast("string").alias("message_id"),
-        F.sha2("event_type", 256).alias("document_id"),
+        F.coalesce(named, body).alias("message_key"),
+        named.alias("document_id"),
         F.lit("classify").alias("stage"),
         F.lit("ClassificationError").alias("error_type"),
         F.col("props").alias("error"),
@@ -564,11 +647,11 @@ def durations(spark, sf_dir) -> DataFrame:
 
 
 def duration_windows(spark, sf_dir):
-    return in_ms(monitor.duration_windows(durations(spark, sf_dir)))
+    return in_ms(monitor.exact_duration_windows(durations(spark, sf_dir)))
 
 
 def slow_alarm(spark, sf_dir):
-    windows = monitor.duration_windows(durations(spark, sf_dir))
+    windows = monitor.exact_duration_windows(durations(spark, sf_dir))
     return in_ms(monitor.slow_alarm(windows, slow_ms=SETTINGS.slow_ms / 1000))
 
 
@@ -582,26 +665,38 @@ def stream_table(spark, sf_dir, name):
 
 
 def finish(query) -> None:
-    if not query.awaitTermination(STREAM_WAIT_S):
-        query.stop()
-        raise TimeoutError("stream did not finish")
+    """Wait until an availableNow stream has gone through its input, however long that takes."""
+    query.awaitTermination()
 
 
-def run_message_stream(spark, sf_dir) -> Tables:
+def inbox(spark, sf_dir, copies: int = 1) -> tuple[str, int]:
+    """A folder with the damaged messages as JSON lines in several files, and a quarter of their number."""
+    raw = inputs.announced(inputs.table(spark, sf_dir, "documents"), damaged=True)
+    raw = raw.select("*", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("_copy"))
+    quarter = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    place = work_dir(spark, "inbox")
+    files = raw.repartition(4 * quarter, F.xxhash64("body", "receivedAt", "_copy")).drop("_copy")
+    files.write.json(place)
+    return place, quarter
+
+
+def run_message_stream(spark, sf_dir, runs: int = 1) -> Tables:
+    """The message stream over four micro-batches and more, once or again from the start."""
     place = work_dir(spark, "stream")
     tables = Tables(f"{place}/tables")
-    raw = inputs.announced(stream_table(spark, sf_dir, "documents"), damaged=True)
-    finish(
-        run_stream(
-            normalize_messages(raw, inputs.AS_OF),
-            inputs.documents(spark, sf_dir),
-            tables,
-            f"{place}/checkpoint",
-            SETTINGS,
-            as_of=inputs.AS_OF,
-            trigger={"availableNow": True},
+    files, quarter = inbox(spark, sf_dir)
+    for run in range(runs):
+        finish(
+            run_stream(
+                stream_notifications(spark, files, quarter, inputs.AS_OF),
+                inputs.documents(spark, sf_dir),
+                tables,
+                f"{place}/checkpoint-{run}",
+                SETTINGS,
+                as_of=inputs.AS_OF if run == 0 else LATER,
+                trigger={"availableNow": True},
+            )
         )
-    )
     return tables
 
 
@@ -619,32 +714,85 @@ def streamed_failures(spark, sf_dir):
 
 
 def streamed_audit(spark, sf_dir):
-    tables = run_message_stream(spark, sf_dir)
+    """The audit table after the stream was run, its checkpoint lost, and all delivered again a day later."""
+    tables = run_message_stream(spark, sf_dir, runs=2)
     audit = read_table(spark, tables, "audit")
     return audit.select("audit_key", "source_key_hash", item_total(F.col("pii_counts")).alias("items"))
 
 
+def streamed_output(spark, sf_dir):
+    """The newest summary per output key from the table that the stream wrote."""
+    tables = run_message_stream(spark, sf_dir)
+    latest = vault.latest_version(read_table(spark, tables, "output"), "output_key")
+    return wide_counts(latest, "output_key", "version")
+
+
+def refusing_model(system: str, prompt: str) -> str:
+    raise ValueError("refused")
+
+
+def replayed_batch(spark, sf_dir):
+    """A batch whose model refused everything, run again a day later with the built-in patterns."""
+    tables = Tables(f"{work_dir(spark, 'replay')}/tables")
+    messages, docs = inputs.messages(spark, sf_dir), inputs.documents(spark, sf_dir)
+    process_batch(messages, docs, tables, 0, inputs.AS_OF, SETTINGS, model=refusing_model)
+    process_batch(messages, docs, tables, 0, LATER, SETTINGS, whole_table=True)
+    parts = {"vault": ("document_id", "processed_at"), "audit": ("audit_key", "processed_at"), "failures": ("message_id", "error")}
+    rows = [
+        read_table(spark, tables, name).select(
+            F.lit(name).alias("table_name"), F.col(key).alias("key"), F.col(detail).alias("detail")
+        )
+        for name, (key, detail) in parts.items()
+    ]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2])
+
+
+def purged_tables(spark, sf_dir):
+    """Two batches, the first of which has expired; rows of every table before and after a snapshot."""
+    place = work_dir(spark, "purge")
+    tables, target = Tables(f"{place}/tables"), Tables(f"{place}/snapshot")
+    messages, docs = inputs.messages(spark, sf_dir), inputs.documents(spark, sf_dir)
+    for batch_id, moment in enumerate((inputs.AS_OF, "2024-06-01 00:00:00")):
+        own = messages.filter(F.unix_seconds("received_at") % 2 == batch_id)
+        process_batch(own, docs, tables, batch_id, moment, SETTINGS, whole_table=True)
+    write_snapshot(spark, tables, target, "2025-02-15 00:00:00", SETTINGS, merge_before=1)
+    return snapshot_counts(spark, tables, target)
+
+
 def streamed_distinct(spark, sf_dir):
-    """Every message delivered twice; the stream lets the first through."""
+    """Every message delivered twice, often in different batches; the first goes through."""
     place = work_dir(spark, "distinct")
-    docs = stream_table(spark, sf_dir, "documents")
-    twice = docs.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("_delivery"))
-    messages = normalize_messages(inputs.announced(twice, damaged=True), inputs.AS_OF)
-    kept = dedupe_stream(messages, SETTINGS).select("source_key", "document_id", "version")
-    finish(append_stream(kept, f"{place}/rows", f"{place}/checkpoint", {"availableNow": True}))
-    return spark.read.schema(kept.schema).parquet(f"{place}/rows")
+    files, quarter = inbox(spark, sf_dir, copies=2)
+    tables = Tables(f"{place}/tables")
+    messages = stream_notifications(spark, files, quarter, inputs.AS_OF)
+    finish(dedupe_stream(messages, tables, f"{place}/checkpoint", SETTINGS, trigger={"availableNow": True}))
+    return read_table(spark, tables, "distinct").select("source_key", "document_id", "version")
 
 
-def streamed_error_alarm(spark, sf_dir):
-    """Windows that a five-minute watermark has closed by the end of the events."""
+def error_windows_stream(spark, sf_dir) -> DataFrame:
     place = work_dir(spark, "errors")
-    events = stream_table(spark, sf_dir, "events").select(
+    windows = monitor.error_alarm(event_levels(stream_table(spark, sf_dir, "events")))
+    finish(append_stream(windows, f"{place}/rows", f"{place}/checkpoint", {"availableNow": True}))
+    return spark.read.schema(windows.schema).parquet(f"{place}/rows")
+
+
+def event_levels(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.when(F.col("event_type") == "error", F.lit("ERROR")).otherwise(F.lit("INFO")).alias("level"),
     )
-    windows = monitor.error_alarm(events)
-    finish(append_stream(windows, f"{place}/rows", f"{place}/checkpoint", {"availableNow": True}))
-    return in_ms(spark.read.schema(windows.schema).parquet(f"{place}/rows"))
+
+
+def streamed_error_alarm(spark, sf_dir):
+    """Windows that a five-minute watermark has closed by the end of the events."""
+    return in_ms(error_windows_stream(spark, sf_dir))
+
+
+def corrected_error_alarm(spark, sf_dir):
+    """The stream's windows and what a computation over the whole table adds to them."""
+    streamed = error_windows_stream(spark, sf_dir)
+    whole = monitor.error_alarm(event_levels(inputs.table(spark, sf_dir, "events")))
+    return in_ms(streamed.unionByName(monitor.corrections(streamed, whole)))
 
 
 def streamed_slow_alarm(spark, sf_dir):
@@ -668,6 +816,7 @@ QUERIES = [
     failure_list,
     failure_breakdown,
     batch_summary,
+    delivered_messages,
     document_lookup,
     assembled_lines,
     assembled_blocks,
@@ -677,6 +826,7 @@ QUERIES = [
     rule_matches,
     page_matches,
     labelled_text_matches,
+    long_text_matches,
     pii_items,
     category_totals,
     parsed_responses,
@@ -685,6 +835,7 @@ QUERIES = [
     unmasked_rows,
     leak_scan,
     vault_records,
+    masked_vault_records,
     size_guarded,
     vault_append,
     output_records,
@@ -706,8 +857,12 @@ QUERIES = [
     streamed_records,
     streamed_failures,
     streamed_audit,
+    streamed_output,
+    replayed_batch,
+    purged_tables,
     streamed_distinct,
     streamed_error_alarm,
+    corrected_error_alarm,
     streamed_slow_alarm,
 ]
 

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from docvault.functions.masking import mask_ssns
 from docvault.functions.text import is_blank
 from docvault.operators.classify import (
+    classify_in_pieces,
     classify_rules,
-    classify_with,
-    parse_responses,
     with_errors,
 )
 from docvault.operators.delivery import collect_failures
@@ -25,13 +24,13 @@ from docvault.operators.ingest import (
 )
 from docvault.operators.lookup import KEY, requested_keys
 from docvault.operators.vault import vault_rows
-from docvault.schemas import OUTCOME
+from docvault.schemas import OUTCOME, REQUEST
 from docvault.settings import JobSettings
 
 Classifier = Callable[[DataFrame], DataFrame]
 
-# Keys have at most 1,024 characters, so this many stay well below 100 MB in memory.
-MAX_FEW_KEYS = 20_000
+# A table of (source_bucket, source_key, text), or a function from distinct keys to such rows.
+Documents = DataFrame | Callable[[DataFrame], DataFrame]
 
 
 def rules_classifier(settings: JobSettings) -> Classifier:
@@ -41,11 +40,11 @@ def rules_classifier(settings: JobSettings) -> Classifier:
     return classify
 
 
-def model_classifier(model: Callable[[str], str], settings: JobSettings) -> Classifier:
+def model_classifier(model: Callable[[str, str], str], settings: JobSettings) -> Classifier:
     def classify(texts: DataFrame) -> DataFrame:
         if settings.model_tasks:
             texts = texts.repartition(settings.model_tasks, *KEY)
-        return parse_responses(classify_with(texts, model, settings))
+        return classify_in_pieces(texts, KEY, model, settings)
 
     return classify
 
@@ -73,48 +72,39 @@ def classify_documents(documents: DataFrame, classify: Classifier) -> DataFrame:
     )
 
 
-def process_messages(
-    messages: DataFrame,
-    documents: DataFrame | Callable[[DataFrame], DataFrame],
-    settings: JobSettings,
-    model: Callable[[str], str] | None = None,
-    explode_records: bool = False,
-    few_keys: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """(outcomes, rejected): what became of each valid message, and the invalid ones.
-
-    documents is a table of (source_bucket, source_key, text), or a function that fetches
-    the documents of a table of distinct keys.
-
-    Both results are plans: with a model, write the outcomes before using them twice, or
-    the model is called twice (plans.batch does).
+def requests_of(messages: DataFrame, settings: JobSettings, explode_records: bool = False) -> DataFrame:
+    """Each message, or each of its records, as a checked request; errors say which go no further."""
+    checked = validate_inputs(parse_notifications(messages, explode_records), settings)
+    return checked.select(*REQUEST.names)
 
-    With the built-in rules a document table is classified where it lies, and only the small
-    result is exchanged, never the text. A model is called once per requested document: the
-    distinct keys select the texts first. Either way a document announced a million times is
-    classified once.
 
-    few_keys says that the messages are known to ask for at most MAX_FEW_KEYS documents. Then
-    the keys are broadcast and select the texts before the rules too, still without an
-    exchange of texts.
+def results_of(
+    valid: DataFrame,
+    documents: Documents,
+    settings: JobSettings,
+    model: Callable[[str, str], str] | None = None,
+    whole_table: bool = False,
+) -> DataFrame:
+    """What was found in each requested document: one row per document, however often announced.
+
+    The requested keys select the texts first, where Spark broadcasts them if they are few.
+    With whole_table the caller says that about all documents are asked for; they are then
+    classified where they lie and only what was found is exchanged, never a text.
     """
-    parsed = parse_notifications(messages, explode_records)
-    valid, rejected = split_valid(validate_inputs(parsed, settings))
-    requests = valid.select("message_id", *KEY, "document_id", "version")
-
-    keys = requested_keys(requests)
+    keys = requested_keys(valid)
     if callable(documents):
         texts = documents(keys)
-    elif few_keys:
-        texts = documents.join(F.broadcast(keys), KEY, "left_semi")
-    elif model:
-        texts = documents.join(keys, KEY, "left_semi")
-    else:
+    elif whole_table:
         texts = documents
+    else:
+        texts = documents.join(keys, KEY, "left_semi")
     classify = model_classifier(model, settings) if model else rules_classifier(settings)
-    results = classify_documents(texts, classify)
+    return classify_documents(texts, classify)
+
 
-    joined = requests.join(results.withColumn("_found", F.lit(True)), KEY, "left")
+def outcomes_of(valid: DataFrame, results: DataFrame) -> DataFrame:
+    """What became of each valid request. Carries what columns of a result there are."""
+    joined = valid.drop("error_type", "error").join(results.withColumn("_found", F.lit(True)), KEY, "left")
     missing = F.col("_found").isNull()
     outcomes = joined.withColumns(
         {
@@ -124,15 +114,27 @@ def process_messages(
             "blank": F.coalesce("blank", F.lit(False)),
         }
     )
-    return outcomes.select(*OUTCOME.names), rejected
+    return outcomes.select(*[c for c in OUTCOME.names if c in outcomes.columns])
 
 
-def asks_for_few(messages: DataFrame) -> bool:
-    """Whether there are at most MAX_FEW_KEYS messages, so no more documents than that.
+def process_messages(
+    messages: DataFrame,
+    documents: Documents,
+    settings: JobSettings,
+    model: Callable[[str, str], str] | None = None,
+    explode_records: bool = False,
+    whole_table: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(outcomes, rejected): what became of each valid message, and the invalid ones.
+
+    documents is a table of (source_bucket, source_key, text), or a function that fetches
+    the documents of a table of distinct keys.
 
-    take() stops at the first partitions that hold enough, and brings back constants only.
+    Both results are plans: with a model, write the outcomes before using them twice, or
+    the model is called twice (plans.batch writes each step).
     """
-    return len(messages.select(F.lit(1)).take(MAX_FEW_KEYS + 1)) <= MAX_FEW_KEYS
+    valid, rejected = split_valid(requests_of(messages, settings, explode_records))
+    return outcomes_of(valid, results_of(valid, documents, settings, model, whole_table)), rejected
 
 
 def stored(outcomes: DataFrame) -> DataFrame:

@@ -23,15 +23,42 @@ COUNTS = T.StructType([T.StructField(c, T.IntegerType()) for c in CATEGORIES])
 # One queue message per JSON line.
 MESSAGE = "messageId STRING, body STRING, receivedAt TIMESTAMP"
 # One delivered batch per JSON document.
-DELIVERY = "Records ARRAY<STRUCT<messageId: STRING, body: STRING, receivedAt: TIMESTAMP>>"
+DELIVERY = "Records ARRAY<STRUCT<messageId: STRING, body: STRING, receivedAt: TIMESTAMP>>, unreadable STRING"
 
 OCR_BLOCKS = T.ArrayType(
     T.StructType().add("BlockType", T.StringType()).add("Text", T.StringType())
 )
 
+# The moment a batch was first run at.
+MOMENT = T.StructType().add("as_of_us", T.LongType())
+
+REQUEST = (
+    T.StructType()
+    .add("message_id", T.StringType())
+    .add("message_key", T.StringType())
+    .add("source_bucket", T.StringType())
+    .add("source_key", T.StringType())
+    .add("document_id", T.StringType())
+    .add("version", T.LongType())
+    .add("error_type", T.StringType())
+    .add("error", T.StringType())
+)
+
+RESULT = (
+    T.StructType()
+    .add("source_bucket", T.StringType())
+    .add("source_key", T.StringType())
+    .add("blank", T.BooleanType())
+    .add("stage", T.StringType())
+    .add("classification", CLASSIFICATION)
+    .add("error_type", T.StringType())
+    .add("error", T.StringType())
+)
+
 OUTCOME = (
     T.StructType()
     .add("message_id", T.StringType())
+    .add("message_key", T.StringType())
     .add("source_bucket", T.StringType())
     .add("source_key", T.StringType())
     .add("document_id", T.StringType())
@@ -60,6 +87,7 @@ VAULT = (
 OUTPUT = (
     T.StructType()
     .add("output_key", T.StringType())
+    .add("source_bucket", T.StringType())
     .add("document_id", T.StringType())
     .add("version", T.LongType())
     .add("pii_counts", COUNTS)
@@ -81,6 +109,7 @@ AUDIT = (
 FAILURE = (
     T.StructType()
     .add("message_id", T.StringType())
+    .add("message_key", T.StringType())
     .add("document_id", T.StringType())
     .add("version", T.LongType())
     .add("stage", T.StringType())

@@ -9,8 +9,14 @@ from dataclasses import dataclass
 class JobSettings:
     expected_bucket: str | None = None
     ttl_days: int = 365
-    max_text_chars: int = 180_000
-    max_pii_bytes: int = 350_000
+    # Cut texts before a model, and replace large classifications by a marker. Both lose values,
+    # so they are off unless a number is given.
+    max_text_chars: int | None = None
+    max_pii_bytes: int | None = None
+    # A model gets longer texts in pieces of so many characters, each starting so many before
+    # the end of the last.
+    piece_chars: int = 180_000
+    piece_overlap: int = 1_000
     max_attempts: int = 3
     retry_base_ms: int = 500
     max_deliveries: int = 3

@@ -25,19 +25,16 @@ def joined_lines(rows: DataFrame, by: list[str], text: str, order: str) -> DataF
 def texts_from_block_rows(blocks: DataFrame, keys: list[str], chunk: int = 4096) -> DataFrame:
     """Text per document from one row per block (keys, seq, BlockType, Text).
 
-    seq numbers the blocks of a document from zero. Documents without lines give "". A
-    document with more than `chunk` blocks is put together from chunks that are made in
-    parallel, so the task that ends up with its text never holds its single blocks.
+    seq numbers the blocks of a document from zero. Documents without lines give "". Lines are
+    joined within runs of `chunk` numbers first and the runs after that, so the task that ends
+    up with a text never holds its single blocks.
     """
     line = F.when((F.col("BlockType") == "LINE") & (F.length("Text") > 0), F.col("Text"))
-    lines = blocks.select(*keys, "seq", line.alias("text"))
-    long = blocks.filter(F.col("seq") >= chunk).select(*keys).distinct()
-
-    usual = joined_lines(lines.join(long, keys, "left_anti"), keys, "text", "seq")
-    pieces = lines.join(long, keys, "left_semi").withColumn("_chunk", F.floor(F.col("seq") / chunk))
-    pieces = joined_lines(pieces, [*keys, "_chunk"], "text", "seq")
-    whole = joined_lines(pieces, keys, "text", "_chunk")
-    return usual.unionByName(whole).select(*keys, F.coalesce("text", F.lit("")).alias("text"))
+    run = F.floor(F.col("seq") / chunk)
+    lines = blocks.select(*keys, "seq", run.alias("_run"), line.alias("text"))
+    runs = joined_lines(lines, [*keys, "_run"], "text", "seq")
+    whole = joined_lines(runs, keys, "text", "_run")
+    return whole.select(*keys, F.coalesce("text", F.lit("")).alias("text"))
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:

@@ -1,4 +1,8 @@
-"""The windowed alarms as streams that append finished windows to tables."""
+"""The windowed alarms as streams that append finished windows to tables.
+
+Rows that come after the watermark are left out of the windows. Run the same operator over the
+table of all rows when that has happened, and append operators.monitor.corrections.
+"""
 
 from __future__ import annotations
 

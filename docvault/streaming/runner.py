@@ -6,13 +6,16 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docvault.operators.delivery import attempt_ledger, dead_letters
-from docvault.operators.ingest import parse_notifications, split_valid, validate_inputs
+from docvault.operators.ingest import split_valid
+from docvault.operators.vault import IDENTITY, append_new_only
 from docvault.plans.batch import process_batch
+from docvault.plans.process import requests_of
 from docvault.settings import JobSettings
-from docvault.sources.sinks import Tables, read_table
+from docvault.sources.sinks import Tables, create_tables, read_table, write_batch
 
 
 def run_stream(
@@ -21,19 +24,25 @@ def run_stream(
     tables: Tables,
     checkpoint: str,
     settings: JobSettings,
-    model: Callable[[str], str] | None = None,
+    model: Callable[[str, str], str] | None = None,
     as_of: datetime | str | None = None,
     trigger: dict | None = None,
+    explode_records: bool = False,
+    whole_table: bool = False,
 ) -> StreamingQuery:
     """Process every micro-batch into the tables.
 
     There is no watermark here, so late messages are processed like any other. A batch that
-    is delivered again after a crash replaces its own rows.
+    is delivered again after a crash replaces its own rows and keeps its moment. From time to
+    time stop the stream, let plans.batch.write_snapshot merge the parts of old batches, and go
+    on with the snapshot.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         moment = as_of or datetime.now(timezone.utc)
-        process_batch(batch, documents, tables, batch_id, moment, settings, model)
+        process_batch(
+            batch, documents, tables, batch_id, moment, settings, model, explode_records, whole_table
+        )
 
     return (
         messages.writeStream.foreachBatch(on_batch)
@@ -43,15 +52,32 @@ def run_stream(
     )
 
 
-def dedupe_stream(messages: DataFrame, settings: JobSettings, watermark: str = "1 day") -> DataFrame:
-    """Valid requests with repeated deliveries of one (document, version) removed early.
+def dedupe_stream(
+    messages: DataFrame,
+    tables: Tables,
+    checkpoint: str,
+    settings: JobSettings,
+    explode_records: bool = False,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Valid requests, the first of each (document, bucket, version), into the table `distinct`.
 
-    State is kept only as long as the watermark allows; the exact rule is the anti join of
-    the vault write.
+    Exact whatever the delay: a request is compared with all that were let through, so none is
+    dropped for being late and none passes twice. Run again, a batch replaces its own rows.
     """
-    valid, _ = split_valid(validate_inputs(parse_notifications(messages), settings))
-    return valid.withWatermark("received_at", watermark).dropDuplicatesWithinWatermark(
-        ["document_id", "version"]
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        create_tables(spark, tables)
+        valid, _ = split_valid(requests_of(batch, settings, explode_records))
+        seen = read_table(spark, tables, "distinct").filter(F.col("batch_id") != batch_id)
+        write_batch(append_new_only(valid, seen.select(*IDENTITY)), tables, "distinct", batch_id)
+
+    return (
+        messages.writeStream.foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+        .start()
     )
 
 

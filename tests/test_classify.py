@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from docvault.functions import rules
-from docvault.functions.text import USER_PREFIX
+from docvault.functions.text import SYSTEM_PROMPT, USER_PREFIX, text_pieces
 from docvault.operators.classify import (
     TransientError,
+    classify_in_pieces,
     classify_rules,
     classify_with,
     extract_with,
@@ -67,7 +68,8 @@ def test_other_items(spark):
 
 @pytest.fixture
 def fake_model():
-    def model(prompt):
+    def model(system, prompt):
+        assert system == SYSTEM_PROMPT
         text = prompt[len(USER_PREFIX):]
         if text == "busy":
             raise TransientError("429")
@@ -96,6 +98,36 @@ def test_long_text_is_cut_before_the_call(spark, fake_model):
     assert json.loads(answer["response"])["names"] == ["A" * 10 + "\n[TEXT TRUNCATED]"]
 
 
+def test_long_texts_go_out_in_pieces(spark):
+    def model(system, prompt):
+        text = prompt[len(USER_PREFIX):]
+        if "stop" in text:
+            raise ValueError("refused")
+        return json.dumps({"names": re.findall("[A-Z][a-z]+", text), "emails": ["x"] * text.count("@")})
+
+    texts = [("long", "." * 95 + "Ann" + "." * 100 + "Bob" + "." * 30 + "Ann@"), ("short", "Ann Ann @@"), ("none", None), ("bad", "." * 150 + "stop")]
+    rows = spark.createDataFrame(texts, "key string, text string").withColumn("blank", F.lit(False))
+    settings = JobSettings(piece_chars=100, piece_overlap=10, retry_base_ms=1)
+    got = {r["key"]: r for r in classify_in_pieces(rows, ["key"], model, settings).collect()}
+    assert len(got) == 4
+    assert sorted(got["long"]["classification"]["names"]) == ["Ann", "Bob"] and got["long"]["classification"]["emails"] == ["x"]
+    assert got["short"]["classification"]["names"] == ["Ann", "Ann"] and got["short"]["classification"]["emails"] == ["x", "x"]
+    assert got["bad"]["classification"] is None and got["bad"]["error"] == "ValueError"
+
+
+@pytest.mark.parametrize("length", [0, 1, 99, 100, 101, 190, 191, 1000])
+def test_pieces_cover_the_text(spark, length):
+    text = "".join(chr(97 + i % 26) for i in range(length))
+    row = spark.createDataFrame([(text,)], "x string").select(text_pieces(F.col("x"), 100, 10).alias("p")).first()
+    whole = row["p"][0] + "".join(p[10:] for p in row["p"][1:])
+    assert whole == text and all(len(p) <= 100 for p in row["p"]) and (len(row["p"]) == 1) == (length <= 100)
+
+
+def test_matches_behind_the_old_limit(spark):
+    rows = spark.createDataFrame([("x " * 100_000 + "SSN: 123-45-6789",)], "text string")
+    assert classify_rules(rows, SETTINGS).first()["classification"]["ssns"] == ["123-45-6789"]
+
+
 def test_retries_wait_twice_as_long(monkeypatch):
     waits, calls = [], []
     monkeypatch.setattr("time.sleep", waits.append)

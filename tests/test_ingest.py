@@ -4,7 +4,13 @@ import urllib.parse
 import pytest
 from pyspark.sql import functions as F
 
-from docvault.operators.delivery import collect_failures, select_for_retry
+from docvault.operators.delivery import (
+    attempt_ledger,
+    collect_failures,
+    dead_letters,
+    failure_rows,
+    select_for_retry,
+)
 from docvault.operators.ingest import parse_notifications, split_valid, validate_inputs
 from docvault.operators.lookup import drop_blank_text, lookup_documents, requested_keys
 from docvault.settings import JobSettings
@@ -142,8 +148,22 @@ def test_one_failure_leaves_the_others(spark):
     assert set(rows) == {"m1", "m2"}
     assert rows["m1"]["document_id"] is None and rows["m2"]["document_id"] is not None
     assert not rows["m1"]["retryable"]
-    retry = select_for_retry(messages(spark, ["a", "b", "c"]), failures)
+    again = messages(spark, [direct(BUCKET, "incoming/ok"), "broken", direct(BUCKET, "x")])
+    retry = select_for_retry(again, failures)
     assert sorted(r["message_id"] for r in retry.collect()) == ["m1", "m2"]
+    assert retry.columns == again.columns
+
+
+def test_messages_without_an_id_are_told_apart(spark):
+    unnamed = messages(spark, ["a", "b", "c", direct(BUCKET, "incoming/ok"), "b"]).withColumn("message_id", F.lit("unknown"))
+    checked = validate_inputs(parse_notifications(unnamed), SETTINGS)
+    _, rejected = split_valid(checked)
+    failed = failure_rows(rejected, "validate").withColumn("batch_id", F.lit(0))
+    ledger = attempt_ledger(failed)
+    assert sorted(r["attempts"] for r in ledger.collect()) == [1, 1, 2]
+    assert dead_letters(ledger, 3).isEmpty()
+    retry = select_for_retry(unnamed, failed.filter("false").unionAll(failed), dead_letters(ledger, 2))
+    assert sorted(r["body"] for r in retry.collect()) == ["a", "c"]
 
 
 def test_lookup_and_blank(spark):

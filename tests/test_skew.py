@@ -52,7 +52,7 @@ def test_hot_document(spark, small_partitions):
         F.concat(F.lit("incoming/"), F.col("id").cast("string")).alias("source_key"),
         F.concat(F.lit("mail user"), F.col("id").cast("string"), F.lit("@example.com")).alias("text"),
     )
-    outcomes, rejected = process_messages(hot_messages(spark, total), documents, SETTINGS)
+    outcomes, rejected = process_messages(hot_messages(spark, total), documents, SETTINGS, whole_table=True)
     rows, plan = executed(outcomes.select("message_id", "error", "classification"))
     assert len(rows) == total and sum(r["error"] is not None for r in rows) == total // 3
     assert all(len(r["classification"]["emails"]) == 1 for r in rows if r["error"] is None)
@@ -68,6 +68,7 @@ def test_hot_history(spark, small_partitions):
     counts = json.dumps({c: 1 for c in ["names", "emails", "phones", "ssns", "addresses", "dates_of_birth", "other_pii"]})
     records = spark.range(0, total, 1, 4).select(
         F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("document_id"),
+        F.lit("b").alias("source_bucket"),
         (F.col("id") * 60_000).alias("version"),
         F.lit(counts).alias("pii_counts"),
     )

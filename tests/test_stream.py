@@ -4,13 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from docvault.operators.monitor import error_alarm, parse_logs
-from docvault.plans.batch import process_batch
-from docvault.plans.process import MAX_FEW_KEYS, asks_for_few, process_messages
+from docvault.plans.batch import process_batch, snapshot_counts, write_snapshot
+from docvault.plans.process import process_messages
 from docvault.settings import JobSettings
 from docvault.sources.logs import read_logs
-from docvault.sources.notifications import stream_notifications
-from docvault.sources.sinks import Tables, read_table, write_json
-from docvault.streaming.runner import dead_letter_table, run_stream
+from docvault.sources.notifications import read_notifications, stream_notifications
+from docvault.sources.sinks import WORKING, Tables, read_table, write_json
+from docvault.streaming.runner import dead_letter_table, dedupe_stream, run_stream
 
 BUCKET = "docs-in"
 SETTINGS = JobSettings(expected_bucket=BUCKET, retry_base_ms=1)
@@ -73,7 +73,7 @@ def test_batch_of_only_failures(spark, tmp_path, documents):
 
 
 def counting_model(calls_file):
-    def model(prompt):
+    def model(system, prompt):
         with open(calls_file, "a") as log:
             log.write("call\n")
         if "mail" in prompt:
@@ -141,17 +141,93 @@ def test_summaries_as_json(spark, tmp_path, documents):
     process_batch(batch(spark, FIRST), documents, tables, 0, AS_OF, SETTINGS)
     write_json(read_table(spark, tables, "output"), str(tmp_path / "json"), ["batch_id"])
     rows = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "json" / "batch_id=0")).collect()]
-    assert {tuple(sorted(r)) for r in rows} == {("document_id", "output_key", "pii_counts", "version")}
+    assert {tuple(sorted(r)) for r in rows} == {("document_id", "output_key", "pii_counts", "source_bucket", "version")}
 
 
-def test_few_and_many_keys_agree(spark, documents):
-    rows = batch(spark, FIRST)
+def test_selected_and_whole_table_agree(spark, documents):
     got = []
-    for few in (True, False):
-        outcomes, _ = process_messages(rows, documents, SETTINGS, few_keys=few)
+    for whole in (True, False):
+        outcomes, _ = process_messages(batch(spark, FIRST), documents, SETTINGS, whole_table=whole)
         got.append(sorted(map(str, outcomes.collect())))
     assert got[0] == got[1] and len(got[0]) == 5
-    assert asks_for_few(rows) and not asks_for_few(spark.range(MAX_FEW_KEYS + 1))
+
+
+def test_replay_on_another_day_leaves_one_copy(spark, tmp_path, documents):
+    tables = Tables(str(tmp_path / "t"))
+    for moment in ("2024-01-31 23:59:59", "2024-02-01 00:00:05"):
+        process_batch(batch(spark, FIRST), documents, tables, 0, moment, SETTINGS)
+        assert contents(spark, tables) == [2, 2, 2, 2]
+    assert {r["audit_date"].isoformat() for r in read_table(spark, tables, "audit").collect()} == {"2024-01-31"}
+
+
+def test_replay_with_another_outcome_replaces_all(spark, tmp_path, documents):
+    def refuse(system, prompt):
+        raise ValueError("no")
+
+    tables = Tables(str(tmp_path / "t"))
+    good = [message(1, "incoming/a"), message(2, "incoming/b")]
+    process_batch(batch(spark, good), documents, tables, 0, AS_OF, SETTINGS, model=refuse)
+    assert contents(spark, tables) == [0, 0, 0, 2]
+    process_batch(batch(spark, good), documents, tables, 0, AS_OF, SETTINGS)
+    assert contents(spark, tables) == [2, 2, 2, 0]
+    process_batch(batch(spark, []), documents, tables, 0, AS_OF, SETTINGS)
+    assert contents(spark, tables) == [0, 0, 0, 0]
+    assert all(read_table(spark, tables, name).isEmpty() for name in WORKING)
+
+
+def test_one_key_in_two_buckets(spark, tmp_path):
+    rows = [(b, "incoming/a", "mail x@y.org") for b in ("b", "b2")]
+    docs = spark.createDataFrame(rows, "source_bucket string, source_key string, text string")
+    tables = Tables(str(tmp_path / "t"))
+    both = [message(1, "incoming/a", bucket="b"), message(2, "incoming/a", bucket="b2")]
+    process_batch(batch(spark, both), docs, tables, 0, AS_OF, JobSettings())
+    assert contents(spark, tables) == [2, 2, 2, 0]
+
+
+def test_every_record_of_an_event(spark, tmp_path, documents):
+    records = [{"s3": {"bucket": {"name": BUCKET}, "object": {"key": k}}} for k in ("incoming/a", "incoming/b")]
+    event = {"messageId": "m", "body": json.dumps({"Records": records}), "receivedAt": "2024-01-01T00:00:00Z"}
+    tables = Tables(str(tmp_path / "t"))
+    process_batch(batch(spark, [event]), documents, tables, 0, AS_OF, SETTINGS, explode_records=True)
+    assert contents(spark, tables) == [2, 2, 2, 0]
+
+
+def test_late_requests_pass_once(spark, tmp_path):
+    inbox, tables = tmp_path / "inbox", Tables(str(tmp_path / "t"))
+    inbox.mkdir()
+    late = dict(message(3, "incoming/c"), receivedAt="2023-12-20T00:00:00Z")
+    for number, rows in enumerate([[message(1, "incoming/a")], [message(2, "incoming/b")] * 2, [late, message(1, "incoming/a")]]):
+        (inbox / f"{number}.json").write_text("\n".join(map(json.dumps, rows)))
+        stream = stream_notifications(spark, str(inbox), max_files_per_trigger=1, default_received_at=AS_OF)
+        query = dedupe_stream(stream, tables, str(tmp_path / "c"), SETTINGS, trigger={"availableNow": True})
+        query.awaitTermination()
+    got = sorted(r["source_key"] for r in read_table(spark, tables, "distinct").collect())
+    assert got == ["incoming/a", "incoming/b", "incoming/c"]
+
+
+def test_snapshot_drops_what_expired_and_can_go_on(spark, tmp_path, documents):
+    tables, target = Tables(str(tmp_path / "t")), Tables(str(tmp_path / "next"))
+    process_batch(batch(spark, FIRST), documents, tables, 0, "2023-02-01 00:00:00", SETTINGS)
+    process_batch(batch(spark, SECOND), documents, tables, 1, AS_OF, SETTINGS)
+    write_snapshot(spark, tables, target, "2024-03-01 00:00:00", SETTINGS, merge_before=1)
+    got = {r["table_name"]: (r["rows_before"], r["rows_after"]) for r in snapshot_counts(spark, tables, target).collect()}
+    assert got == {"vault": (3, 1), "audit": (3, 1), "output": (3, 1), "failures": (3, 3)}
+    for _ in range(2):  # the kept batch again, then a new one
+        process_batch(batch(spark, SECOND), documents, target, 1, AS_OF, SETTINGS)
+    process_batch(batch(spark, [message(9, "incoming/b", second=30)]), documents, target, 2, AS_OF, SETTINGS)
+    assert contents(spark, target)[0] == 3
+
+
+def test_unreadable_deliveries_become_failures(spark, tmp_path, documents):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text(json.dumps({"Records": [message(1, "incoming/a")]}, indent=1))
+    (tmp_path / "in" / "2.json").write_text('{"Records": [{"messageId"')
+    (tmp_path / "in" / "3.json").write_text('{"other": 1}')
+    (tmp_path / "in" / "4.json").write_text('{"Records": []}')
+    tables = Tables(str(tmp_path / "t"))
+    messages = read_notifications(spark, str(tmp_path / "in"), AS_OF, deliveries=True)
+    process_batch(messages, documents, tables, 0, AS_OF, SETTINGS)
+    assert contents(spark, tables) == [1, 1, 1, 2]
 
 
 def test_logs_to_alarms(spark, tmp_path):
