@@ -143,7 +143,8 @@ def score(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
     No rows give no rows.
     """
     kept = [n for n in carry if n not in ("score", "predicted")]
-    rows = pick(docs, *dict.fromkeys([*kept, "text"]))
+    at = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    rows = docs.toDF(*at.values())  # names of the input that differ in case only are no trouble
     shared = docs.sparkSession.sparkContext.broadcast((model.vectors, model.weights, model.bias))  # fixed size, 4 MB
 
     @F.pandas_udf("double")
@@ -152,7 +153,7 @@ def score(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
         for texts in batches:
             yield pd.Series([own.score(*features((t or "").encode(), known)) for t in texts], dtype=float)
 
-    scored = rows.withColumn("score__", run("text"))
+    scored = rows.select(*[at[n] for n in kept], run(F.col(at["text"])).alias("score"))
     return scored.select(
-        *kept, F.col("score__").alias("score"), (F.col("score__") >= THRESHOLD).cast("int").alias("predicted")
+        *[F.col(at[n]).alias(n) for n in kept], "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )

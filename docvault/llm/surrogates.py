@@ -22,10 +22,9 @@ GIVEN = {
     ("f", "CYRILLIC"): "анна вера галина дарья елена ирина мария нина ольга софия".split(),
     ("m", "CYRILLIC"): "антон борис виктор глеб иван кирилл максим олег павел роман".split(),
 }
-#: Endings of made-up family names by gender and script.
+#: Endings of made-up family names by script and, where names show it, gender.
 ENDINGS = {
-    ("f", "LATIN"): ["er", "in", "ley", "mann", "ton", "well"],
-    ("m", "LATIN"): ["er", "in", "ley", "mann", "ton", "well"],
+    ("x", "LATIN"): ["er", "in", "ley", "mann", "ton", "well"],
     ("f", "CYRILLIC"): ["ова", "ева", "ина"],
     ("m", "CYRILLIC"): ["ов", "ев", "ин"],
 }
@@ -37,6 +36,9 @@ SYLLABLES = {
 LETTERS = {"LATIN": "abcdefghijklmnopqrstuvwxyz", "CYRILLIC": "абвгдежзиклмнопрстуфхцчшэюя", "GREEK": "αβγδεζηθικλμνξοπρστυφχψω"}
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|госпожа"
 MALE = "Mr|Herr|Monsieur|Señor|Sr|господин"
+#: Titles may stand in capitals, names start with one.
+TITLES = {"f": f"{FEMALE}|{FEMALE.upper()}", "m": f"{MALE}|{MALE.upper()}"}
+CAPITAL = "(?=[A-ZÀ-ÖØ-ÞĀ-ŽА-ЯЁΑ-Ω])"
 NAME = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))+"
 #: In this order; the first that matches at a place holds.
 PATTERN = re.compile(
@@ -47,10 +49,10 @@ PATTERN = re.compile(
     r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d))"
     r"|(?P<card>(?<![\dA-Za-z])\d{4}(?P<sep>[ -]?)\d{4}(?P=sep)\d{4}(?P=sep)\d{4}(?![\dA-Za-z]))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d))"
-    rf"|(?:\b(?P<f>{FEMALE})|\b(?P<m>{MALE}))\.?[ \t]+(?P<name>(?=[^\W\d_a-z])(?:{NAME})(?:[ \t]+(?=[^\W\d_a-z])(?:{NAME}))?)"
+    rf"|(?:\b(?P<f>{TITLES['f']})|\b(?P<m>{TITLES['m']}))\.?[ \t]+(?P<name>{CAPITAL}(?:{NAME})(?:[ \t]+{CAPITAL}(?:{NAME}))?)"
 )
 #: A text without any of these holds nothing that PATTERN finds.
-HINT = re.compile(rf"@|\d{{4}}|\d\.\d|\d-\d|AKIA|[=:]|\b(?:{FEMALE}|{MALE})\b")
+HINT = re.compile(rf"@|\d{{4}}|\d\.\d|\d-\d|AKIA|[=:]|\b(?:{TITLES['f']}|{TITLES['m']})\b")
 
 
 def draw(secret: bytes, kind: str, value: str, attempt: int) -> Iterator[int]:
@@ -100,7 +102,7 @@ def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The replacement of a value of a kind; each attempt gives another one.
 
     Kinds: email, key, secret, ssn, phone, card, ip, and for names `given_f`, `given_m`,
-    `family_f`, `family_m`. Length, punctuation, case, script and what makes the type valid
+    `family_f`, `family_m` (where the name shows the gender), `family_x`. Length, punctuation, case, script and what makes the type valid
     (check digit, octets, reserved mail domain, gender) are kept.
     """
     stream = draw(secret, kind, value, attempt)
@@ -161,7 +163,8 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         for i, part in enumerate(parts):
             kind = "family" if i == len(parts) - 1 else "given"
             start = m.start("name") + part.start()
-            found.append((start, start + len(part[0]), f"{kind}_{gender}", part[0].lower()))
+            who = gender if kind == "given" or script(part[0]) == "CYRILLIC" else "x"
+            found.append((start, start + len(part[0]), f"{kind}_{who}", part[0].lower()))
     return found
 
 

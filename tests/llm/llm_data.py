@@ -1,7 +1,11 @@
+"""Fixtures of the operators' tests."""
+
 import random
+from pathlib import Path
 
 import pytest
 
+TESTDATA = Path("/root/testdata/sf0.001")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names that operators use inside, or add.
 CLASHING = ["row", "run", "key", "pos", "token", "sid", "n", "shard", "slot", "score", "size", "c0", "TEXT", "n_lines", "length"]

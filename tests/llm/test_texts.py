@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from llm_data import corpus, documents, messy, nothing  # noqa: F401
 from plain import best_similarity, components, fewest_bins, kept_lines, sha, shingle_list, words
 from pyspark.sql import functions as F
 
