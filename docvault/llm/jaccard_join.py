@@ -309,8 +309,9 @@ def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
         .select("token")
     )
     rest = labelled.join(open_tokens, "token", "left_semi").distinct()
-    rest = stored(rest.join(members.select("sid", "n", "shared"), "sid"), "open-tokens")
-    pairs = stored(pairs_across(rest).join(tried(stars), ["a", "b"], "left_anti"), "other-pairs")
+    narrow = members.select("sid", "n", F.size("shared").alias("c"))
+    rest = stored(rest.join(narrow, "sid"), "open-tokens")
+    pairs = stored(pairs_across(rest, members).join(tried(stars), ["a", "b"], "left_anti"), "other-pairs")
     if pairs.isEmpty():
         return found.select(F.col("node").alias("sid"), "component")
     merged = components(edges.unionAll(verified(pairs, docs, members)))
@@ -321,10 +322,11 @@ def tried(stars: DataFrame) -> DataFrame:
     return stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def pairs_across(rest: DataFrame) -> DataFrame:
+def pairs_across(rest: DataFrame, members: DataFrame) -> DataFrame:
     """Distinct pairs `a, b` that share a token, lie in different components and may link.
 
-    `rest` has `token, sid, component, n, shared`. Tokens of at most FEW sets are joined with
+    `rest` has `token, sid, component, n, c` (c: how many tokens of its prefix the set shares);
+    the shared tokens themselves are joined to pairs and to the rows of large groups. Tokens of at most FEW sets are joined with
     themselves. A larger group is cut into blocks of about BLOCK sets, those outside of its
     largest component against all, and a block counts the common tokens of its pairs as a
     product of two small matrices; only pairs with enough of them come out.
@@ -338,16 +340,17 @@ def pairs_across(rest: DataFrame) -> DataFrame:
     sized = rest.join(main, "token")
     few = sized.where(F.col("all") <= FEW)
     one, two = (
-        few.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("sid", "component", "n")], F.size("shared").alias(f"{side}_c"))
+        few.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("sid", "component", "n", "c")])
         for side in ("a", "b")
     )
     bound = enough(F.least("a_c", "b_c") + others("a_n", "b_n"), F.col("a_n"), F.col("b_n"))
     close = (F.col("a_sid") < F.col("b_sid")) & (F.col("a_component") != F.col("b_component"))
     close = close & sizes_allow(F.col("a_n"), F.col("b_n")) & bound
     joined = one.join(two, "token").where(close).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
-    joined = possible(joined, rest.select("sid", "n", "shared").dropDuplicates(["sid"]))
+    joined = possible(joined, members.select("sid", "n", "shared"))
 
-    many = sized.where(F.col("all") > FEW).withColumn("out", F.col("component") != F.col("main"))
+    many = sized.where(F.col("all") > FEW).join(members.select("sid", "shared"), "sid")
+    many = many.withColumn("out", F.col("component") != F.col("main"))
     parts = {"outs": F.col("all") - F.col("largest"), "mains": F.col("largest")}
     many = many.withColumns({n: F.ceil(k / BLOCK).cast("int") for n, k in parts.items()})
     own = F.pmod(F.hash("sid"), F.when(F.col("out"), F.col("outs")).otherwise(F.col("mains")))
