@@ -201,7 +201,10 @@ def wanted_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def token_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """`sid, n, tokens` of the documents in `ids(sid, doc_id)`; texts are not exchanged."""
+    """`sid, tokens, marks` of the documents in `ids(sid, doc_id)`; texts are not exchanged.
+
+    Marks are the upper 16 bits of the tokens, in order.
+    """
     held, bits = wanted_filter(ids)
     shared = docs.sparkSession.sparkContext.broadcast(held)  # MOST_FILTER_BITS at most, 16 MB
     place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
@@ -217,11 +220,13 @@ def token_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 texts.column("doc_id"),
                 pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                pa.array([(s >> np.uint64(48)).astype("<u2").tobytes() for s in sets], pa.binary()),
             ]
-            yield pa.record_batch(arrays, names=["doc_id", "sid", "tokens"])
+            yield pa.record_batch(arrays, names=["doc_id", "sid", "tokens", "marks"])
 
-    found = docs.withColumn("place", place).mapInArrow(run, "doc_id bigint, sid bigint, tokens array<bigint>")
-    return found.join(ids, ["doc_id", "sid"]).select("sid", "tokens")
+    schema = "doc_id bigint, sid bigint, tokens array<bigint>, marks binary"
+    found = docs.withColumn("place", place).mapInArrow(run, schema)
+    return found.join(ids, ["doc_id", "sid"]).select("sid", "tokens", "marks")
 
 
 def sizes_allow(a: Column, b: Column) -> Column:
@@ -261,23 +266,45 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return common * (100 + PERCENT) >= PERCENT * (len(a) + len(b))
 
 
+def marks_allow(a: bytes, b: bytes) -> bool:
+    """Whether sets with these marks may link: they have no more common tokens than common marks."""
+    x, y = np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2")
+    (u, n), (v, m) = np.unique(x, return_counts=True), np.unique(y, return_counts=True)
+    _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
+    common = int(np.minimum(n[i], m[j]).sum())
+    return common * (100 + PERCENT) >= PERCENT * (len(x) + len(y))
+
+
+def both_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """Pairs with a column of both sets; it travels once for each pair, to the partner."""
+    left, right = (sets.select(F.col("sid").alias(x), F.col(column).alias(f"{x}_{column}")) for x in ("a", "b"))
+    return pairs.join(right, "b").join(left, "a")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
     """The pairs `a, b` of sets that link; the sets are made anew from the texts of their members.
 
-    A set travels once for each pair, to its partner.
+    Marks, a quarter of the size, leave out nearly all pairs that do not; whole sets travel for
+    the others only.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    sets = stored(token_sets(docs, members.join(wanted, "sid").select("sid", "doc_id")), "sets")
+    ids = stored(members.join(wanted, "sid").select("sid", "doc_id"), "wanted")
+    sets = stored(token_sets(docs, ids), "sets")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = (batch.column(c).to_pylist() for c in ("a_marks", "b_marks"))
+            yield batch.select(["a", "b"]).filter(pa.array([marks_allow(x, y) for x, y in zip(*sides, strict=True)], pa.bool_()))
+
+    def by_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = (batch.column(c) for c in ("a_tokens", "b_tokens"))
             sides = [[x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in c] for c in columns]
             yield batch.select(["a", "b"]).filter(pa.array([linked(x, y) for x, y in zip(*sides, strict=True)], pa.bool_()))
 
-    right = sets.select(F.col("sid").alias("b"), F.col("tokens").alias("b_tokens"))
-    left = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("a_tokens"))
-    return pairs.join(right, "b").join(left, "a").mapInArrow(run, "a bigint, b bigint")
+    schema = "a bigint, b bigint"
+    close = stored(both_sides(pairs, sets, "marks").mapInArrow(by_marks, schema), "close-pairs")
+    return both_sides(close, sets, "tokens").mapInArrow(by_tokens, schema)
 
 
 def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
@@ -349,7 +376,9 @@ def pairs_across(rest: DataFrame, members: DataFrame) -> DataFrame:
     joined = one.join(two, "token").where(close).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
     joined = possible(joined, members.select("sid", "n", "shared"))
 
-    many = sized.where(F.col("all") > FEW).join(members.select("sid", "shared"), "sid")
+    # Half of each token is enough to count what sets may have in common.
+    halves = members.select("sid", F.transform("shared", lambda t: F.shiftright(t, 32).cast("int")).alias("shared"))
+    many = sized.where(F.col("all") > FEW).join(halves, "sid")
     many = many.withColumn("out", F.col("component") != F.col("main"))
     parts = {"outs": F.col("all") - F.col("largest"), "mains": F.col("largest")}
     many = many.withColumns({n: F.ceil(k / BLOCK).cast("int") for n, k in parts.items()})
@@ -373,7 +402,7 @@ def pairs_across(rest: DataFrame, members: DataFrame) -> DataFrame:
 
 def block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
     """The pairs of a block's left and right sets that may link; see `possible`."""
-    tokens, where = np.unique(np.concatenate(rows["shared"].to_list()), return_inverse=True)
+    _, where = np.unique(np.concatenate(rows["shared"].to_list()), return_inverse=True)
     at = np.repeat(np.arange(len(rows)), rows["shared"].map(len))
     common = np.bincount(where) > 1
     number = np.cumsum(common) - 1
