@@ -52,7 +52,7 @@ PATTERN = re.compile(
     rf"|(?:\b(?P<f>{TITLES['f']})|\b(?P<m>{TITLES['m']}))\.?[ \t]+(?P<name>{CAPITAL}(?:{NAME})(?:[ \t]+{CAPITAL}(?:{NAME}))?)"
 )
 #: A text without any of these holds nothing that PATTERN finds.
-HINT = re.compile(rf"@|\d{{4}}|\d\.\d|\d-\d|AKIA|[=:]|\b(?:{TITLES['f']}|{TITLES['m']})\b")
+HINT = re.compile(rf"@|\+\d|\d{{4}}|\d\.\d|\d-\d|AKIA|[=:]|\b(?:{TITLES['f']}|{TITLES['m']})\b")
 
 
 def draw(secret: bytes, kind: str, value: str, attempt: int) -> Iterator[int]:
