@@ -6,14 +6,15 @@ import hashlib
 import hmac
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docvault.llm.frames import NO_ID, boxed, pick, stored, unboxed
+from docvault.llm.line_dedup import text_name
 
 #: Given names by gender and script, in this order of choice; further choices are double names.
 GIVEN = {
@@ -22,11 +23,14 @@ GIVEN = {
     ("f", "CYRILLIC"): "анна вера галина дарья елена ирина мария нина ольга софия".split(),
     ("m", "CYRILLIC"): "антон борис виктор глеб иван кирилл максим олег павел роман".split(),
 }
+#: Names behind a label show no gender.
+GIVEN |= {("x", s): GIVEN["f", s] + GIVEN["m", s] for s in ("LATIN", "CYRILLIC")}
 #: Endings of made-up family names by script and, where names show it, gender.
 ENDINGS = {
     ("x", "LATIN"): ["er", "in", "ley", "mann", "ton", "well"],
     ("f", "CYRILLIC"): ["ова", "ева", "ина"],
     ("m", "CYRILLIC"): ["ов", "ев", "ин"],
+    ("x", "CYRILLIC"): ["енко", "ко", "ук"],
 }
 SYLLABLES = {
     "LATIN": "ba be bo da de do fa fe ga ha ka ke ko la le lo ma me mo na ne pa re ro sa se ta te to wa".split(),
@@ -40,19 +44,41 @@ MALE = "Mr|Herr|Monsieur|Señor|Sr|господин"
 TITLES = {"f": f"{FEMALE}|{FEMALE.upper()}", "m": f"{MALE}|{MALE.upper()}"}
 CAPITAL = "(?=[A-ZÀ-ÖØ-ÞĀ-ŽА-ЯЁΑ-Ω])"
 NAME = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))+"
+#: Between two words of a name; a possessive ends it, and a title begins another.
+NEXT = rf"(?<!['’][sS])[ \t]+(?!(?:{TITLES['f']}|{TITLES['m']})\b)"
+#: A word that may be, or hold, a name found elsewhere in the document.
+MENTION = re.compile(r"(?<!\w)[^\W\d_]+(?:['’-][^\W\d_]+)*(?!\w)")
+STREET = "Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Boulevard|Blvd"
+#: Cards of 16 and 19 digits in fours, of 15 and 14 digits by their first digits.
+CARD = (
+    r"\d{4}(?P<sep>[ -]?)\d{4}(?P=sep)\d{4}(?P=sep)\d{4}(?:(?P=sep)\d{3})?"
+    r"|3[47]\d\d(?P<sep15>[ -]?)\d{6}(?P=sep15)\d{5}|3(?:0[0-5]|[689]\d)\d(?P<sep14>[ -]?)\d{6}(?P=sep14)\d{4}"
+)
+#: International numbers of 7 digits or more in groups of any size, others, and ten digits as 3-3-4.
+PHONE = (
+    r"(?=\+(?:[ .()-]{0,2}\d){7})\+(?!\d{16})\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{1,4}){2,6}(?!\d)"
+    r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
+    r"|(?<![\w+])(?<!\d[.-])(?:1[ .-])?(?:\(\d{3}\)[ .-]?\d{3}[ .-]|\d{3}(?P<dot>[.-])\d{3}(?P=dot))\d{4}(?!\w|[.-]\d)"
+)
+#: Dates with a year of the last centuries, as functions.rules looks for them.
+DATE = r"(?:\d{1,2}/\d{1,2}/(?:1[89]|20)\d\d|(?:1[89]|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))"
 #: In this order; the first that matches at a place holds.
 PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<key>(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9]))"
     r"|(?:password|passwd|secret|token|api_key)[ \t]*[=:][ \t]*(?P<q>[\"']?)(?P<secret>[A-Za-z0-9_+/.-]{8,})(?P=q)"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
-    r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d))"
-    r"|(?P<card>(?<![\dA-Za-z])\d{4}(?P<sep>[ -]?)\d{4}(?P=sep)\d{4}(?P=sep)\d{4}(?![\dA-Za-z]))"
+    rf"|(?P<phone>{PHONE})"
+    rf"|(?P<card>(?<![\dA-Za-z])(?:{CARD})(?![\dA-Za-z]))"
+    rf"|(?P<date>(?<![\w/-]){DATE}(?![\d/]|-\d))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d))"
-    rf"|(?:\b(?P<f>{TITLES['f']})|\b(?P<m>{TITLES['m']}))\.?[ \t]+(?P<name>{CAPITAL}(?:{NAME})(?:[ \t]+{CAPITAL}(?:{NAME}))?)"
+    rf"|(?P<address>(?<![\w.,/-])\d{{1,6}}[A-Za-z]?(?:[ \t]+{CAPITAL}[^\W\d_]+){{1,3}}?[ \t]+(?:{STREET})\b)"
+    rf"|(?:[Nn]ame|NAME)[ \t]*:[ \t]*(?!(?:{TITLES['f']}|{TITLES['m']})\b)"
+    rf"(?P<label>{CAPITAL}(?:{NAME})(?:{NEXT}{CAPITAL}(?:{NAME})(?!\w|[ \t]*:)){{1,3}})"
+    rf"|(?:\b(?P<f>{TITLES['f']})|\b(?P<m>{TITLES['m']}))\.?[ \t]+(?P<name>{CAPITAL}(?:{NAME})(?:{NEXT}{CAPITAL}(?:{NAME}))?)"
 )
 #: A text without any of these holds nothing that PATTERN finds.
-HINT = re.compile(rf"@|\+\d|\d{{4}}|\d\.\d|\d-\d|AKIA|[=:]|\b(?:{TITLES['f']}|{TITLES['m']})\b")
+HINT = re.compile(rf"@|\+\d|\d{{4}}|\d\.\d|\d-\d|AKIA|[=:]|[ \t](?:{STREET})\b|\b(?:{TITLES['f']}|{TITLES['m']})\b")
 
 
 def draw(secret: bytes, kind: str, value: str, attempt: int) -> Iterator[int]:
@@ -101,9 +127,9 @@ def check_digit(digits: str) -> str:
 def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The replacement of a value of a kind; each attempt gives another one.
 
-    Kinds: email, key, secret, ssn, phone, card, ip, and for names `given_f`, `given_m`,
-    `family_f`, `family_m` (where the name shows the gender), `family_x`. Length, punctuation, case, script and what makes the type valid
-    (check digit, octets, reserved mail domain, gender) are kept.
+    Kinds: email, key, secret, ssn, phone, card, date, ip, address, and for names `given_f`, `given_m`,
+    `family_f`, `family_m` (where the name shows the gender), `given_x`, `family_x`. Length, punctuation, case, script and what makes the type valid
+    (check digit, octets, month and day, kind of street, reserved mail domain, gender) are kept.
     """
     stream = draw(secret, kind, value, attempt)
     if kind == "email":
@@ -118,16 +144,23 @@ def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "ssn":
         return f"{1 + next(stream) % 8}{shaped(value[1:], stream)}"
     if kind == "phone":
-        head = re.match(r"\+\d{1,3}", value)[0] if not re.match(r"\+1\D", value) else "+1"
+        head = re.match(r"\+1(?=\D)|\+\d{1,3}|1(?=[ .-])|", value)[0]
         first = re.search(r"\d", value[len(head) :])
         at = len(head) + first.start()
         return value[:at] + str(2 + next(stream) % 8) + shaped(value[at + 1 :], stream)
     if kind == "card":
         digits = re.sub(r"\D", "", value)
-        new = digits[0] + shaped(digits[1:-1], stream)
+        brand = 1 if len(digits) in (16, 19) else 3
+        new = digits[:brand] + shaped(digits[brand:-1], stream)
         last = check_digit(new) if check_digit(digits[:-1]) == digits[-1] else str(next(stream) % 10)
         left = iter(new + last)
         return "".join(next(left) if c.isdigit() else c for c in value)
+    if kind == "date":
+        return other_date(value, stream, attempt)
+    if kind == "address":
+        number, *street, way = re.split(r"([ \t]+)", value)
+        made = [w if w.isspace() else made_up("LATIN", "x", stream, attempt).capitalize() for w in street]
+        return str(1 + next(stream) % 9) + shaped(number[1:], stream) + "".join(made) + way
     part, gender = kind.split("_")
     write = script(value)
     if write not in SYLLABLES:
@@ -136,38 +169,117 @@ def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
         pool = GIVEN[gender, write]
         names = [pool[(next(stream) * 256 + next(stream)) % len(pool)] for _ in range(1 + min(attempt, 3))]
         return "-".join(names)
+    return made_up(write, gender, stream, attempt)
+
+
+def made_up(write: str, gender: str, stream: Iterator[int], attempt: int) -> str:
+    """A family name, longer with the attempts."""
     syllables, endings = SYLLABLES[write], ENDINGS[gender, write]
     count = 2 + attempt // 4
     body = "".join(syllables[(next(stream) * 256 + next(stream)) % len(syllables)] for _ in range(count))
     return body + endings[next(stream) % len(endings)]
 
 
-def entities(text: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, key) of the personal data in a text, in order.
+def other_date(value: str, stream: Iterator[int], attempt: int) -> str:
+    """A date written alike; from the fourth attempt on of any year of four digits."""
+    number = next(stream) * 256 + next(stream)
+    year = 1930 + number % 80 if attempt < 4 else 1000 + number % 9000
+    if "-" in value:
+        return f"{year}-{1 + next(stream) % 12:02}-{1 + next(stream) % 28:02}"
+    first, second, _ = value.split("/")
+    # the month is where a number up to 12 stands, the first of two such
+    limits = (28, 12) if int(first) > 12 else (12, 28) if int(second) > 12 else (12, 12)
+    new = []
+    for old, limit in zip((first, second), limits, strict=True):
+        if len(old) == 1:
+            new.append(str(1 + next(stream) % 9))
+        else:
+            least = 13 if limit == 28 else 1
+            new.append(f"{least + next(stream) % (limit + 1 - least):02}")
+    return f"{new[0]}/{new[1]}/{year}"
+
+
+KINDS = ("email", "key", "secret", "ssn", "phone", "card", "date", "ip", "address", "label", "name")
 
-    A name with a title is told apart by its words, the last as the family name, so that a
-    later mention by the family name alone gets the same replacement. Keys are folded to lower
-    case where case does not tell values apart (mail addresses and names).
+
+def detected(text: str) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, key) of what PATTERN finds in a text, in order.
+
+    A name with a title or a label is told apart by its words, the last as the family name.
+    Keys are folded to lower case where case does not tell values apart (mail addresses and
+    names).
     """
     if not HINT.search(text):
         return []
     found = []
     for m in PATTERN.finditer(text):
-        kind = next(k for k in ("email", "key", "secret", "ssn", "phone", "card", "ip", "name") if m[k])
-        if kind != "name":
-            value = m[kind]
-            found.append((*m.span(kind), kind, value.lower() if kind == "email" else value))
+        group = next(k for k in KINDS if m[k])
+        if group not in ("label", "name"):
+            value = m[group]
+            found.append((*m.span(group), group, value.lower() if group == "email" else value))
             continue
-        gender = "f" if m["f"] else "m"
-        parts = list(re.finditer(r"\S+", m["name"]))
+        gender = "x" if group == "label" else "f" if m["f"] else "m"
+        parts = list(re.finditer(r"\S+", m[group]))
         for i, part in enumerate(parts):
             kind = "family" if i == len(parts) - 1 else "given"
-            start = m.start("name") + part.start()
-            who = gender if kind == "given" or script(part[0]) == "CYRILLIC" else "x"
-            found.append((start, start + len(part[0]), f"{kind}_{who}", part[0].lower()))
+            start = m.start(group) + part.start()
+            name = re.sub(r"(?<=\w\w)['’][sS]$", "", part[0])
+            who = gender if kind == "given" or script(name) == "CYRILLIC" else "x"
+            found.append((start, start + len(name), f"{kind}_{who}", name.lower()))
     return found
 
 
+def entities(text: str, known: Iterable[tuple[str, str]] = ()) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, key) of the personal data in a text, in order.
+
+    Beside what is `detected`, each whole word with a capital that is one of the text's names,
+    or of the `known` (kind, key) of its document. A name of which no gender is shown has the
+    gender that the document shows elsewhere; a word that is a given and a family name is
+    the latter.
+    """
+    found = detected(text)
+    names, alike = {}, {}
+    for kind, key in sorted({*known, *((k, v) for _, _, k, v in found)}):
+        if "_" in kind:
+            part = kind.split("_")[0]
+            kind = alike.setdefault((part, key), kind)
+            names.setdefault(key, kind)
+    if not names:
+        return found
+    found = [(start, end, alike.get((kind.split("_")[0], key), kind), key) for start, end, kind, key in found]
+    longest = max(len(PARTS.split(key)) for key in names)
+    taken, mentions = 0, []
+    for word in MENTION.finditer(text):
+        while taken < len(found) and found[taken][1] <= word.start():
+            taken += 1
+        if taken == len(found) or found[taken][0] >= word.end():
+            mentions += within(word[0], word.start(), names, longest)
+    return sorted(found + mentions)
+
+
+#: What parts the pieces of a word.
+PARTS = re.compile("['’-]")
+
+
+def within(word: str, at: int, names: dict[str, str], longest: int) -> Iterator[tuple[int, int, str, str]]:
+    """The names that a word is, or that whole pieces of it are (Brown in Brown's), longest first."""
+    if not PARTS.search(word):
+        if word[0].isupper() and (kind := names.get(word.lower())):
+            yield at, at + len(word), kind, word.lower()
+        return
+    bounds = [-1, *(m.start() for m in PARTS.finditer(word)), len(word)]
+    piece = 0
+    while piece < len(bounds) - 1:
+        start = bounds[piece] + 1
+        for last in range(min(piece + longest, len(bounds) - 1), piece, -1):
+            key = word[start : bounds[last]].lower()
+            if word[start].isupper() and key in names:
+                yield at + start, at + bounds[last], names[key], key
+                piece = last - 1
+                break
+        piece += 1
+
+
 def in_case_of(new: str, old: str) -> str:
     """The replacement in the case of what it replaces."""
     if old.isupper():
@@ -185,27 +297,30 @@ def replaced(text: str, spans: list[tuple[int, int, str, str]]) -> str:
     return "".join(out) + text[at:]
 
 
-def find_entities(docs: DataFrame) -> DataFrame:
-    """`doc, t1, t2, start, stop, kind, key`: one row per mention, by document id and text."""
-    from docvault.llm.line_dedup import text_name
+def document(doc: Column, text: Column) -> list[Column]:
+    """`doc, t1, t2`: what stands for a document; a row without an id is told by its text."""
+    names = [F.when(doc.isNull(), hash_).otherwise(0).alias(n) for n, hash_ in zip(("t1", "t2"), text_name(text), strict=True)]
+    return [F.coalesce(doc, F.lit(NO_ID)).alias("doc"), *names]
+
 
-    names = ["doc", "t1", "t2", "start", "stop", "kind", "key"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+def find_entities(docs: DataFrame) -> DataFrame:
+    """`doc, t1, t2, kind, key`: the values of each text, by document."""
+    names = ["doc", "t1", "t2", "kind", "key"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (*ids, *entity)
+                (*ids, *value)
                 for *ids, text in zip(*(batch.column(n).to_pylist() for n in ("doc", "t1", "t2", "text")), strict=True)
-                for entity in entities(text)
+                for value in sorted({(kind, key) for _, _, kind, key in detected(text)})
             ]
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     rows = pick(docs, "doc_id", "text").where("text IS NOT NULL")
-    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), *text_name(F.col("text")), "text")
-    schema = "doc bigint, t1 bigint, t2 bigint, start int, stop int, kind string, key string"
-    return rows.mapInArrow(run, schema)
+    rows = rows.select(*document(F.col("doc_id"), F.col("text")), "text")
+    return rows.mapInArrow(run, "doc bigint, t1 bigint, t2 bigint, kind string, key string")
 
 
 def assign_surrogates(values: DataFrame, secret: bytes) -> DataFrame:
@@ -244,55 +359,50 @@ def assign_surrogates(values: DataFrame, secret: bytes) -> DataFrame:
 
 
 def replace_entities(docs: DataFrame, secret: str) -> DataFrame:
-    """Replace mail addresses, keys, secrets, phone, card and social security numbers, IP addresses
-    and titled names by keyed surrogates.
+    """Replace mail addresses, keys, secrets, phone, card and social security numbers, dates, IP
+    and street addresses, and names by keyed surrogates.
+
+    Names are found behind a title or the label `Name:`; after that, each whole word with a
+    capital that is such a name of the same document (all rows of a doc_id; a row without one
+    is its own) is replaced too.
 
     The same value gets the same surrogate everywhere (coreference), different values different
     ones (distinctness, checked over all values of the corpus; case does not tell them apart).
     Without the secret nothing leads back.
 
     Returns the columns of `docs` with `text` changed, plus `n_entities` (mentions) and `kinds`
-    (how often which); columns of these names are replaced. Null texts stay null, with 0 and
+    (which); columns of these names are replaced. Null texts stay null, with 0 and
     no kinds, as do texts without personal data stay as they are. Rows without doc_id are
     treated alike. No rows give no rows. Values that differ by case only (other than mail
     addresses and names) are different values.
 
-    Mentions are exchanged by value and by document, texts once by document. A value or a
-    document with very many mentions is split by Spark in the joins; the mentions of one text
+    The values of a document are exchanged once for each value and once for the document,
+    texts once by document; mentions are looked for again inside the row. A value or a
+    document with very many rows is split by Spark in the joins; the values of one document
     meet in one task.
     """
-    from docvault.llm.line_dedup import text_name
-
     names = docs.columns
     found = stored(find_entities(docs), "entities")
     mapping = stored(assign_surrogates(found, secret.encode()), "mapping")
-    spans = (
+    values = (
         found.distinct()
         .join(mapping, ["kind", "key"])
         .groupBy("doc", "t1", "t2")
-        .agg(F.collect_list(F.struct("start", "stop", "kind", "surrogate")).alias("spans"))
-    )
-    rows = boxed(docs, "row", "doc_id", "text").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), *text_name(F.col("text")), "text", "row"
-    )
-
-    @F.pandas_udf("string")
-    def rewritten(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                t if s is None or not len(s) else replaced(t, [(x["start"], x["stop"], x["kind"], x["surrogate"]) for x in s])
-                for t, s in zip(texts, spans, strict=True)
-            ],
-            dtype=object,
-        )
-
-    both = rows.join(spans, ["doc", "t1", "t2"], "left")
-    kinds = F.sort_array(F.array_distinct(F.col("spans.kind")))
-    return unboxed(
-        both,
-        "row",
-        names,
-        text=rewritten("text", "spans"),
-        n_entities=F.coalesce(F.size("spans"), F.lit(0)).cast("bigint"),
-        kinds=F.coalesce(F.array_join(kinds, ","), F.lit("")),
+        .agg(F.collect_list(F.struct("kind", "key", "surrogate")).alias("values"))
     )
+    rows = boxed(docs, "row", "doc_id", "text").select(*document(F.col("doc_id"), F.col("text")), "text", "row")
+
+    @F.pandas_udf("text string, n_entities bigint, kinds string")
+    def rewritten(texts: pd.Series, values: pd.Series) -> pd.DataFrame:
+        out = []
+        for text, own in zip(texts, values, strict=True):
+            if text is None or own is None or not len(own):
+                out.append((text, 0, ""))
+                continue
+            new = {(v["kind"], v["key"]): v["surrogate"] for v in own}
+            spans = [(start, end, kind, new[kind, key]) for start, end, kind, key in entities(text, new)]
+            out.append((replaced(text, spans), len(spans), ",".join(sorted({kind for _, _, kind, _ in spans}))))
+        return pd.DataFrame(out, columns=["text", "n_entities", "kinds"])
+
+    both = rows.join(values, ["doc", "t1", "t2"], "left").select("row", rewritten("text", "values").alias("new"))
+    return unboxed(both, "row", names, **{n: F.col(f"new.{n}") for n in ("text", "n_entities", "kinds")})

@@ -74,6 +74,47 @@ def test_each_kind_is_found_alone_in_a_text(kind, text):
         assert [k for _, _, k, _ in surrogates.entities(around.format(text))] == [kind]
 
 
+@pytest.mark.parametrize(
+    "kind, value",
+    [
+        ("phone", "(555) 123-4567"), ("phone", "555-123-4567"), ("phone", "+33 1 23 45 67 89"), ("phone", "1-555-123-4567"),
+        ("phone", "+44 (0)20 7946 0958"), ("card", "3782 822463 10005"), ("card", "378282246310005"), ("card", "30569309025904"),
+        ("card", "6200 0000 0000 0000 003"), ("date", "3/14/1985"), ("date", "1985-03-14"), ("address", "12 Main Street"),
+        ("address", "221B Old Baker St"),
+    ],
+)
+def test_more_shapes(kind, value):
+    for around in ("{}", "at {} now", "({})."):
+        text = around.format(value)
+        assert [(text[s:e], k) for s, e, k, _ in surrogates.entities(text)] == [(value, kind)]
+    new = surrogates.surrogate(b"k", kind, value)
+    assert new != value and [(k, v) for _, _, k, v in surrogates.entities(new)] == [(kind, new)]
+    if kind != "address":
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", value)
+
+
+def test_names_by_label_and_later_mentions():
+    text = "Name: Ada Lovelace\nPhone: none. Lovelace's notes, Ada and ada, Lovelaces, x@Lovelace.org, LOVELACE-Brown by Mr. Brown's Ms. Ada Bell"
+    found = [(text[s:e], k) for s, e, k, _ in surrogates.entities(text)]
+    assert found == [
+        ("Ada", "given_f"), ("Lovelace", "family_x"), ("Lovelace", "family_x"), ("Ada", "given_f"), ("x@Lovelace.org", "email"),
+        ("LOVELACE", "family_x"), ("Brown", "family_x"), ("Brown", "family_x"), ("Ada", "given_f"), ("Bell", "family_x"),
+    ]
+    assert surrogates.entities("Name: Mr Adam Brown")[0][2] == "given_m"
+
+
+def test_mentions_in_all_rows_of_a_document(spark):
+    rows = [(1, "Mr. Adam Brown came. Brown replied to Adam"), (1, "Then Brown left"), (2, "Brown stays"), (None, "Brown stays"), (None, "Mr Brown, Brown")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [r for r in surrogates.replace_entities(docs, "s").collect()]
+    texts = {(r["doc_id"], r["n_entities"]): r["text"] for r in got}
+    first = re.fullmatch(r"Mr\. (\S+) (\S+) came\. (\S+) replied to (\S+)", texts[1, 4])
+    assert first[1] == first[4] != "Adam" and first[2] == first[3] != "Brown"
+    assert texts[1, 1] == f"Then {first[2]} left" and texts[2, 0] == texts[None, 0] == "Brown stays"
+    assert texts[None, 2] == f"Mr {first[2]}, {first[2]}"
+    assert {r["kinds"] for r in got} == {"family_x,given_m", "family_x", ""}
+
+
 def test_replacing(spark, messy, nothing, monkeypatch):
     texts = [
         "Mr. Adam Brown wrote to Mr Brown at a.b@x.org.", "A.B@X.ORG again, and MR. BROWN", "clean text", None, "",
