@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from docvault.llm.frames import NO_ID, boxed, pick, stored, unboxed
 from docvault.llm.line_dedup import text_name
 
-#: Given names by gender and script, in this order of choice; further choices are double names.
+#: Given names by gender and script; further choices have two and more parts, without end.
 GIVEN = {
     ("f", "LATIN"): "anna clara elena ida julia laura maria nora paula sofia".split(),
     ("m", "LATIN"): "adam bruno david emil hugo jonas leon marco oscar simon".split(),
@@ -132,8 +132,10 @@ def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
     (check digit, octets, month and day, kind of street, reserved mail domain, gender) are kept.
     """
     stream = draw(secret, kind, value, attempt)
+    longer = attempt // 8  # where a short form may have fewer others than the corpus has values
     if kind == "email":
         local, _, domain = value.rpartition("@")
+        local += "a" * longer
         return f"{shaped(local, stream)}@{shaped(domain.split('.')[0], stream)}.example.{('com', 'net', 'org')[next(stream) % 3]}"
     if kind == "key":
         return value[:4] + shaped(value[4:], stream)
@@ -147,7 +149,7 @@ def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
         head = re.match(r"\+1(?=\D)|\+\d{1,3}|1(?=[ .-])|", value)[0]
         first = re.search(r"\d", value[len(head) :])
         at = len(head) + first.start()
-        return value[:at] + str(2 + next(stream) % 8) + shaped(value[at + 1 :], stream)
+        return value[:at] + str(2 + next(stream) % 8) + shaped(value[at + 1 :] + "0" * longer, stream)
     if kind == "card":
         digits = re.sub(r"\D", "", value)
         brand = 1 if len(digits) in (16, 19) else 3
@@ -164,10 +166,10 @@ def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
     part, gender = kind.split("_")
     write = script(value)
     if write not in SYLLABLES:
-        return shaped(value, stream)
+        return shaped(value + value[-1] * longer, stream)
     if part == "given":
         pool = GIVEN[gender, write]
-        names = [pool[(next(stream) * 256 + next(stream)) % len(pool)] for _ in range(1 + min(attempt, 3))]
+        names = [pool[(next(stream) * 256 + next(stream)) % len(pool)] for _ in range(1 + attempt)]
         return "-".join(names)
     return made_up(write, gender, stream, attempt)
 

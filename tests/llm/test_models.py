@@ -150,6 +150,23 @@ def test_values_that_draw_the_same_draw_again(spark, monkeypatch):
     assert len({r["surrogate"] for r in found}) == len(found) == 25
 
 
+def test_given_names_do_not_run_out(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "GIVEN", {("f", "LATIN"): ["ann", "eva"]})
+    values = spark.createDataFrame([("given_f", f"name{i:03}") for i in range(60)], "kind string, key string")
+    rounds = []
+
+    def counted(rows, name, stored=surrogates.stored):
+        rounds.append(name)
+        assert len(rounds) < 60, "no end"
+        return stored(rows, name)
+
+    monkeypatch.setattr(surrogates, "stored", counted)
+    found = surrogates.assign_surrogates(values, b"k").collect()
+    assert len({r["surrogate"] for r in found}) == len(found) == 60
+    for kind, value in (("email", "a@b.co"), ("phone", "+1 22 33"), ("family_x", "αβ")):
+        assert len(surrogates.surrogate(b"k", kind, value, 16)) > len(surrogates.surrogate(b"k", kind, value))
+
+
 # --- language mixture
 
 
