@@ -1,7 +1,8 @@
-"""Benchmark passages in documents: SimHash windows, multi-index Hamming blocks, exact similarity."""
+"""Benchmark passages in documents: SimHash windows, multi-index Hamming blocks, shingle probes, exact similarity."""
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import combinations
@@ -16,10 +17,14 @@ from docvault.llm.words import STEP, column_bytes, hashed, mixed, shingles, word
 
 #: Greatest Hamming distance of two fingerprints that are compared further.
 RADIUS = 11
+#: Words of a shingle.
+K = 5
 #: A fingerprint has this many blocks of 16 bits.
 BLOCKS = 4
-#: Sizes of benchmark items up to this ratio share a window size.
-SIZE_RATIO = 0.9
+#: So many fingerprints are compared with each window; more have tables, of 256 kB for a size.
+FEW = 8
+#: Bits of a shingle's hash that are tested before it is looked up.
+PROBE_BITS = 20
 #: Benchmark items are searched for in blocks of so many items and so many bytes of text.
 BLOCK_ITEMS = 2000
 BLOCK_BYTES = 8_000_000
@@ -28,31 +33,56 @@ STRETCH = 16_384
 
 
 class Items:
-    """One block of benchmark items: shingle counts, and tables of fingerprints by window size."""
+    """One block of benchmark items: shingle counts, probes, and tables of fingerprints by window size."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], radius: int = RADIUS):
+    def __init__(self, items: list[tuple[int, list[bytes]]], radius: int = RADIUS, threshold: float = 0.75):
         self.radius = radius
         self.ids = [i for i, _ in items]
         codes = [hashed(w) for _, w in items]
         self.sizes = np.array([len(c) for c in codes])
         self.shingles = [Counter(shingles(c).tolist()) for c in codes]
         self.prints = np.array([text_print(c) for c in codes], np.uint64)
-        self.windows = np.empty(len(codes), np.int64)  # the window size that is used for the item
         self.classes = []
-        start, order = 0, np.argsort(self.sizes, kind="stable")
-        while start < len(order):
-            least, end = self.sizes[order[start]], start
-            while end < len(order) and least >= SIZE_RATIO * self.sizes[order[end]]:
-                end += 1
-            members = order[start:end]
-            size = self.windows[members] = int(self.sizes[members].max())
-            self.classes.append((size, members, block_tables(self.prints[members], radius)))
-            start = end
+        for size in np.unique(self.sizes).tolist():
+            members = np.flatnonzero(self.sizes == size)
+            marked = block_tables(self.prints[members], radius) if len(members) > FEW else None
+            self.classes.append((size, members, marked))
+        self.probes = Probes(self.shingles, threshold)
 
     def longest(self) -> int:
         return int(self.sizes.max())
 
 
+class Probes:
+    """The shingles of each item of which a window needs one, to reach the threshold.
+
+    The common weight of a window and an item is at least the threshold of the item's, so when
+    shingles that weigh more than the rest are left, each such window holds one of them. The
+    ones that fewest items have are taken.
+    """
+
+    def __init__(self, counts: list[Counter], threshold: float):
+        held = Counter(code for wanted in counts for code in wanted)
+        self.holders: dict[int, list[int]] = defaultdict(list)
+        for item, wanted in enumerate(counts):
+            least = max(1, math.ceil(threshold * wanted.total() - 1e-9))
+            spare = wanted.total() - least + 1
+            for code in sorted(wanted, key=lambda c: (held[c], c)):
+                if spare <= 0:
+                    break
+                self.holders[code].append(item)
+                spare -= wanted[code]
+        self.marked = np.zeros(1 << PROBE_BITS, bool)
+        self.marked[np.fromiter(self.holders, np.uint64, len(self.holders)) >> np.uint64(64 - PROBE_BITS)] = True
+
+    def hits(self, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, place) for all places of a probe."""
+        at = np.flatnonzero(self.marked.take(codes >> np.uint64(64 - PROBE_BITS)))
+        for place, code in zip(at.tolist(), codes[at].tolist(), strict=True):
+            for item in self.holders.get(code, ()):
+                yield item, place
+
+
 def feature_bits(codes: np.ndarray, kind: type) -> np.ndarray:
     """For each word and each of 64 bits, how many of the word's features set the bit.
 
@@ -133,12 +163,6 @@ def block_tables(prints: np.ndarray, radius: int) -> np.ndarray:
     return marked
 
 
-def weighted_similarity(a: Counter, b: Counter) -> float:
-    """Common weight over united weight; a shingle weighs as often as it occurs."""
-    common = sum(min(n, b[s]) for s, n in a.items() if s in b)
-    return common / (a.total() + b.total() - common) if common else 0.0
-
-
 def near_windows(
     codes: np.ndarray, ends: np.ndarray, items: Items, buffers: Buffers
 ) -> Iterator[tuple[int, int]]:
@@ -148,11 +172,13 @@ def near_windows(
     sums_by_size = window_sums(bits, [c[0] for c in items.classes], buffers)
     for (size, sums), (_, members, marked) in zip(sums_by_size, items.classes, strict=False):
         own = prints_of(sums, size, buffers)
-        blocks = own.view("<u2").reshape(-1, BLOCKS)
-        hit = marked[0].take(blocks[:, 0])
-        for b in range(1, BLOCKS):
-            hit |= marked[b].take(blocks[:, b])
-        hit &= room[: len(own)] >= size
+        hit = room[: len(own)] >= size
+        if marked is not None:
+            blocks = own.view("<u2").reshape(-1, BLOCKS)
+            near = marked[0].take(blocks[:, 0])
+            for b in range(1, BLOCKS):
+                near |= marked[b].take(blocks[:, b])
+            hit &= near
         at = np.flatnonzero(hit)
         own = own[at]
         for member in members.tolist():
@@ -173,41 +199,81 @@ def find_items(
         near[int(row_of[start]), item].add(start - int(bounds[row_of[start]]))
     for row in np.flatnonzero(sizes < items.longest()).tolist():  # one window where a text is shorter
         close = np.bitwise_count(items.prints ^ np.uint64(text_print(texts[row]))) <= items.radius
-        for item in np.flatnonzero(close & (items.windows > sizes[row])).tolist():
+        for item in np.flatnonzero(close & (items.sizes > sizes[row])).tolist():
             near[row, item].add(0)
+    spans = {key: [(start - 2, start + 2) for start in starts] for key, starts in near.items()}
+    by_size = text_shingles(codes, np.repeat(bounds[1:], sizes), items)
+    for at, found_codes in by_size:
+        for item, place in items.probes.hits(found_codes):
+            row = int(row_of[at[place]])
+            start = int(at[place] - bounds[row])
+            spans.setdefault((row, item), []).append((start - int(items.sizes[item]) + 1, start))
     found = {}
-    for (row, item), starts in near.items():
+    kept: dict[tuple[int, int], np.ndarray] = {}
+    for (row, item), some in spans.items():
         n = len(texts[row])
+        k = min(K, int(items.sizes[item]))
         length = min(int(items.sizes[item]), n)
-        slack = int(items.windows[item]) - length + 2
-        tried = {s for start in starts for s in range(max(0, start - 2), min(n - length, start + slack) + 1)}
-        best = best_window(shingles(texts[row]), tried, max(1, length - 4), items.shingles[item], threshold)
+        if (row, k) not in kept:
+            kept[row, k] = shingles(texts[row], k)
+        best = None
+        for low, high in united(some, n - length):
+            one = best_window(kept[row, k], low, high, max(1, length - k + 1), items.shingles[item], threshold)
+            if one and (best is None or one[0] > best[0]):
+                best = one
         if best:
             found[row, item] = (*best, length)
     return found
 
 
+def text_shingles(codes: np.ndarray, ends: np.ndarray, items: Items) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, hashes) of the shingles that do not leave their text, for each shingle size of the items."""
+    for k in sorted({min(K, size) for size, *_ in items.classes}):
+        if k <= len(codes):
+            at = np.arange(len(codes) - k + 1)
+            inside = at + k <= ends[: len(at)]
+            yield at[inside], shingles(codes, k)[inside]
+
+
+def united(spans: list[tuple[int, int]], last: int) -> Iterator[tuple[int, int]]:
+    """Runs of starts from 0 to `last` that lie in one of the spans, both ends counted."""
+    low = high = None
+    for a, b in sorted(spans):
+        a, b = max(0, a), min(last, b)
+        if a > b:
+            continue
+        if high is not None and a <= high + 1:
+            high = max(high, b)
+            continue
+        if high is not None:
+            yield low, high
+        low, high = a, b
+    if high is not None:
+        yield low, high
+
+
 def best_window(
-    codes: np.ndarray, starts: set[int], size: int, wanted: Counter, threshold: float
+    codes: np.ndarray, low: int, high: int, size: int, wanted: Counter, threshold: float
 ) -> tuple[float, int] | None:
-    """(similarity, start) of the most similar run of `size` shingles, the first of equals; None below the threshold.
+    """(similarity, start) of the most similar run of `size` shingles that starts from low to high.
 
-    A run with fewer of the wanted shingles than the threshold asks for is not counted out.
+    The similarity is common weight over united weight; a shingle weighs as often as it occurs.
+    The first of equals; None below the threshold.
     """
-    low = min(starts)
-    stretch = codes[low : max(starts) + size].tolist()
-    known = [s in wanted for s in stretch]
-    sums = [0]
-    for flag in known:
-        sums.append(sums[-1] + flag)
-    best = None
-    for start in sorted(starts):
-        at = start - low
-        if sums[min(at + size, len(stretch))] - sums[at] < threshold * wanted.total():
-            continue
-        similarity = weighted_similarity(Counter(stretch[at : at + size]), wanted)
-        if similarity >= threshold and (best is None or similarity > best[0]):
-            best = (similarity, start)
+    stretch = codes[low : high + size].tolist()
+    both = wanted.total() + size
+    held, common, best = dict.fromkeys(wanted, 0), 0, None
+    for at, code in enumerate(stretch):
+        if at >= size and (old := stretch[at - size]) in held:
+            common -= held[old] <= wanted[old]
+            held[old] -= 1
+        if code in held:
+            held[code] += 1
+            common += held[code] <= wanted[code]
+        if at >= size - 1 and common:
+            similarity = common / (both - common)
+            if similarity >= threshold and (best is None or similarity > best[0]):
+                best = (similarity, low + at - size + 1)
     return best
 
 
@@ -280,11 +346,12 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, radius: int = RADIUS) -> DataFrame:
     """Passages of documents that are near a benchmark item: one row per document and item.
 
-    For every item, the windows of the item's size (up to a tenth larger) at every word of
-    every whole text get a SimHash over their words. Tables of Hamming blocks find all windows
-    whose fingerprint is within `radius` of the item's. Around these, the windows of exactly
-    the item's size are compared by their 5-word shingles, weighted by how often they occur,
-    and count from `threshold` on. Words are lower-cased runs without white space.
+    For every item, the windows of the item's size at every word of every whole text get a
+    SimHash over their words. Tables of Hamming blocks find all windows whose fingerprint is
+    within `radius` of the item's. So that none is lost, the windows that hold one of the item's
+    probes (see `Probes`) are taken beside these. The windows are compared by their 5-word
+    shingles, weighted by how often they occur, and count from `threshold` on. Words are
+    lower-cased runs without white space.
 
     Returns `doc_id, item_id, similarity` (of the best window), `first_word, n_words` (where it
     is). Texts shorter than an item are one window. Null texts, texts and items without words
@@ -297,7 +364,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, r
     texts = pick(docs, "doc_id", "text").where("text IS NOT NULL")
     found = None
     for block in item_blocks(benchmark):
-        part = search_block(texts, Items(block, radius), threshold)
+        part = search_block(texts, Items(block, radius, threshold), threshold)
         found = part if found is None else found.unionAll(part)
     if found is None:
         empty = "cast(null as bigint) item_id", "0D similarity", "0L first_word", "0L n_words"

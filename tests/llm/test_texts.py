@@ -234,6 +234,31 @@ def test_leaks_in_very_long_texts_and_item_blocks(spark, monkeypatch):
     assert got == dict.fromkeys(range(len(items)), 1.0)
 
 
+def test_no_near_copy_is_lost():
+    """Copies with words replaced and edges cut, items of many sizes, common words."""
+    rng = random.Random(12)
+    vocabulary = [f"v{int(300 * rng.random() ** 3)}" for _ in range(3000)]
+    items = [[rng.choice(vocabulary) for _ in range(n)] for n in [*range(15, 60, 2), 100, 111, 200, 222]]
+    texts = []
+    for i in range(500):
+        copy = list(items[i % len(items)])
+        for _ in range(rng.randint(0, max(1, len(copy) // 40))):
+            copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+        cut = copy[rng.randint(0, len(copy) // 12) :]
+        own = [rng.choice(vocabulary) for _ in range(rng.choice([0, 40, 120]))]
+        texts.append(own[:60] + cut + own[60:])
+    want = {}
+    for t, text in enumerate(texts):
+        for i, item in enumerate(items):
+            if abs(t % len(items) - i) <= 2 and (s := best_similarity(" ".join(text), " ".join(item))) >= 0.75:
+                want[t, i] = s
+    block = decontamination.Items([(i, [w.encode() for w in item]) for i, item in enumerate(items)])
+    hashes = [task_words.hashed([w.encode() for w in text]) for text in texts]
+    got = decontamination.find_items(hashes, block, 0.75, decontamination.Buffers())
+    assert len(want) > 300 and len(set(want.values())) > 20
+    assert {k: round(v[0], 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
+
+
 def test_every_near_fingerprint_is_found():
     rng = np.random.default_rng(1)
     prints = rng.integers(0, 2**63, 40).astype(np.uint64)
