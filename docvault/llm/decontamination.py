@@ -40,7 +40,7 @@ class Items:
         self.ids = [i for i, _ in items]
         codes = [hashed(w) for _, w in items]
         self.sizes = np.array([len(c) for c in codes])
-        self.shingles = [Counter(shingles(c).tolist()) for c in codes]
+        self.shingles = [Counter(shingles(c, min(K, len(c))).tolist()) for c in codes]
         self.prints = np.array([text_print(c) for c in codes], np.uint64)
         self.classes = []
         for size in np.unique(self.sizes).tolist():
@@ -350,8 +350,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, r
     SimHash over their words. Tables of Hamming blocks find all windows whose fingerprint is
     within `radius` of the item's. So that none is lost, the windows that hold one of the item's
     probes (see `Probes`) are taken beside these. The windows are compared by their 5-word
-    shingles, weighted by how often they occur, and count from `threshold` on. Words are
-    lower-cased runs without white space.
+    shingles, weighted by how often they occur, and count from `threshold` on. An item of fewer
+    words is one shingle of all its words. Words are lower-cased runs without white space.
 
     Returns `doc_id, item_id, similarity` (of the best window), `first_word, n_words` (where it
     is). Texts shorter than an item are one window. Null texts, texts and items without words

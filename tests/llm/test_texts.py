@@ -259,6 +259,17 @@ def test_no_near_copy_is_lost():
     assert {k: round(v[0], 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
 
 
+def test_items_of_few_words():
+    items = ["one", "two words", "now three words", "here are four words", "and here are five words"]
+    texts = [f"some text before {i} and some behind it" for i in items] + items + ["two one words", "words", "two", "ONE\tone"]
+    block = decontamination.Items([(i, task_words.words(item.encode())) for i, item in enumerate(items)])
+    hashes = [task_words.hashed(task_words.words(text.encode())) for text in texts]
+    got = decontamination.find_items(hashes, block, 0.75, decontamination.Buffers())
+    want = {(t, i): 1.0 for t, text in enumerate(texts) for i, item in enumerate(items) if best_similarity(text, item) == 1}
+    assert {k: v[0] for k, v in got.items()} == want
+    assert [got[i, i][1:] for i in range(5)] == [(3, n) for n in range(1, 6)]
+
+
 def test_every_near_fingerprint_is_found():
     rng = np.random.default_rng(1)
     prints = rng.integers(0, 2**63, 40).astype(np.uint64)
