@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docvault.llm.frames import NO_ID, pick, stored, with_position
+from docvault.llm.frames import NO_ID, partitions, pick, stored, with_position
 
 #: Bits of the order within one cell of the curve: first by text, then by row.
 TEXT_BITS, ROW_BITS = 20, 20
@@ -48,12 +48,37 @@ def hilbert_index(points: Sequence[np.ndarray], bits: int) -> np.ndarray:
     return index
 
 
-def as_number(column: Column, kind: T.DataType) -> Column:
-    """A value that keeps the column's order: numbers as they are, else the first six bytes of the text."""
+def ordered_value(column: Column, kind: T.DataType) -> Column:
+    """A value that keeps the column's order: numbers as they are, all else as text; a null text is empty."""
     if isinstance(kind, T.NumericType):
         return column.cast("double")
-    text = F.encode(F.rpad(F.coalesce(column.cast("string"), F.lit("")), 6, "\x00"), "UTF-8")
-    return F.conv(F.hex(F.substring(text, 1, 6)), 16, 10).cast("double")
+    return F.coalesce(column.cast("string"), F.lit(""))
+
+
+def text_quantiles(rows: DataFrame, column: str, bits: int) -> list[str]:
+    """The 2**bits - 1 quantiles of a text column over all rows, by whole values.
+
+    The distinct values are counted, dealt into runs of their order and the counts cumulated in
+    each run; only the quantiles and a number for each run reach the driver.
+    """
+    runs = partitions(rows.sparkSession)
+    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.repartitionByRange(runs, "value").withColumn("run", F.spark_partition_id())
+    counts = stored(counts, "value-counts")
+    sizes = {r["run"]: r["n"] for r in counts.groupBy("run").agg(F.sum("n").alias("n")).collect()}
+    starts = [0]
+    for run in range(max(sizes, default=-1) + 1):
+        starts.append(starts[-1] + sizes.get(run, 0))
+    total = starts[-1]
+    if not total:
+        return []
+    first = F.element_at(F.array(*[F.lit(n).cast("bigint") for n in starts]), F.col("run") + 1)
+    cumulated = counts.withColumn("to", first + F.sum("n").over(Window.partitionBy("run").orderBy("value")))
+    # Quantile i is the value of the row at i * total / 2**bits.
+    upto = lambda n: F.floor(n / F.lit(total) * F.lit(2**bits))
+    times = (F.least(upto(F.col("to")), F.lit(2**bits - 1)) - upto(F.col("to") - F.col("n"))).alias("times")
+    found = cumulated.select("value", times).where("times > 0").collect()
+    return [r["value"] for r in found for _ in range(r["times"])]
 
 
 def hilbert_shards(
@@ -65,8 +90,8 @@ def hilbert_shards(
 ) -> DataFrame:
     """Cut the documents, ordered along a Hilbert curve, into runs with row counts at most one apart.
 
-    Each dimension is quantised at up to 2**bits - 1 approximate quantiles over all rows (by
-    its first six bytes if it is no number), so that cells have like numbers of rows; null goes
+    Each dimension is quantised at up to 2**bits - 1 quantiles over all rows (approximate ones
+    of numbers, exact ones of whole texts), so that cells have like numbers of rows; null goes
     to the lowest level. Neighbours on the curve are neighbours in every dimension, which makes
     each shard's range of every dimension narrow. Within a cell equal texts stand together, and
     after them the row's hash decides, so a cell with very many rows is numbered by many tasks.
@@ -88,16 +113,19 @@ def hilbert_shards(
         F.struct(*carried).alias("row"),
         F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
         F.coalesce("text", F.lit("")).alias("body"),
-        *[as_number(F.col(d), kinds[d]).alias(a) for a, d in zip(axes, dimensions, strict=True)],
+        *[ordered_value(F.col(d), kinds[d]).alias(a) for a, d in zip(axes, dimensions, strict=True)],
     )
     share = 2.0**-bits
-    cuts = rows.approxQuantile(axes, [i * share for i in range(1, 2**bits)], share / 4)
+    numbers = [a for a, d in zip(axes, dimensions, strict=True) if isinstance(kinds[d], T.NumericType)]
+    quantiles = rows.approxQuantile(numbers, [i * share for i in range(1, 2**bits)], share / 4) if numbers else []
+    cuts = dict(zip(numbers, quantiles, strict=True))
+    cuts |= {a: text_quantiles(rows, a, bits) for a in axes if a not in cuts}
 
     @F.pandas_udf("bigint")
     def curve(cells: pd.DataFrame) -> pd.Series:
         return pd.Series(hilbert_index([cells[c].to_numpy() for c in cells.columns], bits))
 
-    cells = F.struct(*[level(F.col(a), c).alias(a) for a, c in zip(axes, cuts, strict=True)])
+    cells = F.struct(*[level(F.col(a), cuts[a], "double" if a in numbers else "string").alias(a) for a in axes])
     placed = rows.select(
         "row",
         "id",
@@ -127,12 +155,12 @@ def hilbert_shards(
     )
 
 
-def level(value: Column, points: Sequence[float]) -> Column:
+def level(value: Column, points: Sequence[float] | Sequence[str], kind: str) -> Column:
     """How many of the quantiles lie below the value; null lies below all.
 
     A value with many rows spans several quantiles, so levels are as far apart as rows are many.
     """
-    found = F.array(*[F.lit(float(p)) for p in points]).cast("array<double>")
+    found = F.array(*[F.lit(p) for p in points]).cast(f"array<{kind}>")
     return F.coalesce(F.size(F.filter(found, lambda p: p < value)), F.lit(0))
 
 

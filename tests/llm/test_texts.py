@@ -102,6 +102,20 @@ def test_shards(spark, documents, messy, nothing, tmp_path):
         sharding.hilbert_shards(documents, bits=8)
 
 
+def test_shards_by_sources_that_begin_alike(spark):
+    rows = [(i, f"text {i}", "en", f"https://site.org/{'abcd'[i % 4]}" if i % 9 else None, 5) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    got = sharding.hilbert_shards(docs, shards=5, carry=("source",)).collect()
+    cells = {}
+    for r in got:
+        cells.setdefault(r["source"], set()).add(r["curve"])
+    assert len(got) == 200 and len(cells) == 5 and all(len(c) == 1 for c in cells.values())
+    assert len(set().union(*cells.values())) == 5
+    points = sharding.text_quantiles(docs.where("source IS NOT NULL"), "source", 3)
+    values = sorted(r[3] for r in rows if r[3])
+    assert sorted(points) == [values[-(-i * len(values) // 8) - 1] for i in range(1, 8)]
+
+
 # --- line dedup
 
 
