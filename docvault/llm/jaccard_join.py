@@ -414,6 +414,9 @@ def block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
     x = np.arange(len(rows)) if same else np.flatnonzero(left)
     y = x if same else np.flatnonzero(~left)
     counts = (matrix[x] @ matrix[y].T).astype(np.int64)
+    # Tokens of a set with the same half are counted once: so many more may be common.
+    lost = rows["shared"].map(lambda halves: len(halves) - len(np.unique(halves))).to_numpy()
+    counts += np.minimum.outer(lost[x], lost[y])
     n, sid, component = (rows[c].to_numpy() for c in ("n", "sid", "component"))
     low, high = np.minimum.outer(n[x], n[y]).astype(np.int64), np.maximum.outer(n[x], n[y]).astype(np.int64)
     may = (100 * low >= PERCENT * high) & not_equal(component[x], component[y]) & not_equal(sid[x], sid[y])

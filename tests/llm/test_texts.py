@@ -6,6 +6,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from llm_data import corpus, documents, messy, nothing  # noqa: F401
@@ -192,6 +193,16 @@ def test_jaccard_at_the_threshold_and_in_a_hot_group(spark, monkeypatch):
     assert got == want and len({c for _, c in want.values()}) > 3
 
 
+def test_tokens_with_the_same_half_lose_no_pair():
+    """Two sets of 20 that may link with 4 common tokens in the prefixes, not with 3."""
+    for halves, pairs in (([1, 2, 3, 4], 1), ([1, 1, 2, 3], 1), ([1, 1, 1, 1], 1), ([1, 2, 3], 0), ([1, 1, 2], 0)):
+        rows = pd.DataFrame({
+            "kind": 0, "i": 0, "j": 0, "left": [True, False], "sid": [7, 8], "component": [7, 8], "n": [20, 20],
+            "shared": [np.array(halves, np.int32)] * 2,
+        })
+        assert len(jaccard_join.block_pairs(rows)) == pairs
+
+
 # --- decontamination
 
 
