@@ -92,3 +92,25 @@ def with_position(rows: DataFrame, by: str, ties: Sequence[Column], name: str =
     )
     order = Window.partitionBy("run__").orderBy(F.col(by), *ties)
     return runs.withColumn(name, first + F.row_number().over(order) - 1).drop("run__")
+
+
+def numbered(rows: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "position", total: str = "total") -> DataFrame:
+    """Add each row's place (from 0) in its group by the order columns, nulls first, and the group's rows.
+
+    `rows` should be a stored table, as it is sampled first; group columns must not be null.
+    The rows are dealt out by ranges of (groups, order), so a large group lies in many ranges;
+    each range numbers its own rows and starts after those of the group in the ranges before.
+    """
+    ranged = rows.repartitionByRange(*groups, *order).withColumn("run__", F.spark_partition_id())
+    ranged = stored(ranged, "ranges")  # the number of a range holds from here on
+    group = Window.partitionBy(*groups)
+    sizes = ranged.groupBy(*groups, "run__").agg(F.count(F.lit(1)).alias("size__"))  # ranges a group, at most
+    starts = sizes.select(
+        *groups,
+        "run__",
+        (F.sum("size__").over(group.orderBy("run__")) - F.col("size__")).alias("start__"),
+        F.sum("size__").over(group).alias(total),
+    )
+    inside = Window.partitionBy(*groups, "run__").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    placed = ranged.withColumn("row__", F.row_number().over(inside)).join(starts, [*groups, "run__"])
+    return placed.withColumn(name, F.col("start__") + F.col("row__") - 1).drop("run__", "row__", "start__")

@@ -20,7 +20,8 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM marked GROUP BY doc_id
 """
 
-OP4 = """
+#: Classes of documents that share enough shingles, as `doc_id, n_shingles, component_id`.
+CLASSES = """
 WITH RECURSIVE tokens AS (
   SELECT doc_id,
          list_filter(regexp_split_to_array(
@@ -36,7 +37,7 @@ WITH RECURSIVE tokens AS (
 ), links AS (
   SELECT a.doc_id AS x, b.doc_id AS y
   FROM entries a JOIN entries b ON a.t = b.t AND a.doc_id <> b.doc_id
-  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))
 ), reach AS (
   SELECT doc_id AS x, doc_id AS y FROM sets
   UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
@@ -45,6 +46,9 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.y)::BIGINT AS component_i
 FROM sets s JOIN reach r ON s.doc_id = r.x GROUP BY s.doc_id, s.s
 """
 
+OP4 = CLASSES.format(percent=75)
+OP11 = f"SELECT *, doc_id = component_id AS kept FROM ({CLASSES.format(percent=85)})"
+
 RECORDS = """
   SELECT page_id, (page_id // 1000)::BIGINT AS archive, strlen(r)::BIGINT AS len, sha256(r) AS hash FROM (
     SELECT page_id, 'WARC/1.1' || crlf || 'WARC-Type: resource' || crlf || 'WARC-Record-ID: <urn:page:' || page_id || '>' || crlf
@@ -72,4 +76,4 @@ WHERE a.hash IS DISTINCT FROM b.hash OR a.at IS DISTINCT FROM b.at
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": OP4, "op7_line_dedup": OP7, "op10_warc_audit": OP10}
+    return {"op4_jaccard_join": OP4, "op7_line_dedup": OP7, "op10_warc_audit": OP10, "op11_minhash": OP11}

@@ -10,11 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docvault.llm import (
+    conversations,
     decontamination,
     fingerprints,
     jaccard_join,
     language_mixture,
     line_dedup,
+    manifest,
+    minhash,
     packing,
     quality,
     sharding,
@@ -108,6 +111,20 @@ def op10_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.replica_audit(pages, damaged_replica(pages))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = manifest.verified_versions(docs, id_part(5) == 0, manifest.lower_cased(F.col("text")))
+    return found.withColumn("n_copied", F.size("copied")).drop("copied")
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -117,6 +134,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_fingerprints, op2_sharding, op3_decontamination, op4_jaccard_join, op5_surrogates,
-        op6_packing, op7_line_dedup, op8_language_mixture, op9_quality, op10_warc_audit, pipeline,
+        op6_packing, op7_line_dedup, op8_language_mixture, op9_quality, op10_warc_audit,
+        op11_minhash, op12_manifest, op13_conversations, pipeline,
     ]
     return {query.__name__: query for query in found}
