@@ -26,8 +26,10 @@ MINIMA = BANDS * ROWS
 RISK = 1e-9
 #: Shingles whose hashes are made at once.
 CHUNK = 4096
-#: Buckets of more sets are compared in blocks of about BLOCK sets.
-FEW, BLOCK = 32, 512
+#: Buckets of more sets are compared in blocks of about so many sets, or shingles.
+FEW, BLOCK, BLOCK_TOKENS = 32, 512, 1 << 20
+#: Shingles whose common counts are made at once.
+COLUMNS = 4096
 
 
 def hash_family(count: int = MINIMA, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +87,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def shared_buckets(sets: DataFrame) -> DataFrame:
-    """`band, key, sid, pivot` for the buckets that hold several sets; the pivot is the least.
+    """`key, sid, pivot` for the buckets that hold several sets; the pivot is the least.
 
     Buckets are counted and their pivots found with partial results, so a bucket with very many
     sets is never gathered; Spark splits the join that hands the pivot out.
@@ -95,9 +97,9 @@ def shared_buckets(sets: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring("minima", i * width + 1, F.lit(width))),
     )
-    buckets = sets.select("sid", F.posexplode(keys).alias("band", "key"))
+    buckets = sets.select("sid", F.explode(keys).alias("key"))
     pivots = buckets.groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("high"))
-    return buckets.join(pivots.where("pivot < high").select("key", "pivot"), "key").select("band", "key", "sid", "pivot")
+    return buckets.join(pivots.where("pivot < high").select("key", "pivot"), "key").select("key", "sid", "pivot")
 
 
 def sizes_allow(a: Column, b: Column) -> Column:
@@ -127,10 +129,18 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return common * (100 + PERCENT) >= PERCENT * (len(a) + len(b))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs `a, b` that link, by their full sets, made anew from one text of each set."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    full = stored(token_sets(docs, stored(sets.join(wanted, "sid").select("sid", "doc_id"), "wanted")), "full-sets")
+def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`sid, tokens` of the wanted sets, stored; made anew from one text of each set."""
+    ids = stored(sets.join(wanted.distinct(), "sid").select("sid", "doc_id"), "wanted")
+    return stored(token_sets(docs, ids).select("sid", "tokens"), "full-sets")
+
+
+def both_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("sid"))
+
+
+def confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """The pairs `a, b` that link, by their full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,55 +151,93 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return both_sides(pairs, full, "tokens").mapInArrow(run, "a bigint, b bigint")
 
 
-def block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """The pairs of a block's left and right sets that may link, each in its first common band only."""
-    least, band = least_agreement(), rows["band"].iloc[0]
-    minima = np.frombuffer(b"".join(rows["minima"]), "<u2").reshape(-1, MINIMA)
+def common_counts(tokens: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many tokens the sets at `x` have in common with those at `y`, by products of 0/1
+    matrices of at most COLUMNS tokens at a time."""
+    owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+    _, column, held = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    shared = held[column] > 1
+    owner, column = owner[shared], (np.cumsum(held > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    counts = np.zeros((len(x), len(y)), np.int64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, (low, low + COLUMNS)))
+        matrix = np.zeros((len(tokens), COLUMNS), np.float32)
+        matrix[owner[part], column[part] - low] = 1
+        counts += (matrix[x] @ matrix[y].T).astype(np.int64)
+    return counts
+
+
+def block_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between a block's left and right sets that join components, as a forest.
+
+    All pairs are compared on their full sets; of the links found those come out that join
+    parts which no link before them has joined, fewer than there are sets.
+    """
     n, sid, component, left = (rows[c].to_numpy() for c in ("n", "sid", "component", "left"))
     same = rows["kind"].iloc[0] == 1 and rows["i"].iloc[0] == rows["j"].iloc[0]
     x = np.arange(len(rows)) if same else np.flatnonzero(left)
     y = x if same else np.flatnonzero(~left)
+    common = common_counts(rows["tokens"].to_list(), x, y)
+    link = common * (100 + PERCENT) >= PERCENT * np.add.outer(n[x], n[y])
+    i, j = np.nonzero(link & (component[x][:, None] != component[y][None, :]))
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (above := parent.get(c, c)) != c:
+            parent[c] = c = parent.get(above, above)
+        return c
+
     found = []
-    for low in range(0, len(x), 32):
-        part = x[low : low + 32]
-        agree = (minima[part][:, None, :] == minima[y][None, :, :]).sum(axis=2) >= least
-        agree &= component[part][:, None] != component[y][None, :]
-        smaller, larger = np.minimum.outer(n[part], n[y]), np.maximum.outer(n[part], n[y])
-        i, j = np.nonzero(agree & (100 * smaller >= PERCENT * larger))
-        i, j = part[i], y[j]
-        bands = (minima[i] == minima[j]).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-        first = bands == band
-        found.append(pd.DataFrame({"a": np.minimum(sid[i], sid[j])[first], "b": np.maximum(sid[i], sid[j])[first]}))
-    return pd.concat(found).drop_duplicates() if found else pd.DataFrame({"a": sid[:0], "b": sid[:0]})
-
-
-def pairs_across(shared: DataFrame, labels: DataFrame, sets: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs `a, b` of one bucket and two components that may link and were not tried.
-
-    Buckets of one component are done. Those of at most FEW sets are joined with themselves.
-    Of larger ones the sets outside of the largest component are compared with all, in blocks
-    of about BLOCK sets, by their signatures; only agreeing pairs come out.
+    for p, q in zip(x[i].tolist(), y[j].tolist(), strict=True):
+        a, b = root(int(component[p])), root(int(component[q]))
+        if a != b:
+            parent[a] = b
+            found.append((int(sid[p]), int(sid[q])))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def links_across(shared: DataFrame, labels: DataFrame, docs: DataFrame, sets: DataFrame, tried: DataFrame) -> DataFrame:
+    """Links `a, b` between sets of one bucket that lie in different components.
+
+    Buckets of one component are done. Pairs of buckets of at most FEW sets are compared by their
+    signatures, then by their full sets, unless they were tried. Of larger buckets the sets
+    outside of the largest component are compared with all, in blocks of about BLOCK sets or
+    BLOCK_TOKENS shingles, on their full sets; no pairs but only joining links come out.
     """
     labelled = shared.join(labels, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    parts = labelled.groupBy("key", "component").agg(F.count("sid").alias("k"))
+    labelled = labelled.join(sets.select("sid", "n"), "sid")
+    parts = labelled.groupBy("key", "component").agg(F.count("sid").alias("k"), F.sum("n").alias("tokens"))
     sizes = parts.groupBy("key").agg(
-        F.sum("k").alias("all"), F.max(F.struct(F.col("k"), F.col("component"))).alias("main"), F.count("k").alias("parts")
+        F.sum("k").alias("all"),
+        F.sum("tokens").alias("all_tokens"),
+        F.max(F.struct("k", "component", "tokens")).alias("main"),
+        F.count("k").alias("parts"),
     )
     # A bucket of two sets is its pivot and the other one.
-    sizes = sizes.where("parts > 1 AND all > 2").select("key", "all", F.col("main.k").alias("largest"), F.col("main.component").alias("main"))
-    rest = stored(labelled.select("band", "key", "sid", "component").join(sizes, "key"), "open-buckets")
+    sizes = sizes.where("parts > 1 AND all > 2").select("key", "all", "all_tokens", "main")
+    rest = stored(labelled.select("key", "sid", "n", "component").join(sizes, "key"), "open-buckets")
 
     few = rest.where(F.col("all") <= FEW).select("key", "sid", "component")
     one, two = (few.select("key", F.col("sid").alias(x), F.col("component").alias(f"{x}_part")) for x in "ab")
     joined = one.join(two, "key").where("a < b AND a_part <> b_part").select("a", "b").distinct()
-    joined = joined.join(tried, ["a", "b"], "left_anti")
+    pairs = stored(agreeing(joined.join(tried, ["a", "b"], "left_anti"), sets), "other-pairs")
 
-    many = rest.where(F.col("all") > FEW).join(sets.select("sid", "n", "minima"), "sid")
-    many = many.withColumn("out", F.col("component") != F.col("main"))
-    many = many.withColumn("outs", F.ceil((F.col("all") - F.col("largest")) / BLOCK).cast("int"))
-    many = many.withColumn("mains", F.ceil(F.col("largest") / BLOCK).cast("int"))
-    mine = F.pmod(F.hash("sid"), F.when(F.col("out"), F.col("outs")).otherwise(F.col("mains")))
-    many = many.withColumn("own", mine)
+    many = rest.where(F.col("all") > FEW)
+    full = full_sets(docs, sets, both_of(pairs).unionAll(many.select("sid")))
+
+    def blocks(k: Column, tokens: Column) -> Column:
+        return F.ceil(F.greatest(k / BLOCK, tokens / BLOCK_TOKENS)).cast("int")
+
+    many = many.withColumns(
+        {
+            "out": F.col("component") != F.col("main.component"),
+            "outs": blocks(F.col("all") - F.col("main.k"), F.col("all_tokens") - F.col("main.tokens")),
+            "mains": blocks(F.col("main.k"), F.col("main.tokens")),
+        }
+    )
+    many = many.withColumn("own", F.pmod(F.hash("sid"), F.when(F.col("out"), F.col("outs")).otherwise(F.col("mains"))))
 
     def block(kind: int, i: Column, j: Column, left: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), left.alias("left"))
@@ -202,10 +250,9 @@ def pairs_across(shared: DataFrame, labels: DataFrame, sets: DataFrame, tried: D
     among_outs = each("outs", lambda j: block(1, F.least(own, j), F.greatest(own, j), own <= j))
     from_main = each("outs", lambda i: block(0, i, own, F.lit(False)))
     places = F.when(F.col("out"), F.concat(against_main, among_outs)).otherwise(from_main)
-    dealt = many.select("key", "band", F.inline(places), "sid", "component", "n", "minima")
-    found = dealt.groupBy("key", "kind", "i", "j").applyInPandas(block_pairs, "a bigint, b bigint")
-    found = found.join(tried, ["a", "b"], "left_anti")
-    return agreeing(joined, sets).unionAll(found).distinct()
+    dealt = many.select("key", F.inline(places), "sid", "component", "n").join(full, "sid")
+    found = dealt.groupBy("key", "kind", "i", "j").applyInPandas(block_links, "a bigint, b bigint")
+    return confirmed(pairs, full).unionAll(found)
 
 
 def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
@@ -219,12 +266,13 @@ def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
     sets = stored(sets, "sets")
     shared = stored(shared_buckets(sets), "buckets")
     stars = stored(shared.where("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct(), "stars")
-    edges = stored(confirmed(stored(agreeing(stars, sets), "agreeing"), docs, sets), "links")
+    close = stored(agreeing(stars, sets), "agreeing")
+    edges = stored(confirmed(close, full_sets(docs, sets, both_of(close))), "links")
     found = stored(components(edges), "components").select(F.col("node").alias("sid"), "component")
-    pairs = stored(pairs_across(shared, found, sets, stars), "other-pairs")
-    if pairs.isEmpty():
+    more = stored(links_across(shared, found, docs, sets, stars), "other-links")
+    if more.isEmpty():
         return found
-    merged = components(edges.unionAll(confirmed(pairs, docs, sets)))
+    merged = components(edges.unionAll(more))
     return merged.select(F.col("node").alias("sid"), "component")
 
 

@@ -50,6 +50,7 @@ def test_minhash_of_large_groups_in_several_classes(spark, monkeypatch):
     """Buckets that are cut into blocks, with links that no pivot shows."""
     monkeypatch.setattr(minhash, "FEW", 3)
     monkeypatch.setattr(minhash, "BLOCK", 7)
+    monkeypatch.setattr(minhash, "COLUMNS", 50)
     rng = random.Random(5)
     rows = []
     for group in range(3):
@@ -78,6 +79,15 @@ def test_signatures():
     assert 0.6 < minhash.least_agreement() / minhash.MINIMA < 0.75
 
 
+def test_common_counts(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 16)
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 200, n)) for n in (0, 1, 30, 90, 120, 150, 7)]
+    x, y = np.array([1, 3, 5, 0]), np.array([2, 4, 6])
+    want = [[len(np.intersect1d(sets[i], sets[j])) for j in y] for i in x]
+    assert minhash.common_counts(sets, x, y).tolist() == want
+
+
 def test_every_link_at_the_threshold_is_a_candidate():
     """Of 400 pairs just at 85 percent each shares a band and passes the signature check."""
     rng = np.random.default_rng(4)
