@@ -37,15 +37,20 @@ SYLLABLES = {
     "CYRILLIC": "ба бе бо ва ве га го да де до за ка ко ла ле ма ме мо на не па пе ра ро са се та те то".split(),
 }
 #: Letters that stand for a letter of the script; other scripts use the code points around the letter.
+#: Secrets with fewer letters and digits get letters for their signs, too.
+FEW_SIGNS = 6
 LETTERS = {"LATIN": "abcdefghijklmnopqrstuvwxyz", "CYRILLIC": "абвгдежзиклмнопрстуфхцчшэюя", "GREEK": "αβγδεζηθικλμνξοπρστυφχψω"}
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|госпожа"
 MALE = "Mr|Herr|Monsieur|Señor|Sr|господин"
+#: Titles that show no gender.
+LEARNED = "Dr|Prof"
 #: Titles may stand in capitals, names start with one.
-TITLES = {"f": f"{FEMALE}|{FEMALE.upper()}", "m": f"{MALE}|{MALE.upper()}"}
+TITLES = {"f": f"{FEMALE}|{FEMALE.upper()}", "m": f"{MALE}|{MALE.upper()}", "x": f"{LEARNED}|{LEARNED.upper()}"}
+ANY_TITLE = "|".join(TITLES.values())
 CAPITAL = "(?=[A-ZÀ-ÖØ-ÞĀ-ŽА-ЯЁΑ-Ω])"
 NAME = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))+"
 #: Between two words of a name; a possessive ends it, and a title begins another.
-NEXT = rf"(?<!['’][sS])[ \t]+(?!(?:{TITLES['f']}|{TITLES['m']})\b)"
+NEXT = rf"(?<!['’][sS])[ \t]+(?!(?:{ANY_TITLE})\b)"
 #: A word that may be, or hold, a name found elsewhere in the document.
 MENTION = re.compile(r"(?<!\w)[^\W\d_]+(?:['’-][^\W\d_]+)*(?!\w)")
 STREET = "Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Boulevard|Blvd"
@@ -60,25 +65,30 @@ PHONE = (
     r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
     r"|(?<![\w+])(?<!\d[.-])(?:1[ .-])?(?:\(\d{3}\)[ .-]?\d{3}[ .-]|\d{3}(?P<dot>[.-])\d{3}(?P=dot))\d{4}(?!\w|[.-]\d)"
 )
+#: Country, check digits, a group of four, then digits in groups of four as written in print, or closed up.
+IBAN = (
+    r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?P<gap> ?)(?:[A-Z]{4}|\d{4})(?:(?P=gap)\d{4}){2,6}(?:(?P=gap)\d{1,3})?(?![A-Za-z0-9])"
+)
 #: Dates with a year of the last centuries, as functions.rules looks for them.
-DATE = r"(?:\d{1,2}/\d{1,2}/(?:1[89]|20)\d\d|(?:1[89]|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))"
+DATE = r"(?:\d{1,2}(?P<day>[/.])\d{1,2}(?P=day)(?:1[89]|20)\d\d|(?:1[89]|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))"
 #: In this order; the first that matches at a place holds.
 PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<key>(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9]))"
-    r"|(?:password|passwd|secret|token|api_key)[ \t]*[=:][ \t]*(?P<q>[\"']?)(?P<secret>[A-Za-z0-9_+/.-]{8,})(?P=q)"
-    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
+    r"|(?i:password|passwd|secret|token|api_key)[ \t]*[=:][ \t]*(?P<q>[\"']?)(?P<secret>[A-Za-z0-9_+/.-]{8,})(?P=q)"
+    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])|(?:(?<=SSN )|(?<=SSN: ))\d{3} \d{2} \d{4}(?!\d))"
+    rf"|(?P<iban>{IBAN})"
     rf"|(?P<phone>{PHONE})"
     rf"|(?P<card>(?<![\dA-Za-z])(?:{CARD})(?![\dA-Za-z]))"
-    rf"|(?P<date>(?<![\w/-]){DATE}(?![\d/]|-\d))"
+    rf"|(?P<date>(?<![\w/.-]){DATE}(?![\d/]|[.-]\d))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d))"
     rf"|(?P<address>(?<![\w.,/-])\d{{1,6}}[A-Za-z]?(?:[ \t]+{CAPITAL}[^\W\d_]+){{1,3}}?[ \t]+(?:{STREET})\b)"
-    rf"|(?:[Nn]ame|NAME)[ \t]*:[ \t]*(?!(?:{TITLES['f']}|{TITLES['m']})\b)"
+    rf"|(?:[Nn]ame|NAME)[ \t]*:[ \t]*(?!(?:{ANY_TITLE})\b)"
     rf"(?P<label>{CAPITAL}(?:{NAME})(?:{NEXT}{CAPITAL}(?:{NAME})(?!\w|[ \t]*:)){{1,3}})"
-    rf"|(?:\b(?P<f>{TITLES['f']})|\b(?P<m>{TITLES['m']}))\.?[ \t]+(?P<name>{CAPITAL}(?:{NAME})(?:{NEXT}{CAPITAL}(?:{NAME}))?)"
+    rf"|(?:\b(?P<f>{TITLES['f']})|\b(?P<m>{TITLES['m']})|\b(?:{TITLES['x']}))\.?[ \t]+(?!(?:{ANY_TITLE})\b)(?P<name>{CAPITAL}(?:{NAME})(?:{NEXT}{CAPITAL}(?:{NAME}))?)"
 )
 #: A text without any of these holds nothing that PATTERN finds.
-HINT = re.compile(rf"@|\+\d|\d{{4}}|\d\.\d|\d-\d|AKIA|[=:]|[ \t](?:{STREET})\b|\b(?:{TITLES['f']}|{TITLES['m']})\b")
+HINT = re.compile(rf"@|\+\d|\d{{4}}|\d\.\d|\d-\d|AKIA|[=:]|[ \t](?:{STREET})\b|\b(?:{ANY_TITLE})\b|SSN ")
 
 
 def draw(secret: bytes, kind: str, value: str, attempt: int) -> Iterator[int]:
@@ -124,10 +134,15 @@ def check_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+def iban_check(country: str, body: str) -> str:
+    """The two check digits: letters read as 10 to 35, modulo 97."""
+    return f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02}"
+
+
 def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The replacement of a value of a kind; each attempt gives another one.
 
-    Kinds: email, key, secret, ssn, phone, card, date, ip, address, and for names `given_f`, `given_m`,
+    Kinds: email, key, secret, ssn, iban, phone, card, date, ip, address, and for names `given_f`, `given_m`,
     `family_f`, `family_m` (where the name shows the gender), `given_x`, `family_x`. Length, punctuation, case, script and what makes the type valid
     (check digit, octets, month and day, kind of street, reserved mail domain, gender) are kept.
     """
@@ -138,13 +153,19 @@ def surrogate(secret: bytes, kind: str, value: str, attempt: int = 0) -> str:
         local += "a" * longer
         return f"{shaped(local, stream)}@{shaped(domain.split('.')[0], stream)}.example.{('com', 'net', 'org')[next(stream) % 3]}"
     if kind == "key":
-        return value[:4] + shaped(value[4:], stream)
+        return value[:4] + shaped(value[4:] + "A" * longer, stream)
     if kind == "secret":
-        return shaped(value, stream, "abcdef" if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value) else None)
+        if sum(c.isalnum() for c in value) < FEW_SIGNS:  # too few letters and digits to tell values apart
+            value = "".join(c if c.isalnum() else "a" for c in value)
+        return shaped(value + value[-1] * longer, stream, "abcdef" if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value) else None)
     if kind == "ip":
-        return ".".join(str(1 + next(stream) % 254) for _ in range(4))
+        return ".".join(str(1 + next(stream) % 254) for _ in range(4)) + f":{next(stream) * 256 + next(stream)}" * (longer > 0)
     if kind == "ssn":
-        return f"{1 + next(stream) % 8}{shaped(value[1:], stream)}"
+        return f"{1 + next(stream) % 8}{shaped(value[1:] + '0' * longer, stream)}"
+    if kind == "iban":
+        body = shaped(value.replace(" ", "")[4:] + "0" * longer, stream)
+        closed = value[:2] + iban_check(value[:2], body) + body
+        return " ".join(closed[i : i + 4] for i in range(0, len(closed), 4)) if " " in value else closed
     if kind == "phone":
         head = re.match(r"\+1(?=\D)|\+\d{1,3}|1(?=[ .-])|", value)[0]
         first = re.search(r"\d", value[len(head) :])
@@ -188,7 +209,8 @@ def other_date(value: str, stream: Iterator[int], attempt: int) -> str:
     year = 1930 + number % 80 if attempt < 4 else 1000 + number % 9000
     if "-" in value:
         return f"{year}-{1 + next(stream) % 12:02}-{1 + next(stream) % 28:02}"
-    first, second, _ = value.split("/")
+    between = "/" if "/" in value else "."
+    first, second, _ = value.split(between)
     # the month is where a number up to 12 stands, the first of two such
     limits = (28, 12) if int(first) > 12 else (12, 28) if int(second) > 12 else (12, 12)
     new = []
@@ -198,10 +220,10 @@ def other_date(value: str, stream: Iterator[int], attempt: int) -> str:
         else:
             least = 13 if limit == 28 else 1
             new.append(f"{least + next(stream) % (limit + 1 - least):02}")
-    return f"{new[0]}/{new[1]}/{year}"
+    return between.join((*new, str(year)))
 
 
-KINDS = ("email", "key", "secret", "ssn", "phone", "card", "date", "ip", "address", "label", "name")
+KINDS = ("email", "key", "secret", "ssn", "iban", "phone", "card", "date", "ip", "address", "label", "name")
 
 
 def detected(text: str) -> list[tuple[int, int, str, str]]:
@@ -220,7 +242,7 @@ def detected(text: str) -> list[tuple[int, int, str, str]]:
             value = m[group]
             found.append((*m.span(group), group, value.lower() if group == "email" else value))
             continue
-        gender = "x" if group == "label" else "f" if m["f"] else "m"
+        gender = "f" if m["f"] else "m" if m["m"] else "x"
         parts = list(re.finditer(r"\S+", m[group]))
         for i, part in enumerate(parts):
             kind = "family" if i == len(parts) - 1 else "given"
@@ -325,6 +347,19 @@ def find_entities(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc bigint, t1 bigint, t2 bigint, kind string, key string")
 
 
+def settled(values: DataFrame) -> DataFrame:
+    """`kind, key, settled`: a name without a gender takes the one that the corpus shows for it.
+
+    So a name has one surrogate by title and by label. Where both genders are shown each keeps
+    its own, and a mention without gender has that of the women.
+    """
+    part = F.split_part("kind", F.lit("_"), F.lit(1))
+    name = F.col("kind").rlike("_[fmx]$")
+    shown = values.where(name & ~F.col("kind").endswith("_x")).groupBy(part.alias("part"), "key").agg(F.min("kind").alias("shown"))
+    both = values.withColumn("part", part).join(shown, ["part", "key"], "left")
+    return both.select("kind", "key", F.when(F.col("kind").endswith("_x"), F.coalesce("shown", "kind")).otherwise(F.col("kind")).alias("settled"))
+
+
 def assign_surrogates(values: DataFrame, secret: bytes) -> DataFrame:
     """`kind, key, surrogate` for the distinct `kind, key` of a corpus; no two values share one.
 
@@ -337,7 +372,8 @@ def assign_surrogates(values: DataFrame, secret: bytes) -> DataFrame:
     def drawn(kind: pd.Series, key: pd.Series, attempt: pd.Series) -> pd.Series:
         return pd.Series([surrogate(secret, *row) for row in zip(kind, key, attempt, strict=True)], dtype=object)
 
-    values = values.select("kind", "key").distinct()
+    told = settled(values.select("kind", "key").distinct())
+    values = told.select(F.col("settled").alias("kind"), "key").distinct()
     own = values.select(F.lower("key").alias("surrogate")).distinct().withColumn("taken", F.lit(True))
     current = values.withColumn("attempt", F.lit(0)).withColumn("surrogate", drawn("kind", "key", "attempt"))
     current = stored(current, "surrogates")
@@ -351,18 +387,19 @@ def assign_surrogates(values: DataFrame, secret: bytes) -> DataFrame:
             .select("s", "first", F.coalesce("taken", F.lit(False)).alias("taken"))
         )
         if clash.isEmpty():
-            return current.select("kind", "key", "surrogate")
+            drawn_for = current.select(F.col("kind").alias("settled"), "key", "surrogate")
+            return told.join(drawn_for, ["settled", "key"]).select("kind", "key", "surrogate")
         mine = F.struct("attempt", "kind", "key")
-        told = current.join(clash, F.lower(current["surrogate"]) == clash["s"], "left")
+        drew = current.join(clash, F.lower(current["surrogate"]) == clash["s"], "left")
         again = F.col("s").isNotNull() & (F.col("taken") | (mine != F.col("first")))
-        moved = told.select("kind", "key", (F.col("attempt") + again.cast("int")).alias("attempt"), "surrogate", again.alias("again"))
+        moved = drew.select("kind", "key", (F.col("attempt") + again.cast("int")).alias("attempt"), "surrogate", again.alias("again"))
         new = F.when(F.col("again"), drawn("kind", "key", "attempt")).otherwise(F.col("surrogate"))
         current = stored(moved.select("kind", "key", "attempt", new.alias("surrogate")), "surrogates")
 
 
 def replace_entities(docs: DataFrame, secret: str) -> DataFrame:
-    """Replace mail addresses, keys, secrets, phone, card and social security numbers, dates, IP
-    and street addresses, and names by keyed surrogates.
+    """Replace mail addresses, keys, secrets, phone, card, account (IBAN) and social security
+    numbers, dates, IP and street addresses, and names by keyed surrogates.
 
     Names are found behind a title or the label `Name:`; after that, each whole word with a
     capital that is such a name of the same document (all rows of a doc_id; a row without one

@@ -167,6 +167,60 @@ def test_given_names_do_not_run_out(spark, monkeypatch):
         assert len(surrogates.surrogate(b"k", kind, value, 16)) > len(surrogates.surrogate(b"k", kind, value))
 
 
+def within_rounds(monkeypatch, most):
+    rounds = []
+
+    def counted(rows, name, stored=surrogates.stored):
+        rounds.append(name)
+        assert len(rounds) < most, "no end"
+        return stored(rows, name)
+
+    monkeypatch.setattr(surrogates, "stored", counted)
+
+
+def test_secrets_without_letters_and_digits_end(spark, monkeypatch):
+    within_rounds(monkeypatch, 30)
+    text = "password: ________ and token = ------.. and secret: -------1"
+    docs = spark.createDataFrame([(1, text), (2, "PASSWORD=Sup3rSecret")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in surrogates.replace_entities(docs, "k").collect()}
+    assert not any(x in got[1] for x in ("________", "------..", "-------1")) and "Sup3rSecret" not in got[2]
+    for attempt in (0, 9):
+        assert surrogates.surrogate(b"k", "secret", "________", attempt) != "________"
+
+
+def test_many_values_of_a_short_form_end(spark, monkeypatch):
+    within_rounds(monkeypatch, 40)
+    keys = spark.range(100_000).selectExpr("'secret' AS kind", "concat('---', lpad(string(id), 5, '0')) AS key")
+    found = surrogates.assign_surrogates(keys, b"k")
+    assert found.count() == found.select("surrogate").distinct().count() == 100_000
+
+
+def test_one_name_has_one_surrogate_by_title_and_by_label(spark):
+    rows = [(1, "Mrs Anna Brown came."), (2, "Name: Anna Brown"), (3, "Dr. Anna Brown wrote"), (4, "Mr Toni Brown, Mrs Toni Brown")]
+    got = {r["doc_id"]: r["text"] for r in surrogates.replace_entities(spark.createDataFrame(rows, "doc_id bigint, text string"), "k").collect()}
+    name = got[1].removeprefix("Mrs ").removesuffix(" came.")
+    assert got[2] == f"Name: {name}" and got[3] == f"Dr. {name} wrote" and "Anna" not in name
+    assert name.split()[0].lower() in surrogates.GIVEN["f", "LATIN"]
+
+
+@pytest.mark.parametrize(
+    ("kind", "value"),
+    [
+        ("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "GB29NWBK60161331926819"), ("ssn", "SSN 123 45 6789"),
+        ("date", "born 12.05.1980"), ("secret", "PASSWORD=Sup3rSecret"), ("secret", "Password: abcdefgh1"),
+    ],
+)
+def test_further_shapes(kind, value):
+    text = f"x {value} y"
+    (start, end, found, key), *more = surrogates.entities(text)
+    assert found == kind and not more and value.endswith(text[start:end])
+    new = surrogates.surrogate(b"k", kind, key)
+    assert new != key and len(new) == len(key)
+    if kind == "iban":
+        closed = new.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in closed[4:] + closed[:4])) % 97 == 1
+
+
 # --- language mixture
 
 
