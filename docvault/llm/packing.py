@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
 import zlib
@@ -19,11 +20,22 @@ from pyspark.sql import functions as F
 from docvault.llm.frames import NO_ID, pick, stored
 
 #: Words remembered by a Python worker, with their ids, in each of two generations.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 250_000
 #: Characters of a text that are split into words at a time.
 SLICE = 1 << 20
-#: A length class is numbered in this many parts, so that a very common length is no single task.
-RANK_PARTS = 64
+#: A length of more pieces is numbered in parts of about so many, so that no common length is a single task.
+PART_PIECES = 50_000
+
+
+#: Words of letters whose lower case is letter by letter, with ASCII punctuation behind them.
+SIMPLE = re.compile(rf"([A-Za-zÀ-ÖØ-öø-ÿĀ-ĮıĲ-ɏЀ-џ]+)([{re.escape(punctuation)}]{{0,8}})")
+#: Byte-level tokenizers write printable bytes as themselves, the others as the code points from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SIGNS = {b: chr(b) for b in PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*PRINTABLE}))}
+#: Bytes read as Latin-1, to the signs of a byte-level tokenizer.
+AS_SIGNS = {b: sign for b, sign in BYTE_SIGNS.items() if chr(b) != sign}
+#: A tokenizer that does not give this text's ids word by word is used on whole texts.
+PROBE = "It's The ÉTÉ of  ein-zwei\n\nWörter, (naïve) Ж\tx2 3.14!? foo_bar's \"DON'T\" été. été, ...and 日本 end"
 
 
 class WordIds(dict):
@@ -31,9 +43,10 @@ class WordIds(dict):
 
     The tokenizer drops white space between words, so the ids of a text are those of its words
     one after the other. ASCII punctuation at the end of a word that ends in a letter is a run
-    of its own; a word of ASCII letters is one run, whose lower case goes to the tokenizer's
-    model directly. All other words go through the whole tokenizer. When there are too many
-    words, those not seen since the last time that happened are forgotten.
+    of its own; a word of letters is one run, whose lower case goes to the tokenizer's model
+    directly. All other words go through the whole tokenizer. When there are too many words,
+    those not seen since the last time that happened are forgotten. `by_words` says whether
+    the tokenizer works like that (see PROBE); if not, whole texts go through it.
     """
 
     def __init__(self, tokenizer):
@@ -41,41 +54,49 @@ class WordIds(dict):
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.older: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.by_words = self.fits()
+
+    def fits(self) -> bool:
+        found = PROBE.replace("\n", " ").split(" ")
+        self.learn({w for w in found if w})
+        return b"".join(self[w] for w in found if w) == self.whole(PROBE)
+
+    def whole(self, text: str) -> bytes:
+        return as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def learn(self, found: set[str]) -> None:
         """Make sure that all these words are known."""
         if len(self) >= CACHED_WORDS:
             self.older = dict(self)
             self.clear()
-        parts = []
-        whole = []
+        older, whole = self.older, []
         for word in [w for w in found if w not in self]:
-            if word in self.older:
-                self[word] = self.older[word]
-                continue
-            core = word.rstrip(punctuation)
-            tail = word[len(core) :]
-            if not core.isalpha() or len(tail) > 8:
+            if word in older:
+                self[word] = older[word]
+            elif not (simple := SIMPLE.fullmatch(word)):
                 whole.append(word)
-                continue
-            if core.isascii():
-                core = core.lower()
-                if core not in self:
-                    self[core] = as_bytes([t.id for t in self.model.tokenize(core)])
-            elif core not in self:
-                whole.append(core)
-            parts.append((word, core, tail))
+            else:
+                core, tail = simple.groups()
+                self[word] = self.core_ids(core.lower()) + (self.tail_ids(tail) if tail else b"")
         if whole:
             for word, encoding in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
                 self[word] = as_bytes(encoding.ids)
-        for word, core, tail in parts:
-            self[word] = self[core] + (self.tail_ids(tail) if tail else b"")
+
+    def core_ids(self, core: str) -> bytes:
+        ids = self.get(core)
+        if ids is None:
+            ids = self.older.get(core)
+            if ids is None:
+                signs = core if core.isascii() else core.encode().decode("latin-1").translate(AS_SIGNS)
+                ids = as_bytes([t.id for t in self.model.tokenize(signs)])
+            self[core] = ids
+        return ids
 
     def tail_ids(self, tail: str) -> bytes:
         if tail not in self.tails:
             if len(self.tails) >= CACHED_WORDS:
                 self.tails.clear()
-            self.tails[tail] = as_bytes(self.tokenizer.encode(tail, add_special_tokens=False).ids)
+            self.tails[tail] = self.whole(tail)
         return self.tails[tail]
 
 
@@ -116,11 +137,34 @@ def text_words(text: str) -> Iterator[list[str]]:
 
 def text_ids(text: str | None, known: WordIds, end_id: int) -> bytes:
     """All ids of a text and the end id, four bytes each."""
-    parts = []
-    for found in text_words(text or ""):
-        known.learn(set(found))
-        parts.append(b"".join(map(known.__getitem__, found)))
-    return b"".join(parts) + as_bytes([end_id])
+    return next(many_text_ids([text], known, end_id))
+
+
+def many_text_ids(texts: list[str | None], known: WordIds, end_id: int) -> Iterator[bytes]:
+    """The ids of each text; the new words of about SLICE characters of text are learnt at once."""
+    end = as_bytes([end_id])
+    if not known.by_words:
+        yield from (known.whole(text or "") + end for text in texts)
+        return
+    at = 0
+    while at < len(texts):
+        text, chars, group = texts[at] or "", 0, []
+        if len(text) > SLICE:
+            parts = []
+            for found in text_words(text):
+                known.learn(set(found))
+                parts.append(b"".join(map(known.__getitem__, found)))
+            yield b"".join(parts) + end
+            at += 1
+            continue
+        while at < len(texts) and chars + len(texts[at] or "") <= SLICE:
+            text = texts[at] or ""
+            group.append([w for w in text.replace("\n", " ").split(" ") if w])
+            chars += len(text)
+            at += 1
+        known.learn(set().union(*group))
+        for found in group:
+            yield b"".join(map(known.__getitem__, found)) + end
 
 
 def token_pieces(
@@ -139,8 +183,8 @@ def token_pieces(
         known = known_words(tokenizer_path)
         for batch in batches:
             columns = [[], [], [], [], [], []]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = text_ids(text, known, end_id)
+            found = many_text_ids(batch.column("text").to_pylist(), known, end_id)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     row = (doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part))
@@ -348,8 +392,11 @@ def pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     if any(w is None or not 1 <= w <= capacity for w in counts):
         raise ValueError(f"piece lengths must be from 1 to {capacity}")
     runs, _ = placement(counts, capacity)
-    part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RANK_PARTS)).cast("int")
-    parts = pieces.withColumn("part__", part)
+    common = {w: -(-n // PART_PIECES) for w, n in counts.items() if n > PART_PIECES}
+    count = F.lit(1)
+    if common:
+        count = F.coalesce(F.create_map(*[F.lit(x).cast("bigint") for pair in common.items() for x in pair])[F.col("length")], F.lit(1))
+    parts = pieces.withColumn("part__", F.pmod(F.xxhash64("doc_id", "piece"), count.cast("bigint")).cast("int"))
     before = (
         parts.groupBy("length", "part__")
         .count()

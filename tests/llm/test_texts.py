@@ -318,6 +318,7 @@ def test_ids_are_the_tokenizers_own(spark, corpus, messy):
     odd = [
         "it's 'sword don't!! a.b, c., \"quoted.\" x--y 12ab 3.14 ÀÉ é ́x ﬁ ΣΑΣ İ",
         "tab\tand nbsp em\x1c\x85\r\nline", "THE\n\n  end.  ", "日本語 テキスト", "<|endoftext|> a<|startoftext|>.", "😀👍🏽,", "'s 't", "a'.s",
+        "Été, ÀÖØÞßÿ. Ĳssel ŁÓDŹ! ʼn İstanbul ıssız Ǆ ǅ ǈ Ж, ЁЛКА. Џ ѐ cafe\u0301 e\u0301t ſt K ªº µ",
     ]
     rows = [*corpus, *enumerate(odd, 1000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -369,7 +370,31 @@ def plain_best_fit(sizes, capacity):
     return bins
 
 
-def test_hot_length(spark):
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_gives_its_own_ids(corpus, name):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    known = packing.WordIds(tokenizer)
+    assert known.by_words == (name == "word_bpe_49k.json")
+    texts = [t for _, t in corpus]
+    for text, ids in zip(texts, packing.many_text_ids(texts, known, 1), strict=True):
+        assert ids == packing.as_bytes([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1])
+
+
+def test_texts_longer_than_a_slice(corpus, monkeypatch):
+    from tokenizers import Tokenizer
+
+    texts = [t for _, t in corpus]
+    known = packing.WordIds(Tokenizer.from_file(TOKENIZER))
+    want = list(packing.many_text_ids(texts, known, 1))
+    monkeypatch.setattr(packing, "SLICE", 100)
+    assert list(packing.many_text_ids(texts, known, 1)) == want == [packing.text_ids(t, known, 1) for t in texts]
+
+
+@pytest.mark.parametrize("part", [500, 50_000])
+def test_hot_length(spark, monkeypatch, part):
+    monkeypatch.setattr(packing, "PART_PIECES", part)
     pieces = spark.range(0, 30_000, 1, 4).select(
         F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.when(F.col("id") % 3 > 0, 40).otherwise(F.col("id") % 100 + 1).cast("bigint").alias("length"),
         F.lit("kept").alias("offset"),
