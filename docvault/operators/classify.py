@@ -186,16 +186,18 @@ def classify_in_pieces(
     """Replace text by a classification from a model that sees every part of it.
 
     A text longer than `piece_chars` is sent in overlapping pieces, and the lists that come back
-    are joined, a value that several pieces have found once. A document fails if a piece does,
-    with the error of the first. `by` names the documents; rows of one name are one document.
+    are joined: repeated values stay, as in the list of a short text, and only what two pieces
+    have both found in their overlap counts once. A document fails if a piece does, with the
+    error of the first. `by` names the documents; rows of one name are one document.
     """
     text = truncate_text(F.col("text"), settings.max_text_chars)
     pieces = F.posexplode(text_pieces(text, settings.piece_chars, settings.piece_overlap))
     cut = with_errors(texts).select("*", pieces.alias("_piece", "_part")).drop("text")
-    cut = cut.withColumnRenamed("_part", "text")
+    seam = F.when(F.col("_piece") > 0, F.left("_part", F.lit(settings.piece_overlap)))
+    cut = cut.withColumn("_seam", seam).withColumnRenamed("_part", "text")
     answers = parse_responses(classify_with(cut, model, replace(settings, max_text_chars=None)))
-    carried = [c for c in answers.columns if c not in (*by, "_piece", "classification")]
-    row = F.struct("_piece", *carried, "classification")
+    carried = [c for c in answers.columns if c not in (*by, "_piece", "_seam", "classification")]
+    row = F.struct("_piece", "_seam", *carried, "classification")
     merged = answers.groupBy(*by).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
     failing = F.get(F.filter("_rows", lambda r: r["error"].isNotNull()), F.lit(0))
     merged = compute_once(merged, {"_first": F.coalesce(failing, F.get("_rows", F.lit(0)))})
@@ -206,15 +208,37 @@ def classify_in_pieces(
     )
 
 
+def occurrences(text: Column, value: Column) -> Column:
+    """How often a value stands in a text."""
+    left = F.length(F.replace(text, value, F.lit("")))
+    return F.when(F.length(value) > 0, F.coalesce((F.length(text) - left) / F.length(value), F.lit(0))).otherwise(0)
+
+
 def joined_classification(rows: Column) -> Column:
-    """The classifications of a text's pieces as one."""
+    """The classifications of a text's pieces, in order, as one.
+
+    Of a value that stands k times in the overlap with the piece before, the first k that both
+    pieces have found are left out of the later list.
+    """
+
+    def joined(name: str, text_of: Callable[[Column], Column]) -> Column:
+        def times(values: Column, value: Column) -> Column:
+            return F.size(F.filter(values, lambda other: other.eqNullSafe(value)))
+
+        def own(row: Column, i: Column) -> Column:
+            values, before = row["classification"][name], F.get(rows, i - 1)["classification"][name]
+
+            def stays(value: Column, j: Column) -> Column:
+                common = F.least(occurrences(row["_seam"], text_of(value)), times(before, value))
+                return F.coalesce(times(F.slice(values, F.lit(1), j + 1), value) > common, F.lit(True))
+
+            return F.when(i == 0, values).otherwise(F.filter(values, stays))
 
-    def joined(name: str) -> Column:
-        together = F.flatten(F.transform(rows, lambda r: r["classification"][name]))
-        return F.when(F.size(rows) > 1, F.array_distinct(together)).otherwise(together)
+        return F.flatten(F.transform(rows, own))
 
     broken = F.exists(rows, lambda r: r["classification"]["parse_error"])
-    found = make_classification({c: joined(c) for c in LIST_CATEGORIES}, joined("other_pii"), broken)
+    lists = {c: joined(c, lambda v: v) for c in LIST_CATEGORIES}
+    found = make_classification(lists, joined("other_pii", lambda v: v["value"]), broken)
     return F.when(F.get(rows, F.lit(0))["classification"].isNotNull(), found)
 
 

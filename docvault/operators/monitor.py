@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from docvault.functions.json_text import as_string, child, strict_json
 from docvault.operators.once import compute_once
-from docvault.operators.percentiles import group_percentiles
+from docvault.operators.percentiles import counted_percentiles
 
 # The alarm windows and quantile.
 ERROR_WINDOW = "60 seconds"
 SLOW_WINDOW = "5 minutes"
 SLOW_QUANTILE = 0.99
 
+WINDOW = ["window_start", "window_end"]
+
 
 def parse_logs(lines: DataFrame, line: str = "line") -> DataFrame:
     """JSON log lines as (level, timestamp, message, ctx); lines that are not JSON give nulls."""
@@ -33,7 +35,7 @@ def error_alarm(logs: DataFrame, watermark: str = "5 minutes") -> DataFrame:
     """One-minute windows with at least one error.
 
     The watermark only matters on streams, where rows that come later are left out; see
-    `corrections`.
+    `corrections` and `newest_windows`.
     """
     windows = (
         logs.withWatermark("timestamp", watermark)
@@ -56,51 +58,57 @@ def dlq_alarm(dead: DataFrame) -> DataFrame:
     return depth.withColumn("alarm", F.col("depth") > 0)
 
 
-def duration_windows(durations: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """P99 duration per five-minute window from (timestamp, duration_ms).
+def duration_counts(durations: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """How often each duration occurs in each five-minute window of (timestamp, duration_ms).
 
-    Equal durations are combined first: a window that holds most of the rows is spread over
-    many tasks, and the exact percentile sees each distinct duration once.
+    On streams this is all the state there is, dealt out by window and duration: a window that
+    holds most of the rows is spread over all tasks.
     """
     counted = (
         durations.withWatermark("timestamp", watermark)
         .groupBy(F.window("timestamp", SLOW_WINDOW), "duration_ms")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    by_window = counted.groupBy("window").agg(
-        F.sum("n").alias("events"),
-        F.percentile("duration_ms", SLOW_QUANTILE, F.col("n")).alias("p99_ms"),
-    )
-    return by_window.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "events",
-        "p99_ms",
+    return counted.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "duration_ms", "n"
     )
 
 
-def exact_duration_windows(durations: DataFrame) -> DataFrame:
-    """The same windows over a table, however many distinct durations one of them has.
+def windows_of_counts(counts: DataFrame) -> DataFrame:
+    """P99 duration per window, exact, from the counts of finished windows.
 
-    The stream's version keeps the distinct durations of a window together; this one orders
-    only those near the percentile (see operators.percentiles).
+    A window of any number of distinct durations is narrowed down to those near the percentile
+    before any task orders them (see operators.percentiles).
     """
-    windowed = durations.select(F.window("timestamp", SLOW_WINDOW).alias("_w"), "duration_ms").select(
-        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "duration_ms"
-    )
-    group = ["window_start", "window_end"]
-    events = windowed.groupBy(*group).agg(F.count(F.lit(1)).alias("events"))
-    quantiles = group_percentiles(windowed, group, "duration_ms", {"p99_ms": SLOW_QUANTILE})
-    return events.join(quantiles, group).select(*group, "events", "p99_ms")
+    return counted_percentiles(counts, WINDOW, "duration_ms", "n", {"p99_ms": SLOW_QUANTILE}, total="events")
+
+
+def duration_windows(durations: DataFrame) -> DataFrame:
+    """P99 duration per five-minute window over a table of (timestamp, duration_ms)."""
+    return windows_of_counts(duration_counts(durations))
 
 
-def corrections(streamed: DataFrame, recomputed: DataFrame) -> DataFrame:
-    """Windows that a stream has left out or counted short because rows came after its watermark.
+def corrections(written: DataFrame, recomputed: DataFrame) -> DataFrame:
+    """Entries to append for windows that late rows have changed or made.
 
-    `recomputed` comes from the same operator over the table of all rows; run it when late rows
-    have arrived, and append what this returns: the last entry of a window holds.
+    `written` is the table of windows so far, with `revision`; `recomputed` comes from the same
+    operator over the table of all rows. A window that comes out as its newest entry says gives
+    nothing, so appending twice adds nothing the second time.
     """
-    return recomputed.exceptAll(streamed)
+    newest = newest_windows(written)
+    values = [c for c in recomputed.columns if c not in WINDOW]
+    known = newest.select(*[F.col(c).alias(f"_{c}") for c in WINDOW], F.col("revision").alias("_revision"), F.struct(*values).alias("_values"))
+    joined = recomputed.join(known, [F.col(c) == F.col(f"_{c}") for c in WINDOW], "left")
+    changed = joined.filter(F.col("_revision").isNull() | ~F.struct(*values).eqNullSafe(F.col("_values")))
+    revision = F.coalesce(F.col("_revision") + 1, F.lit(0))
+    return changed.select(*recomputed.columns, revision.cast("int").alias("revision"))
+
+
+def newest_windows(written: DataFrame) -> DataFrame:
+    """Each window once, as its entry of the highest `revision` says."""
+    rest = [c for c in written.columns if c not in (*WINDOW, "revision")]
+    newest = written.groupBy(*WINDOW).agg(F.max(F.struct("revision", *rest)).alias("_newest"))
+    return newest.select(*WINDOW, *[F.col("_newest")[c].alias(c) for c in (*rest, "revision")])
 
 
 def slow_alarm(windows: DataFrame, slow_ms: float = 108_000) -> DataFrame:

@@ -2,73 +2,79 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: The approximate quantiles that bracket a percentile err by at most 1 in ACCURACY of the ranks;
-#: the bracket leaves three times that on both sides.
-ACCURACY = 10_000
-BRACKET = 3 / ACCURACY
-#: In groups of so many rows a rank is less than the error above; the bracket is all of them.
+#: Groups with more distinct values are narrowed down to the values near the rank first.
 SMALL = 10_000
+#: Bins that the sketch of a large group divides its distinct values into.
+BINS = 200
+#: The sketch's quantiles err by at most 1 in so many of the distinct values.
+ACCURACY = 10_000
 
 
-def bracket(value: str, fraction: float) -> list[Column]:
-    low, high = max(0.0, fraction - BRACKET), min(1.0, fraction + BRACKET)
-    found = F.percentile_approx(value, F.array(F.lit(low), F.lit(high)), ACCURACY)
-    few = F.count(value) <= SMALL
-    return [
-        F.when(few, F.min(value)).otherwise(found[0]).cast("double"),
-        F.when(few, F.max(value)).otherwise(found[1]).cast("double"),
-    ]
+def same_group(by: list[str]) -> Column:
+    """Joins columns of `by` with their twins `k_...`, nulls included."""
+    found = F.lit(True)
+    for c in by:
+        found = found & F.col(c).eqNullSafe(F.col(f"k_{c}"))
+    return found
 
 
-def group_percentiles(rows: DataFrame, by: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
-    """`by` and one exact percentile per name, interpolated between neighbours as SQL's percentile does.
+def twins(rows: DataFrame, by: list[str], *others: str | Column) -> DataFrame:
+    return rows.select(*[F.col(c).alias(f"k_{c}") for c in by], *others)
 
-    Approximate quantiles, which partial results make, bracket each percentile; rows below the
-    bracket are counted, and only the distinct values inside it are put in order. So the task
-    that orders a group sees a small share of it, however many distinct values it has. Null
-    values do not count; a group without values has null percentiles.
+
+def brackets(counted: DataFrame, by: list[str], fractions: list[float]) -> DataFrame:
+    """`k_...` of `by`, `_low` and `_high` (arrays, one entry a fraction) for groups above SMALL.
+
+    A mergeable sketch cuts the distinct values of a group into BINS bins; the rows of each bin
+    are counted, and the bins that hold a fraction's two ranks bound its values. All steps have
+    partial results; a group's bins, not its values, come together.
     """
-    names = list(fractions)
-    bounds = [
-        c.alias(f"{end}_{i}")
-        for i, name in enumerate(names)
-        for c, end in zip(bracket(value, fractions[name]), ("low", "high"), strict=True)
-    ]
-    stats = rows.groupBy(*by).agg(F.count(value).alias("_n"), *bounds)
-    v = F.col(value).cast("double")
-    keyed = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in by]
-    renamed = stats.select(*[F.col(c).alias(f"k_{c}") for c in by], "_n", *[c for c in stats.columns if c[:3] in ("low", "hig")])
-    counted = rows.where(F.col(value).isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    placed = counted.join(renamed, reduce(lambda a, b: a & b, keyed))
-    below = placed.groupBy(*by).agg(
-        *[F.sum(F.when(F.col("_v") < F.col(f"low_{i}"), F.col("_c")).otherwise(0)).alias(f"below_{i}") for i in range(len(names))]
-    )
-    inside = [F.col("_v").between(F.col(f"low_{i}"), F.col(f"high_{i}")) for i in range(len(names))]
-    which = F.filter(
-        F.array(*[F.when(x, F.lit(i)) for i, x in enumerate(inside)]), lambda i: i.isNotNull()
-    )
-    near = placed.where(reduce(or_, inside)).select(*by, "_v", "_c", "_n", F.explode(which).alias("_f"))
-    low_counts = below.select(
-        *[F.col(c).alias(f"k_{c}") for c in by],
-        F.posexplode(F.array(*[F.col(f"below_{i}") for i in range(len(names))])).alias("_f", "_below"),
+    sizes = counted.groupBy(*by).agg(F.count("_v").alias("_d"), F.sum("_c").alias("_n")).where(F.col("_d") > SMALL)
+    large = counted.join(twins(sizes, by, "_n"), same_group(by)).drop(*[f"k_{c}" for c in by])
+    at = F.array(*[F.lit(i / BINS) for i in range(1, BINS)])
+    cuts = large.groupBy(*by).agg(F.percentile_approx("_v", at, ACCURACY).alias("_cuts"))
+    bin_of = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
+    binned = large.join(twins(cuts, by, "_cuts"), same_group(by)).groupBy(*by, "_n", bin_of.alias("_bin")).agg(
+        F.sum("_c").alias("_c"), F.min("_v").alias("_first"), F.max("_v").alias("_last")
     )
-    near = near.join(low_counts, [*keyed, near["_f"] == low_counts["_f"]]).drop(low_counts["_f"])
-    order = Window.partitionBy(*by, "_f").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = near.withColumn("_upto", F.col("_below") + F.sum("_c").over(order))
-    fraction = F.element_at(F.array(*[F.lit(float(fractions[n])) for n in names]), F.col("_f") + 1)
-    rank = fraction * (F.col("_n") - 1)
-    lower = F.min(F.when(F.col("_upto") > F.floor(rank), F.col("_v")))
-    upper = F.min(F.when(F.col("_upto") > F.ceil(rank), F.col("_v")))
-    ends = ranked.groupBy(*by, "_f", rank.alias("_rank")).agg(lower.alias("_a"), upper.alias("_b"))
-    between = (F.ceil("_rank") - F.col("_rank")) * F.col("_a") + (F.col("_rank") - F.floor("_rank")) * F.col("_b")
-    exact = F.when((F.col("_a") == F.col("_b")) | (F.ceil("_rank") == F.floor("_rank")), F.col("_a")).otherwise(between)
-    values = ends.groupBy(*by).agg(*[F.max(F.when(F.col("_f") == i, exact)).alias(n) for i, n in enumerate(names)])
-    values = values.select(*[F.col(c).alias(f"k_{c}") for c in by], *names)
-    groups = stats.select(*by)
-    return groups.join(values, reduce(lambda a, b: a & b, keyed), "left").select(*by, *names)
+    upto = F.sum("_c").over(Window.partitionBy(*by).orderBy("_bin"))
+    ranked = binned.withColumn("_upto", upto)
+    low, high = [], []
+    for fraction in fractions:
+        rank = F.lit(fraction) * (F.col("_n") - 1)
+        low.append(F.min(F.when(F.col("_upto") > F.floor(rank), F.col("_first"))))
+        high.append(F.min(F.when(F.col("_upto") > F.ceil(rank), F.col("_last"))))
+    found = ranked.groupBy(*by).agg(F.array(*low).alias("_low"), F.array(*high).alias("_high"))
+    return twins(found, by, "_low", "_high")
+
+
+def counted_percentiles(
+    counted: DataFrame, by: list[str], value: str, count: str, fractions: dict[str, float], total: str | None = None
+) -> DataFrame:
+    """`by` and one exact percentile per name, from rows that say how often a value occurs.
+
+    `total` names a column for the rows of the group, null values included.
+
+    Interpolates between neighbours as SQL's percentile does. In a group with more than SMALL
+    distinct values, all values beyond the bracket of a rank are first put together at its ends,
+    which leaves the percentile as it is; so no task orders, or holds, more than a small share
+    of such a group's distinct values. Null values do not count; a group without values has
+    null percentiles.
+    """
+    rows = counted.select(*by, F.col(value).cast("double").alias("_v"), F.col(count).alias("_c"))
+    near = rows.join(brackets(rows.where("_v IS NOT NULL"), by, list(fractions.values())), same_group(by), "left")
+    held = [F.greatest(F.least(F.col("_v"), F.col("_high")[i]), F.col("_low")[i]) for i in range(len(fractions))]
+    clipped = {f"_v{i}": F.when(F.col("_v").isNull() | F.col("_low").isNull(), F.col("_v")).otherwise(x) for i, x in enumerate(held)}
+    together = near.withColumns(clipped).groupBy(*by, *clipped).agg(F.sum("_c").alias("_c"))
+    found = [F.percentile(v, float(f), F.col("_c")).alias(name) for v, (name, f) in zip(clipped, fractions.items(), strict=True)]
+    rows_of = [F.sum("_c").alias(total)] if total else []
+    return together.groupBy(*by).agg(*rows_of, *found)
+
+
+def group_percentiles(rows: DataFrame, by: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
+    """The same from single rows; equal values of a group are counted, with partial results, first."""
+    counted = rows.groupBy(*by, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted_percentiles(counted, by, "_value", "_rows", fractions)

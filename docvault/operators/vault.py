@@ -173,14 +173,17 @@ def version_history(records: DataFrame) -> DataFrame:
 
 
 def latest_version(rows: DataFrame, key: str = "document_id") -> DataFrame:
-    """The newest row per key; of several with one version, the one with the least bucket.
+    """The newest row per key and bucket, as the same key in two buckets is two documents.
 
-    The newest version is found from two columns with partial results, and joined back.
+    The newest version is found from few columns with partial results, and joined back; of
+    several rows with one version the one with the least document id stays.
     """
     rows = rows.filter(F.col(key).isNotNull() & F.col("version").isNotNull())
-    newest = rows.groupBy(key).agg(F.max("version").alias("version"))
-    found = rows.join(newest, [key, "version"], "left_semi").select(*rows.columns)
-    order = Window.partitionBy(key).orderBy("source_bucket", "document_id")
+    newest = rows.groupBy(key, "source_bucket").agg(F.max("version").alias("version"))
+    newest = newest.select(*[F.col(c).alias(f"_{c}") for c in (key, "source_bucket", "version")])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (key, "source_bucket", "version")]
+    found = rows.join(newest, same[0] & same[1] & same[2], "left_semi")
+    order = Window.partitionBy(key, "source_bucket").orderBy("document_id")
     return found.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
 
 

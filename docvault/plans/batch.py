@@ -24,6 +24,7 @@ from docvault.operators.vault import (
 )
 from docvault.plans.process import Documents, failed, outcomes_of, requests_of, results_of, stored
 from docvault.settings import JobSettings
+from docvault.sources.ledger import add_batch, rebuild
 from docvault.sources.sinks import (
     LAYOUT,
     WORKING,
@@ -37,14 +38,15 @@ from docvault.sources.sinks import (
 )
 
 
-def first_moment(spark, tables: Tables, batch_id: int, as_of: datetime | str) -> Column:
-    """The moment that the batch was first run at; a later run of it keeps to that."""
+def first_moment(spark, tables: Tables, batch_id: int, as_of: datetime | str) -> tuple[Column, bool]:
+    """The moment that the batch was first run at, which a later run keeps to, and whether this is one."""
     known = read_batch(spark, tables, "moments", batch_id).first()
-    if known is None:
+    again = known is not None
+    if not again:
         now = spark.range(1).select(F.unix_micros(moment(as_of)).alias("as_of_us"))
         write_batch(now, tables, "moments", batch_id)
         known = read_batch(spark, tables, "moments", batch_id).first()
-    return F.timestamp_micros(F.lit(known["as_of_us"]))
+    return F.timestamp_micros(F.lit(known["as_of_us"])), again
 
 
 def process_batch(
@@ -71,7 +73,7 @@ def process_batch(
     """
     spark = messages.sparkSession
     create_tables(spark, tables)
-    now = first_moment(spark, tables, batch_id, as_of)
+    now, again = first_moment(spark, tables, batch_id, as_of)
 
     write_batch(requests_of(messages, settings, explode_records), tables, "requests", batch_id)
     valid, rejected = split_valid(read_batch(spark, tables, "requests", batch_id).drop("batch_id"))
@@ -80,6 +82,7 @@ def process_batch(
 
     outcomes = outcomes_of(valid, results.drop("classification"))
     write_batch(collect_failures(rejected, failed(outcomes)), tables, "failures", batch_id)
+    add_batch(spark, tables, batch_id, again)
 
     # The day range of the batch prunes the vault.
     candidates = stored(outcomes).select(*IDENTITY, "source_key").distinct()
@@ -105,7 +108,7 @@ def write_snapshot(
     """The tables without what has expired, and with few files, in a new place to switch to.
 
     Vault and audit rows go by their expires_at, output rows with their vault rows, failures by
-    the age of their messages. Batches below `merge_before` become one part; they must not run
+    the age of their messages, and the ledger of attempts with them. Batches below `merge_before` become one part; they must not run
     again. Later ones keep a part of their own and can. Working tables start empty.
     """
     now_s = F.unix_seconds(moment(as_of))
@@ -125,6 +128,7 @@ def write_snapshot(
     for name, rows in kept.items():
         write_merged(rows, target, name, merge_before)
     create_tables(spark, target)
+    rebuild(read_table(spark, target, "failures"), target)
 
 
 def snapshot_counts(spark, tables: Tables, target: Tables) -> DataFrame:

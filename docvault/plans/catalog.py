@@ -36,7 +36,16 @@ from docvault.settings import JobSettings
 from docvault.sources import documents as document_sources
 from docvault.sources.notifications import normalize_messages, read_notifications, stream_notifications
 from docvault.sources.sinks import Tables, read_table
-from docvault.streaming.alarms import append_stream
+from docvault.sources.ledger import add_failures, read_ledger
+from docvault.sources.store import DocumentStore, add_documents, store_lookup
+from docvault.streaming.alarms import (
+    DURATION_WINDOWS,
+    ERROR_WINDOWS,
+    append_corrections,
+    read_windows,
+    run_duration_windows,
+    run_error_alarm,
+)
 from docvault.streaming.runner import dedupe_stream, run_stream
 
 SETTINGS = JobSettings(expected_bucket=inputs.BUCKET)
@@ -200,6 +209,22 @@ def document_lookup(spark, sf_dir):
     return found.select("message_id", "source_key", "text", "error_type", "error")
 
 
+def document_store(spark, sf_dir, buckets: int = 8) -> DocumentStore:
+    store = DocumentStore(work_dir(spark, "documents"), buckets)
+    add_documents(inputs.documents(spark, sf_dir), store)
+    return store
+
+
+def bucketed_lookup(spark, sf_dir):
+    """Vault rows of two batches whose texts stay in the buckets that they were written to."""
+    tables, lookup_texts = Tables(f"{work_dir(spark, 'bucketed')}/tables"), store_lookup(document_store(spark, sf_dir))
+    messages = inputs.messages(spark, sf_dir)
+    for batch_id in (0, 1):
+        own = messages.filter((F.unix_seconds("received_at") % 5 == 0).cast("int") == batch_id)
+        process_batch(own, lookup_texts, tables, batch_id, inputs.AS_OF, SETTINGS)
+    return read_table(spark, tables, "vault").select("document_id", "version", "source_key", "pii_counts")
+
+
 def block_rows(spark, sf_dir):
     turns = inputs.table(spark, sf_dir, "conversations")
     kind = F.when(F.col("role") == "user", F.lit("LINE")).otherwise(F.lit("PAGE"))
@@ -524,6 +549,16 @@ def version_history(spark, sf_dir):
     return as_text(history, "previous_version", "items_change")
 
 
+def latest_in_two_buckets(spark, sf_dir):
+    """Toxic documents have lain in a second bucket, too, and changed there a minute later."""
+    rows = versioned(spark, sf_dir)
+    toxic = inputs.table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
+    keys = inputs.documents(spark, sf_dir).join(toxic, "doc_id", "left_semi").select("source_key").distinct()
+    moved = {"source_bucket": F.lit("other-bucket"), "version": F.col("version") + 60_000}
+    both = rows.unionByName(vault.find_by_source_keys(rows, keys).withColumns(moved).select(rows.columns))
+    return vault.latest_version(both).select("source_bucket", "source_key", "version")
+
+
 def output_latest(spark, sf_dir):
     latest = vault.latest_version(vault.output_rows(versioned(spark, sf_dir)), "output_key")
     return wide_counts(latest, "output_key", "version")
@@ -585,13 +620,13 @@ def retry_messages(spark, sf_dir):
     return retry.select("message_id", F.unix_millis("received_at").alias("received_ms"))
 
 
-def ledger(spark, sf_dir) -> DataFrame:
+def attempts(spark, sf_dir) -> DataFrame:
     """Error events as failed attempts: users are messages, each about many documents; some
     events name none and are told apart by what stands for their body."""
     events = inputs.table(spark, sf_dir, "events").filter("event_type = 'error'")
     named = F.when(F.col("event_id") % 11 != 0, F.sha2((F.col("event_id") % 40).cast("string"), 256))
     body = F.concat(F.lit("body:"), (F.col("event_id") % 3).cast("string"))
-    attempts = events.select(
+    return events.select(
         F.col("user_id").cast("string").alias("message_id"),
         F.coalesce(named, body).alias("message_key"),
         named.alias("document_id"),
@@ -600,7 +635,23 @@ def ledger(spark, sf_dir) -> DataFrame:
         F.col("props").alias("error"),
         "event_id",
     )
-    return delivery.attempt_ledger(attempts, order="event_id")
+
+
+def ledger(spark, sf_dir) -> DataFrame:
+    return delivery.attempt_ledger(attempts(spark, sf_dir), order="event_id")
+
+
+def incremental_ledger(spark, sf_dir):
+    """Four batches of failures merged one by one, out of order, two of them again.
+
+    Batch 2 comes first with wrong errors and one failure in two missing; batch 0 runs twice.
+    """
+    tables = Tables(f"{work_dir(spark, 'ledger')}/tables")
+    failures = attempts(spark, sf_dir).withColumn("batch_id", F.col("event_id") % 4)
+    broken = failures.filter("event_id % 8 = 2").withColumn("error", F.lit("wrong"))
+    for batch_id, rows, again in ((2, broken, False), (0, failures, False), (3, failures, False), (1, failures, False), (2, failures, True), (0, failures, True)):
+        add_failures(rows.filter(F.col("batch_id") == batch_id), tables, batch_id, again)
+    return read_ledger(spark, tables)
 
 
 def dead_letters(spark, sf_dir):
@@ -647,11 +698,11 @@ def durations(spark, sf_dir) -> DataFrame:
 
 
 def duration_windows(spark, sf_dir):
-    return in_ms(monitor.exact_duration_windows(durations(spark, sf_dir)))
+    return in_ms(monitor.duration_windows(durations(spark, sf_dir)))
 
 
 def slow_alarm(spark, sf_dir):
-    windows = monitor.exact_duration_windows(durations(spark, sf_dir))
+    windows = monitor.duration_windows(durations(spark, sf_dir))
     return in_ms(monitor.slow_alarm(windows, slow_ms=SETTINGS.slow_ms / 1000))
 
 
@@ -769,13 +820,6 @@ def streamed_distinct(spark, sf_dir):
     return read_table(spark, tables, "distinct").select("source_key", "document_id", "version")
 
 
-def error_windows_stream(spark, sf_dir) -> DataFrame:
-    place = work_dir(spark, "errors")
-    windows = monitor.error_alarm(event_levels(stream_table(spark, sf_dir, "events")))
-    finish(append_stream(windows, f"{place}/rows", f"{place}/checkpoint", {"availableNow": True}))
-    return spark.read.schema(windows.schema).parquet(f"{place}/rows")
-
-
 def event_levels(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("ts").cast("timestamp").alias("timestamp"),
@@ -785,14 +829,24 @@ def event_levels(events: DataFrame) -> DataFrame:
 
 def streamed_error_alarm(spark, sf_dir):
     """Windows that a five-minute watermark has closed by the end of the events."""
-    return in_ms(error_windows_stream(spark, sf_dir))
+    place = work_dir(spark, "errors")
+    events = event_levels(stream_table(spark, sf_dir, "events"))
+    finish(run_error_alarm(events, f"{place}/rows", f"{place}/checkpoint", trigger={"availableNow": True}))
+    return in_ms(read_windows(spark, f"{place}/rows", ERROR_WINDOWS))
 
 
 def corrected_error_alarm(spark, sf_dir):
-    """The stream's windows and what a computation over the whole table adds to them."""
-    streamed = error_windows_stream(spark, sf_dir)
-    whole = monitor.error_alarm(event_levels(inputs.table(spark, sf_dir, "events")))
-    return in_ms(streamed.unionByName(monitor.corrections(streamed, whole)))
+    """One event in seven comes when its window is closed; corrections, appended twice, bring it in."""
+    place, events = work_dir(spark, "late"), inputs.table(spark, sf_dir, "events")
+    late = F.col("event_id") % 7 == 3
+    stream = spark.readStream.schema(events.schema).parquet(f"{place}/events/*")
+    for part, rows in (("first", events.filter(~late)), ("second", events.filter(late))):
+        rows.write.parquet(f"{place}/events/{part}")
+        finish(run_error_alarm(event_levels(stream), f"{place}/rows", f"{place}/checkpoint", trigger={"availableNow": True}))
+    whole = monitor.error_alarm(event_levels(events))
+    for name in ("late-1", "late-2"):
+        append_corrections(whole, f"{place}/rows", ERROR_WINDOWS, name)
+    return in_ms(read_windows(spark, f"{place}/rows", ERROR_WINDOWS))
 
 
 def streamed_slow_alarm(spark, sf_dir):
@@ -800,9 +854,8 @@ def streamed_slow_alarm(spark, sf_dir):
     events = stream_table(spark, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("timestamp"), F.col("value").alias("duration_ms")
     )
-    windows = monitor.duration_windows(events)
-    finish(append_stream(windows, f"{place}/rows", f"{place}/checkpoint", {"availableNow": True}))
-    closed = spark.read.schema(windows.schema).parquet(f"{place}/rows")
+    finish(run_duration_windows(events, f"{place}/rows", f"{place}/checkpoint", trigger={"availableNow": True}))
+    closed = read_windows(spark, f"{place}/rows", DURATION_WINDOWS)
     return in_ms(monitor.slow_alarm(closed, slow_ms=SETTINGS.slow_ms / 1000))
 
 
@@ -818,6 +871,7 @@ QUERIES = [
     batch_summary,
     delivered_messages,
     document_lookup,
+    bucketed_lookup,
     assembled_lines,
     assembled_blocks,
     extracted_texts,
@@ -842,11 +896,13 @@ QUERIES = [
     audit_records,
     version_history,
     output_latest,
+    latest_in_two_buckets,
     records_of_toxic_documents,
     active_records,
     expired_records,
     audit_history,
     retry_messages,
+    incremental_ledger,
     dead_letters,
     messages_still_retrying,
     dlq_alarm,

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docvault.operators.delivery import attempt_ledger, dead_letters
+from docvault.operators.delivery import dead_letters
 from docvault.operators.ingest import split_valid
-from docvault.operators.vault import IDENTITY, append_new_only
+from docvault.operators.vault import IDENTITY
 from docvault.plans.batch import process_batch
 from docvault.plans.process import requests_of
 from docvault.settings import JobSettings
-from docvault.sources.sinks import Tables, create_tables, read_table, write_batch
+from docvault.sources.ledger import read_ledger
+from docvault.sources.sinks import Tables, create_tables, write_batch
 
 
 def run_stream(
@@ -59,22 +60,34 @@ def dedupe_stream(
     settings: JobSettings,
     explode_records: bool = False,
     trigger: dict | None = None,
+    keep: str | None = None,
 ) -> StreamingQuery:
-    """Valid requests, the first of each (document, bucket, version), into the table `distinct`.
+    """Valid requests, one of each (document, bucket, version), into the table `distinct`.
 
-    Exact whatever the delay: a request is compared with all that were let through, so none is
-    dropped for being late and none passes twice. Run again, a batch replaces its own rows.
+    Exact whatever the delay. What was let through is kept as keyed state, in the RocksDB store
+    that session.configure sets: a micro-batch looks up its own keys there and reads nothing
+    else, however long the history. Requests of one identity differ at most in the message that
+    announced them; which of those in one micro-batch goes on is not fixed. Run again, a
+    micro-batch starts from the same state and replaces its own rows. State and table belong
+    together: with a lost checkpoint, start over with a new table.
+
+    With `keep`, an interval such as "400 days", an identity is forgotten so long after the
+    newest arrival, and requests older than that are left out: the state is bounded then.
     """
+    valid, _ = split_valid(requests_of(messages, settings, explode_records))
+    if keep:
+        arrived = F.timestamp_millis("version").alias("arrived")
+        once = valid.select("*", arrived).withWatermark("arrived", keep).dropDuplicatesWithinWatermark(IDENTITY)
+    else:
+        once = valid.dropDuplicates(IDENTITY)
+    create_tables(messages.sparkSession, tables)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        create_tables(spark, tables)
-        valid, _ = split_valid(requests_of(batch, settings, explode_records))
-        seen = read_table(spark, tables, "distinct").filter(F.col("batch_id") != batch_id)
-        write_batch(append_new_only(valid, seen.select(*IDENTITY)), tables, "distinct", batch_id)
+        write_batch(batch, tables, "distinct", batch_id)
 
     return (
-        messages.writeStream.foreachBatch(on_batch)
+        once.writeStream.foreachBatch(on_batch)
+        .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
@@ -82,5 +95,5 @@ def dedupe_stream(
 
 
 def dead_letter_table(spark, tables: Tables, settings: JobSettings) -> DataFrame:
-    """Messages that have failed too often, over all batches so far."""
-    return dead_letters(attempt_ledger(read_table(spark, tables, "failures")), settings.max_deliveries)
+    """Messages that have failed too often, from the stored ledger."""
+    return dead_letters(read_ledger(spark, tables), settings.max_deliveries)
