@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from docvault.operators.vault import (
 from docvault.plans.process import Documents, failed, outcomes_of, requests_of, results_of, stored
 from docvault.settings import JobSettings
 from docvault.sources.ledger import add_batch, rebuild
+from docvault.sources.records import index_rows
 from docvault.sources.sinks import (
     LAYOUT,
     WORKING,
@@ -63,10 +66,10 @@ def process_batch(
     """Write vault, output, audit and failure rows of one batch; safe to repeat.
 
     Each step is written before the next reads it, so messages are parsed once, a model is
-    called once per document, and a lost executor costs at most the running step. What was
-    found stands once per document; messages about it carry keys only, and duplicates are gone
+    called once per document, and a lost executor costs at most the running step. Steps that do
+    not need each other run side by side. What was found stands once per document; messages about it carry keys only, and duplicates are gone
     before what was found is joined on. Output and audit are read off the vault rows that were
-    written, so duplicates have neither.
+    written, so duplicates have neither, and so is the index by source key.
 
     Run again, a batch replaces all that it wrote, whatever comes out this time, and keeps the
     moment of its first run. The working tables hold nothing of a batch once it is through.
@@ -81,25 +84,39 @@ def process_batch(
     results = read_batch(spark, tables, "results", batch_id).drop("batch_id")
 
     outcomes = outcomes_of(valid, results.drop("classification"))
-    write_batch(collect_failures(rejected, failed(outcomes)), tables, "failures", batch_id)
-    add_batch(spark, tables, batch_id, again)
-
-    # The day range of the batch prunes the vault.
-    candidates = stored(outcomes).select(*IDENTITY, "source_key").distinct()
-    day = version_date(F.col("version"))
-    first, last = candidates.agg(F.min(day), F.max(day)).first()
-    in_range = F.lit(False) if first is None else F.col("version_date").between(first, last)
-    others = read_table(spark, tables, "vault").filter(in_range & (F.col("batch_id") != batch_id))
-    fresh = append_new_only(candidates, others.select(*IDENTITY))
-    found = fresh.join(results.select(*KEY, "classification"), KEY)
-    records = vault_rows(found, settings, now)
-    write_batch(records.withColumn("version_date", day), tables, "vault", batch_id)
 
+    def write_failures() -> None:
+        write_batch(collect_failures(rejected, failed(outcomes)), tables, "failures", batch_id)
+        add_batch(spark, tables, batch_id, again)
+
+    def write_records() -> None:
+        # The day range of the batch prunes the vault.
+        candidates = stored(outcomes).select(*IDENTITY, "source_key").distinct()
+        day = version_date(F.col("version"))
+        first, last = candidates.agg(F.min(day), F.max(day)).first()
+        in_range = F.lit(False) if first is None else F.col("version_date").between(first, last)
+        others = read_table(spark, tables, "vault").filter(in_range & (F.col("batch_id") != batch_id))
+        fresh = append_new_only(candidates, others.select(*IDENTITY))
+        found = fresh.join(results.select(*KEY, "classification"), KEY)
+        records = vault_rows(found, settings, now)
+        write_batch(records.withColumn("version_date", day), tables, "vault", batch_id)
+
+    at_once(write_failures, write_records)
     written = read_batch(spark, tables, "vault", batch_id)
-    write_batch(output_rows(written), tables, "output", batch_id)
-    write_batch(audit_rows(written), tables, "audit", batch_id)
-    for name in WORKING:
-        clear_batch(spark, tables, name, batch_id)
+    beside = {"output": output_rows, "audit": audit_rows, "index": index_rows}
+    at_once(*[partial(write_batch, rows(written), tables, name, batch_id) for name, rows in beside.items()])
+    at_once(*[partial(clear_batch, spark, tables, name, batch_id) for name in WORKING])
+
+
+def at_once(*steps: Callable[[], None]) -> None:
+    """Run independent steps side by side; waits for all, and fails if one does.
+
+    Threads of the driver that submit jobs; each keeps the properties of the caller's thread.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+    for step in running:
+        step.result()
 
 
 def write_snapshot(
@@ -116,6 +133,7 @@ def write_snapshot(
     kept = {
         "vault": vault,
         "audit": active_records(read_table(spark, tables, "audit"), as_of),
+        "index": index_rows(vault, "batch_id"),
         "output": read_table(spark, tables, "output").join(vault.select(*IDENTITY), IDENTITY, "left_semi"),
         "failures": read_table(spark, tables, "failures").filter(
             F.floor(F.col("version") / 1000) + settings.ttl_days * SECONDS_PER_DAY > now_s
@@ -133,7 +151,7 @@ def write_snapshot(
 
 def snapshot_counts(spark, tables: Tables, target: Tables) -> DataFrame:
     """Rows of each table before and after a snapshot."""
-    names = [n for n in LAYOUT if n not in (*WORKING, "moments")]
+    names = [n for n in LAYOUT if n not in (*WORKING, "moments", "index")]
     counts = [
         read_table(spark, place, name).select(
             F.lit(name).alias("table_name"), F.lit(after).alias("before"), F.lit(1 - after).alias("after")

@@ -29,7 +29,7 @@ from docvault.operators.once import compute_once
 from docvault.plans import inputs
 from docvault.operators.ingest import split_valid
 from docvault.plans.batch import process_batch, snapshot_counts, write_snapshot
-from docvault.plans.process import failures_of, process_messages, records_of, requests_of
+from docvault.plans.process import failures_of, outcomes_of, process_messages, records_of, requests_of, results_of
 from docvault.schemas import CATEGORIES, LIST_CATEGORIES
 from docvault.session import configure, work_dir
 from docvault.settings import JobSettings
@@ -37,6 +37,7 @@ from docvault.sources import documents as document_sources
 from docvault.sources.notifications import normalize_messages, read_notifications, stream_notifications
 from docvault.sources.sinks import Tables, read_table
 from docvault.sources.ledger import add_failures, read_ledger
+from docvault.sources.records import find_records_of
 from docvault.sources.store import DocumentStore, add_documents, store_lookup
 from docvault.streaming.alarms import (
     DURATION_WINDOWS,
@@ -153,11 +154,19 @@ def all_event_records(spark, sf_dir):
     return parsed.select("message_id", "source_bucket", "source_key", "error")
 
 
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written once for several readers."""
+    place = work_dir(rows.sparkSession, name)
+    rows.write.parquet(place)
+    return rows.sparkSession.read.schema(rows.schema).parquet(place)
+
+
 def ended_messages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """(outcomes, rejected) of damaged messages whose documents go through a model."""
-    return process_messages(
-        inputs.messages(spark, sf_dir), inputs.documents(spark, sf_dir), SETTINGS, model=sample_model
-    )
+    """(outcomes, rejected) of damaged messages whose documents go through a model, step by step."""
+    requests = kept(requests_of(inputs.messages(spark, sf_dir), SETTINGS), "requests")
+    valid, rejected = split_valid(requests)
+    results = results_of(valid, inputs.documents(spark, sf_dir), SETTINGS, model=sample_model)
+    return outcomes_of(valid, kept(results.drop("classification"), "results")), rejected
 
 
 def failures(spark, sf_dir):
@@ -418,7 +427,7 @@ def unmasked_rows(spark, sf_dir):
 
 
 def leak_scan(spark, sf_dir):
-    """Summaries, audit rows, failures, and log lines that wrongly carry the texts."""
+    """Summaries, audit rows, failures of all stages, and log lines that wrongly carry the texts."""
     place = work_dir(spark, "records")
     document_records(spark, sf_dir).write.parquet(place)
     records = spark.read.parquet(place)
@@ -426,13 +435,10 @@ def leak_scan(spark, sf_dir):
     logs = inputs.documents(spark, sf_dir).select(
         document_id(F.col("source_key")).alias("document_id"), F.col("text").alias("message")
     )
-    valid, rejected = split_valid(requests_of(inputs.messages(spark, sf_dir), SETTINGS))
-    missing = lookup.missing_documents(valid, inputs.documents(spark, sf_dir))
-    failed = delivery.collect_failures(rejected, missing.withColumn("stage", F.lit("extract")))
     outward = (
         privacy.outward_texts(vault.output_rows(records), "output")
         .unionByName(privacy.outward_texts(vault.audit_rows(records), "audit"))
-        .unionByName(privacy.outward_texts(failed, "failure"))
+        .unionByName(privacy.outward_texts(failures(spark, sf_dir), "failure"))
         .unionByName(privacy.outward_texts(logs, "log"))
     )
     leaks = privacy.scan_for_leaks(values, outward)
@@ -571,6 +577,18 @@ def records_of_toxic_documents(spark, sf_dir):
     return found.select("source_key", "version", "pii_counts")
 
 
+def indexed_records(spark, sf_dir):
+    """Records of toxic documents, found through the index that two batches have kept."""
+    tables = Tables(f"{work_dir(spark, 'indexed')}/tables")
+    messages, docs = inputs.messages(spark, sf_dir), inputs.documents(spark, sf_dir)
+    for batch_id in (0, 1, 0):
+        own = messages.filter(F.unix_seconds("received_at") % 2 == batch_id)
+        process_batch(own, docs, tables, batch_id, inputs.AS_OF, SETTINGS, whole_table=True)
+    toxic = inputs.table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
+    found = find_records_of(spark, tables, docs.join(toxic, "doc_id", "left_semi").select("source_key"))
+    return found.select("source_key", "version", "pii_counts")
+
+
 def expiry_moment():
     return "2024-12-31 00:01:40"
 
@@ -612,7 +630,7 @@ def audit_history(spark, sf_dir):
 
 def retry_messages(spark, sf_dir):
     """Failed messages; those of even seconds have failed three times and are dead letters."""
-    failed = failures(spark, sf_dir)
+    failed = kept(failures(spark, sf_dir), "failures")
     times = F.when(F.col("version") % 2000 == 0, F.sequence(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0)))
     attempts = failed.select("*", F.explode(times).alias("batch_id"))
     dead = delivery.dead_letters(delivery.attempt_ledger(attempts), SETTINGS.max_deliveries)
@@ -898,6 +916,7 @@ QUERIES = [
     output_latest,
     latest_in_two_buckets,
     records_of_toxic_documents,
+    indexed_records,
     active_records,
     expired_records,
     audit_history,

@@ -106,6 +106,16 @@ AUDIT = (
     .add("duration_ms", T.LongType())
 )
 
+# Where the records of a source key stand in the vault.
+INDEX = (
+    T.StructType()
+    .add("source_key", T.StringType())
+    .add("source_bucket", T.StringType())
+    .add("document_id", T.StringType())
+    .add("version", T.LongType())
+    .add("version_date", T.DateType())
+)
+
 FAILURE = (
     T.StructType()
     .add("message_id", T.StringType())

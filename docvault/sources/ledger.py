@@ -23,7 +23,7 @@ from docvault.sources.sinks import Tables, read_batch
 
 NAME = "ledger"
 #: Parts of the ledger; the number stays with the table.
-SLOTS = 256
+SLOTS = 16
 SCHEMA = f"message_id string, message_key string, by_batch {LEDGER_ARRAY}, revision bigint, slot int"
 
 

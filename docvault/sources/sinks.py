@@ -3,7 +3,8 @@
 A table is a folder with one part per batch. A write puts a whole part in place of the one that
 was there, also when the new rows are fewer, lie on other days, or are none, so a batch that is
 run again leaves what its last run made. The vault and the audit table are divided by day
-inside their parts, which lets readers prune by time.
+inside their parts, which lets readers prune by time; the index is divided by a hash of the
+source key, so that a point read opens one folder of a part.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docvault.schemas import AUDIT, FAILURE, MOMENT, OUTPUT, REQUEST, RESULT, VAULT
+from docvault.schemas import AUDIT, FAILURE, INDEX, MOMENT, OUTPUT, REQUEST, RESULT, VAULT
 
 
 @dataclass(frozen=True)
@@ -28,13 +29,14 @@ class Tables:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-#: Columns of each table, and the day column that divides its parts.
+#: Columns of each table, and the column that divides its parts.
 LAYOUT = {
     "moments": (MOMENT, []),
     "requests": (REQUEST, []),
     "results": (RESULT, []),
     "distinct": (REQUEST, []),
     "vault": (VAULT, ["version_date"]),
+    "index": (INDEX, ["slot"]),
     "output": (OUTPUT, []),
     "audit": (AUDIT, ["audit_date"]),
     "failures": (FAILURE, []),
@@ -47,11 +49,13 @@ SPREAD = {
     "results": "source_key",
     "distinct": "document_id",
     "vault": "version_date",
+    "index": "slot",
     "output": "document_id",
     "audit": "audit_date",
     "failures": "message_id",
 }
-SORTED = {"vault": "source_key", "output": "output_key"}
+SORTED = {"vault": "source_key", "index": "source_key", "output": "output_key"}
+DIVIDED_BY = {"version_date": T.DateType(), "audit_date": T.DateType(), "slot": T.IntegerType()}
 #: Working tables hold only the batch that is running; the others are the pipeline's results.
 WORKING = ["requests", "results"]
 #: The part that holds batches whose parts were merged.
@@ -61,20 +65,33 @@ MERGED = -1
 def full_schema(name: str) -> T.StructType:
     fields, days = LAYOUT[name]
     added = [T.StructField("batch_id", T.LongType()), T.StructField("part", T.LongType())]
-    return T.StructType(fields.fields + added + [T.StructField(d, T.DateType()) for d in days])
+    return T.StructType(fields.fields + added + [T.StructField(d, DIVIDED_BY[d]) for d in days])
+
+
+#: The tables that an application has seen to already.
+_made: set[tuple[str, str]] = set()
 
 
 def create_tables(spark: SparkSession, tables: Tables) -> None:
-    """Make the folders of tables that do not exist yet."""
+    """Make the folders of tables that do not exist yet, once in an application."""
+    key = (spark.sparkContext.applicationId, tables.root)
+    if key in _made:
+        return
+    _made.add(key)
     nothing = spark.range(0, 0, 1, 1)
     for name in LAYOUT:
         columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in full_schema(name)]
         nothing.select(*columns).write.mode("ignore").parquet(tables.path(name))
 
 
+def read_parts(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
+    """All batches of a table, with batch_id and the part that they are in."""
+    return spark.read.schema(full_schema(name)).parquet(tables.path(name))
+
+
 def read_table(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
     """All batches of a table, with batch_id."""
-    return spark.read.schema(full_schema(name)).parquet(tables.path(name)).drop("part")
+    return read_parts(spark, tables, name).drop("part")
 
 
 def read_batch(spark: SparkSession, tables: Tables, name: str, batch_id: int) -> DataFrame:

@@ -13,7 +13,7 @@ from docvault.operators.percentiles import brackets, counted_percentiles
 from docvault.plans.batch import process_batch, write_snapshot
 from docvault.plans.process import results_of
 from docvault.settings import JobSettings
-from docvault.sources import ledger
+from docvault.sources import ledger, records
 from docvault.sources.notifications import stream_notifications
 from docvault.sources.sinks import Tables, read_batch, read_table
 from docvault.sources.store import DocumentStore, add_documents, bucket_of, named, open_store, store_lookup
@@ -227,6 +227,33 @@ def test_ledger_in_a_snapshot(spark, tmp_path):
     assert read_batch(spark, target, "failures", 1).count() and contents(spark, target)[3] > 1
 
 
+# --- index
+
+
+def test_point_read_through_the_index(spark, tmp_path):
+    """One folder of the index is opened in each part, and no day of the vault without the key."""
+    tables, target = Tables(str(tmp_path / "t")), Tables(str(tmp_path / "next"))
+    names = [f"incoming/{i}" for i in range(60)]
+    documents = spark.createDataFrame([(BUCKET, n, f"Name: Jane Smith {n}") for n in names], DOCUMENT)
+    rows = [dict(message(i, n), receivedAt=f"2024-01-{1 + i % 28:02d}T00:00:00Z") for i, n in enumerate(names)]
+    for batch_id in (0, 1, 0):
+        process_batch(batch(spark, rows[30 * batch_id : 30 * batch_id + 30]), documents, tables, batch_id, AS_OF, SETTINGS)
+    again = dict(message(99, "incoming/7"), receivedAt="2024-01-20T00:00:00Z")
+    process_batch(batch(spark, [again]), documents, tables, 2, AS_OF, SETTINGS)
+    write_snapshot(spark, tables, target, "2024-03-01 00:00:00", SETTINGS, merge_before=2)
+    for place, parts in ((tables, 3), (target, 2)):
+        addresses = records.addresses(spark, place, "incoming/7")
+        assert len(addresses.collect()) == 2 and opened_files(addresses)[0] <= parts
+        found = records.find_records(spark, place, "incoming/7")
+        whole = read_table(spark, place, "vault").filter("source_key = 'incoming/7'")
+        assert sorted(found.collect()) == sorted(whole.select(found.columns).collect()) and found.count() == 2
+        found.collect()
+        assert opened_files(found)[0] <= 4
+        assert records.find_records(spark, place, "incoming/none").count() == 0
+        many = records.find_records_of(spark, place, documents.filter("source_key LIKE '%1'").select("source_key"))
+        assert many.count() == 6
+
+
 # --- windows
 
 
