@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -54,8 +53,7 @@ def edits(kind: str) -> Iterator[tuple[int, int, int, str]]:
             state, cost, audit = NEXT[state, GIVEN[state]], cost + INSERT, audit + "I"
 
 
-@lru_cache(None)
-def step(kind: str) -> Step:
+def cheapest(kind: str) -> Step:
     """The cheapest, then ASCII-least way from each state to each state."""
     best: dict[tuple[int, int], tuple[int, str]] = {}
     for before, after, cost, audit in edits(kind):
@@ -63,6 +61,14 @@ def step(kind: str) -> Step:
     return tuple(tuple(best.get((p, q), (INFINITE, "")) for q in range(4)) for p in range(4))
 
 
+#: The step of each kind, and of the end.
+STEPS = {kind: cheapest(kind) for kind in ("", *INITIALS, *CUT, *GONE)}
+
+
+def step(kind: str) -> Step:
+    return STEPS[kind]
+
+
 def forward(steps: list[Step], enter: int) -> list[tuple[int, int]]:
     """Cost and rank for each state behind the steps; ranks order the least audits with these costs.
 
@@ -125,12 +131,20 @@ def written(steps: list[Step], states: list[int]) -> str:
     return "".join(str(m[p][q][1]) for m, p, q in zip(steps, states, states[1:], strict=False))
 
 
-@lru_cache(1 << 16)
+#: Conversations of the same kinds have the same audit; at most so many are remembered.
+REMEMBERED = 1 << 16
+known: dict[str, tuple[int, str]] = {}
+
+
 def audit_of(kinds: str) -> tuple[int, str]:
     """Cost and audit of a whole conversation."""
-    steps = [step(k) for k in kinds] + [step("")]
-    cost, end = best_end(steps)
-    return cost, written(steps, crossings(steps, START, end))
+    if kinds not in known:
+        if len(known) >= REMEMBERED:
+            known.clear()
+        steps = [step(k) for k in kinds] + [step("")]
+        cost, end = best_end(steps)
+        known[kinds] = cost, written(steps, crossings(steps, START, end))
+    return known[kinds]
 
 
 def segment_audit(kinds: str, enter: int, leave: int) -> str:
