@@ -25,12 +25,18 @@ CELLS, CHUNK = 1 << 18, 1 << 13
 FREQUENT, MARGIN = 1.5, 30
 #: Salts of the further token orders.
 ORDERS = (2, 3)
+#: Cells of the table of shared tokens, for each of them; and at most.
+TOKEN_CELLS, MOST_TOKEN_CELLS = 16, 1 << 25
+#: Cells of the table that travel in one row.
+TABLE_CHUNK = 1 << 16
 #: Bits of the filter for the texts that are read again, for each of them; and at most.
 FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 27
 #: Parts that a frequent token's rows are dealt into.
 SALTS = 64
 #: Tokens of more sets than this are compared in blocks of about so many sets.
 FEW, BLOCK = 32, 256
+#: Tokens whose common counts a block makes at once.
+COLUMNS = 4096
 #: Sets whose tokens one task remembers to have sent.
 REMEMBERED = 100_000
 
@@ -57,11 +63,16 @@ def levels(sketch: np.ndarray) -> np.ndarray:
     return np.where(over, 1 + np.log2(np.maximum(sketch / mean, 1)).astype(np.int64), 0).astype(np.uint64)
 
 
-def ordered_prefix(tokens: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The prefix under the first order, rare tokens first, and each token's level."""
+def ordered_prefix(tokens: np.ndarray, level: np.ndarray, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix under the first order, rare tokens first, and each token's level in the sketch.
+
+    The order is by the cell of the table of shared tokens, if there is one, then by the sketch.
+    """
     own = level[(tokens >> np.uint64(46)).astype(np.int64)]
-    order = np.argsort((own << np.uint64(56)) | (mixed(tokens) >> np.uint64(8)), kind="stable")
-    order = order[: prefix_size(len(tokens))]
+    key = (own << np.uint64(53)) | (mixed(tokens) >> np.uint64(11))
+    if table is not None:
+        key |= table[(tokens & np.uint64(len(table) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
+    order = np.argsort(key, kind="stable")[: prefix_size(len(tokens))]
     return tokens[order], own[order]
 
 
@@ -127,52 +138,107 @@ def summed_sketch(survey: DataFrame) -> np.ndarray:
     return sketch
 
 
-def prefix_tokens(docs: DataFrame, level: np.ndarray) -> DataFrame:
-    """`token, sid, spot` for the prefix of each set; a task sends a repeated set once.
+def new_sets(batch: pa.RecordBatch, sent: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Name and tokens of a batch's sets that are not empty and that the task remembers not to have sent."""
+    for text in column_bytes(batch, "text"):
+        own = token_set(text)
+        if not len(own) or (sid := set_id(own)) in sent:
+            continue
+        if len(sent) >= REMEMBERED:
+            sent.clear()
+        sent.add(sid)
+        yield sid, own
+
 
-    `spot` is the place in the prefix for frequent tokens, -1 for usual ones.
+def token_table(docs: DataFrame, level: np.ndarray) -> np.ndarray:
+    """A byte for each cell of tokens: 0, or the doublings of the most sets that share one of its tokens.
+
+    Counts the tokens of all prefixes under the sketch's order. The table grows with the tokens
+    that several sets share, up to a fixed size; beyond it the tokens of fewest sets are left
+    out, until the rest fill a quarter of the cells at most. The table only orders tokens, the
+    same way for all sets, so what it holds saves work and changes no result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
-            tokens, sids, spots = [], [], []
-            for text in column_bytes(batch, "text"):
-                own = token_set(text)
-                if not len(own) or (sid := set_id(own)) in sent:
-                    continue
-                if len(sent) >= REMEMBERED:
-                    sent.clear()
-                sent.add(sid)
-                prefix, own_level = ordered_prefix(own, level)
+            found = [(sid, ordered_prefix(own, level)[0]) for sid, own in new_sets(batch, sent)]
+            if found:
+                tokens = np.concatenate([p for _, p in found]).view(np.int64)
+                marks = np.repeat(np.array([sid for sid, _ in found], np.int64).astype(np.int16), [len(p) for _, p in found])
+                yield pa.record_batch([pa.array(tokens), pa.array(marks)], names=["token", "mark"])
+
+    # Copies of one set have one mark, so they do not make a token shared.
+    counted = docs.mapInArrow(run, "token bigint, mark smallint").groupBy("token")
+    counted = counted.agg(F.count("mark").alias("k"), F.min("mark").alias("low"), F.max("mark").alias("high"))
+    shared = stored(counted.where("low < high").select("token", F.floor(F.log2("k")).cast("tinyint").alias("level")), "token-levels")
+    held = {row["level"]: row["count"] for row in shared.groupBy("level").count().collect()}  # 64 rows at most
+    least = 1
+    while (n := sum(k for at, k in held.items() if at >= least)) * 4 > MOST_TOKEN_CELLS:
+        least += 1
+    cells = 1 << min(MOST_TOKEN_CELLS.bit_length() - 1, max(TABLE_CHUNK.bit_length() - 1, (TOKEN_CELLS * n).bit_length()))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            cell, most = (batch.column(c).to_numpy() for c in ("cell", "level"))
+            for chunk in np.unique(cell // TABLE_CHUNK).tolist():
+                own = chunks.setdefault(chunk, np.zeros(TABLE_CHUNK, np.uint8))
+                here = cell // TABLE_CHUNK == chunk
+                np.maximum.at(own, cell[here] % TABLE_CHUNK, most[here].astype(np.uint8))
+        arrays = [pa.array(list(chunks), pa.int64()), pa.array([c.tobytes() for c in chunks.values()], pa.binary())]
+        yield pa.record_batch(arrays, names=["chunk", "levels"])
+
+    placed = shared.where(F.col("level") >= least).select(F.col("token").bitwiseAND(cells - 1).alias("cell"), "level")
+    filled = placed.repartition(F.expr(f"cell div {TABLE_CHUNK}")).mapInArrow(fill, "chunk bigint, levels binary")
+    table = np.zeros(cells, np.uint8)
+    for chunk, levels_held in filled.collect():  # MOST_TOKEN_CELLS bytes at most
+        table[chunk * TABLE_CHUNK : (chunk + 1) * TABLE_CHUNK] = np.frombuffer(levels_held, np.uint8)
+    return table
+
+
+def prefix_tokens(docs: DataFrame, level: np.ndarray, table: np.ndarray) -> DataFrame:
+    """`token, sid, spot, hot` for the prefix of each set; a task sends a repeated set once.
+
+    `spot` is the place in the prefix; hot tokens are frequent by the sketch.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(table)  # MOST_TOKEN_CELLS at most, 32 MB
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
+        for batch in batches:
+            tokens, sids, spots, hot = [], [], [], []
+            for sid, own in new_sets(batch, sent):
+                prefix, own_level = ordered_prefix(own, level, shared.value)
                 tokens.append(prefix.view(np.int64))
                 sids.append(np.full(len(prefix), sid, np.int64))
-                spots.append(np.where(own_level > 0, np.arange(len(prefix)), -1).astype(np.int32))
+                spots.append(np.arange(len(prefix), dtype=np.int32))
+                hot.append(own_level > 0)
             if tokens:
-                arrays = [pa.array(np.concatenate(x)) for x in (tokens, sids, spots)]
-                yield pa.record_batch(arrays, names=["token", "sid", "spot"])
+                arrays = [pa.array(np.concatenate(x)) for x in (tokens, sids, spots, hot)]
+                yield pa.record_batch(arrays, names=["token", "sid", "spot", "hot"])
 
-    return docs.mapInArrow(run, "token bigint, sid bigint, spot int")
+    return docs.mapInArrow(run, "token bigint, sid bigint, spot int, hot boolean")
 
 
 def shared_tokens(prefixes: DataFrame) -> DataFrame:
-    """`token, sid, pivot` of the tokens that several sets have in their prefix.
+    """`token, sid, spot, pivot` of the tokens that several sets have in their prefix.
 
     Usual tokens are few rows each, as the sketch bounds their share of all rows, and are
     gathered by token; their pivot is the least set. Frequent ones are dealt out by token and
     set; their pivot, the set in which they stand first, is found by an aggregation with partial
     results and joined back, which Spark splits.
     """
-    salt = F.when(F.col("spot") < 0, F.lit(0)).otherwise(F.pmod(F.hash("sid"), F.lit(SALTS)))
+    salt = F.when(F.col("hot"), F.pmod(F.hash("sid"), F.lit(SALTS))).otherwise(F.lit(0))
     group = Window.partitionBy("token", "salt")
     seen = (
         prefixes.withColumn("salt", salt)
         .withColumns({"low": F.min("sid").over(group), "high": F.max("sid").over(group)})
-        .where("low < high OR spot >= 0")
+        .where("low < high OR hot")
     )
-    seen = stored(seen.select("token", "sid", "spot", "low"), "prefix-tokens")
-    usual = seen.where("spot < 0").select("token", "sid", F.col("low").alias("pivot"))
-    frequent = seen.where("spot >= 0").groupBy("token", "sid").agg(F.min("spot").alias("spot"))
+    seen = stored(seen.select("token", "sid", "spot", "hot", "low"), "prefix-tokens")
+    usual = seen.where("NOT hot").select("token", "sid", "spot", F.col("low").alias("pivot"))
+    frequent = seen.where("hot").groupBy("token", "sid").agg(F.min("spot").alias("spot"))
     place = F.shiftleft(F.col("spot").cast("bigint"), 40) + F.shiftrightunsigned("sid", 24)
     pivots = (
         frequent.groupBy("token")
@@ -180,7 +246,7 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
         .where("low < high")
         .select("token", "pivot")
     )
-    return usual.unionAll(frequent.select("token", "sid").join(pivots, "token"))
+    return usual.unionAll(frequent.join(pivots, "token"))
 
 
 def wanted_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
@@ -200,10 +266,10 @@ def wanted_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
     return held, bits
 
 
-def token_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def token_sets(docs: DataFrame, ids: DataFrame, marked: bool = False) -> DataFrame:
     """`sid, tokens, marks` of the documents in `ids(sid, doc_id)`; texts are not exchanged.
 
-    Marks are the upper 16 bits of the tokens, in order.
+    Marks, null unless asked for, are the prefixes under the further orders, see `order_marks`.
     """
     held, bits = wanted_filter(ids)
     shared = docs.sparkSession.sparkContext.broadcast(held)  # MOST_FILTER_BITS at most, 16 MB
@@ -220,7 +286,7 @@ def token_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 texts.column("doc_id"),
                 pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                pa.array([(s >> np.uint64(48)).astype("<u2").tobytes() for s in sets], pa.binary()),
+                pa.array([order_marks(s) if marked and len(s) else None for s in sets], pa.binary()),
             ]
             yield pa.record_batch(arrays, names=["doc_id", "sid", "tokens", "marks"])
 
@@ -258,21 +324,36 @@ def others(a: str, b: str) -> Column:
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets link: they must share prefix tokens under each further order, too."""
-    for salt in ORDERS:
-        if not len(np.intersect1d(further_prefix(a, salt), further_prefix(b, salt), assume_unique=True)):
-            return False
+    """Whether two sets link."""
     common = len(np.intersect1d(a, b, assume_unique=True))
     return common * (100 + PERCENT) >= PERCENT * (len(a) + len(b))
 
 
-def marks_allow(a: bytes, b: bytes) -> bool:
-    """Whether sets with these marks may link: they have no more common tokens than common marks."""
-    x, y = np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2")
-    (u, n), (v, m) = np.unique(x, return_counts=True), np.unique(y, return_counts=True)
-    _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
-    common = int(np.minimum(n[i], m[j]).sum())
-    return common * (100 + PERCENT) >= PERCENT * (len(x) + len(y))
+def order_marks(tokens: np.ndarray) -> bytes:
+    """The size of a set, then its prefix under each further order, sorted, by 16 bits of each key."""
+    prefixes = [np.sort((further_prefix(tokens, salt) & np.uint64(0xFFFF)).astype("<u2")) for salt in ORDERS]
+    return len(tokens).to_bytes(8, "little") + b"".join(p.tobytes() for p in prefixes)
+
+
+def orders_allow(a: bytes, b: bytes) -> bool:
+    """Whether sets with these marks may link by their prefixes under every further order.
+
+    As in `possible`: what both prefixes share and all behind the prefix of the larger set must
+    be enough. Prefixes have no more common tokens than common marks.
+    """
+    n, m = (int.from_bytes(x[:8], "little") for x in (a, b))
+    need = (PERCENT * (n + m) + 99 + PERCENT) // (100 + PERCENT) - ((PERCENT * max(n, m) + 99) // 100 - 1)
+    for x, y in zip(order_parts(a, n), order_parts(b, m), strict=True):
+        (u, i), (v, j) = np.unique(x, return_counts=True), np.unique(y, return_counts=True)
+        _, p, q = np.intersect1d(u, v, assume_unique=True, return_indices=True)
+        if int(np.minimum(i[p], j[q]).sum()) < need:
+            return False
+    return True
+
+
+def order_parts(marks: bytes, n: int) -> list[np.ndarray]:
+    held = np.frombuffer(marks, "<u2", offset=8)
+    return [held[k * prefix_size(n) : (k + 1) * prefix_size(n)] for k in range(len(ORDERS))]
 
 
 def both_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -284,17 +365,17 @@ def both_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
     """The pairs `a, b` of sets that link; the sets are made anew from the texts of their members.
 
-    Marks, a quarter of the size, leave out nearly all pairs that do not; whole sets travel for
-    the others only.
+    The prefixes under the further orders, an eighth of the size, leave out nearly all pairs that
+    do not; whole sets travel only for pairs that every order lets through.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     ids = stored(members.join(wanted, "sid").select("sid", "doc_id"), "wanted")
-    sets = stored(token_sets(docs, ids), "sets")
+    sets = stored(token_sets(docs, ids, marked=True), "sets")
 
-    def by_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = (batch.column(c).to_pylist() for c in ("a_marks", "b_marks"))
-            yield batch.select(["a", "b"]).filter(pa.array([marks_allow(x, y) for x, y in zip(*sides, strict=True)], pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array([orders_allow(x, y) for x, y in zip(*sides, strict=True)], pa.bool_()))
 
     def by_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,7 +384,7 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame
             yield batch.select(["a", "b"]).filter(pa.array([linked(x, y) for x, y in zip(*sides, strict=True)], pa.bool_()))
 
     schema = "a bigint, b bigint"
-    close = stored(both_sides(pairs, sets, "marks").mapInArrow(by_marks, schema), "close-pairs")
+    close = stored(both_sides(pairs, sets, "marks").mapInArrow(by_orders, schema), "close-pairs")
     return both_sides(close, sets, "tokens").mapInArrow(by_tokens, schema)
 
 
@@ -316,16 +397,18 @@ def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
     costs one comparison for each member, and no link between components is missed.
     """
     level = levels(summed_sketch(survey))
-    shared = stored(shared_tokens(prefix_tokens(docs, level)), "shared-tokens")
+    table = token_table(docs, level)
+    shared = stored(shared_tokens(prefix_tokens(docs, level, table)), "shared-tokens")
     members = survey.where("sid IS NOT NULL").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"))
-    by_set = shared.groupBy("sid").agg(F.collect_set("token").alias("shared"))  # at most its own prefix
+    in_order = F.sort_array(F.collect_set(F.struct("spot", "token")))  # at most the set's own prefix
+    by_set = shared.groupBy("sid").agg(F.transform(in_order, lambda x: x["token"]).alias("shared"))
     members = stored(members.join(by_set, "sid"), "members")
     stars = shared.where("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
     stars = stored(possible(stars, members), "stars")
     edges = stored(verified(stars, docs, members), "star-links")
     found = stored(components(edges), "star-components")
     labelled = (
-        shared.select("token", "sid")
+        shared.select("token", "sid", "spot")
         .join(found.select(F.col("node").alias("sid"), "component"), "sid", "left")
         .withColumn("component", F.coalesce("component", "sid"))
     )
@@ -352,11 +435,13 @@ def tried(stars: DataFrame) -> DataFrame:
 def pairs_across(rest: DataFrame, members: DataFrame) -> DataFrame:
     """Distinct pairs `a, b` that share a token, lie in different components and may link.
 
-    `rest` has `token, sid, component, n, c` (c: how many tokens of its prefix the set shares);
-    the shared tokens themselves are joined to pairs and to the rows of large groups. Tokens of at most FEW sets are joined with
+    `rest` has `token, sid, spot, component, n, c` (c: how many tokens of its prefix the set
+    shares). Of a pair that links, the first common token stands far enough in front in both
+    sets: only tokens behind it can be common, too. Tokens of at most FEW sets are joined with
     themselves. A larger group is cut into blocks of about BLOCK sets, those outside of its
     largest component against all, and a block counts the common tokens of its pairs as a
-    product of two small matrices; only pairs with enough of them come out.
+    product of two matrices; a pair comes out at its first common token only, if it has
+    enough of them.
     """
     by_component = rest.groupBy("token", "component").agg(F.count("sid").alias("k"))
     sizes = by_component.groupBy("token").agg(F.sum("k").alias("all"), F.max("k").alias("largest"))
@@ -367,18 +452,17 @@ def pairs_across(rest: DataFrame, members: DataFrame) -> DataFrame:
     sized = rest.join(main, "token")
     few = sized.where(F.col("all") <= FEW)
     one, two = (
-        few.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("sid", "component", "n", "c")])
+        few.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("sid", "spot", "component", "n", "c")])
         for side in ("a", "b")
     )
     bound = enough(F.least("a_c", "b_c") + others("a_n", "b_n"), F.col("a_n"), F.col("b_n"))
     close = (F.col("a_sid") < F.col("b_sid")) & (F.col("a_component") != F.col("b_component"))
-    close = close & sizes_allow(F.col("a_n"), F.col("b_n")) & bound
+    behind = F.least(F.col("a_n") - F.col("a_spot"), F.col("b_n") - F.col("b_spot"))
+    close = close & sizes_allow(F.col("a_n"), F.col("b_n")) & bound & enough(behind, F.col("a_n"), F.col("b_n"))
     joined = one.join(two, "token").where(close).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
     joined = possible(joined, members.select("sid", "n", "shared"))
 
-    # Half of each token is enough to count what sets may have in common.
-    halves = members.select("sid", F.transform("shared", lambda t: F.shiftright(t, 32).cast("int")).alias("shared"))
-    many = sized.where(F.col("all") > FEW).join(halves, "sid")
+    many = sized.where(F.col("all") > FEW).join(members.select("sid", "shared"), "sid")
     many = many.withColumn("out", F.col("component") != F.col("main"))
     parts = {"outs": F.col("all") - F.col("largest"), "mains": F.col("largest")}
     many = many.withColumns({n: F.ceil(k / BLOCK).cast("int") for n, k in parts.items()})
@@ -395,37 +479,57 @@ def pairs_across(rest: DataFrame, members: DataFrame) -> DataFrame:
     places = F.when(F.col("out"), F.concat(against_main, among)).otherwise(
         F.transform(up_to("outs"), lambda i: block(0, i, mine, F.lit(False)))
     )
-    dealt = many.select("token", F.inline(places), "sid", "component", "n", "shared")
+    dealt = many.select("token", F.inline(places), "sid", "spot", "component", "n", "shared")
     found = dealt.groupBy("token", "kind", "i", "j").applyInPandas(block_pairs, "a bigint, b bigint")
     return joined.unionAll(found).distinct()
 
 
 def block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """The pairs of a block's left and right sets that may link; see `possible`."""
-    _, where = np.unique(np.concatenate(rows["shared"].to_list()), return_inverse=True)
-    at = np.repeat(np.arange(len(rows)), rows["shared"].map(len))
-    common = np.bincount(where) > 1
-    number = np.cumsum(common) - 1
-    matrix = np.zeros((len(rows), max(1, int(common.sum()))), np.float32)
-    kept = common[where]
-    matrix[at[kept], number[where[kept]]] = 1
+    """The pairs of a block's left and right sets whose first common token is the group's and that may link.
+
+    The shared tokens of a set are in the first order, so what two sets have in common before
+    the group's token stands before it in both.
+    """
+    token = rows["token"].iloc[0]
+    lists = rows["shared"].to_list()
+    owner = np.repeat(np.arange(len(rows)), [len(t) for t in lists])
+    ahead = np.concatenate([np.arange(len(t)) < np.flatnonzero(t == token)[0] for t in lists])
     left = rows["left"].to_numpy()
     same = rows["kind"].iloc[0] == 1 and rows["i"].iloc[0] == rows["j"].iloc[0]
     x = np.arange(len(rows)) if same else np.flatnonzero(left)
     y = x if same else np.flatnonzero(~left)
-    counts = (matrix[x] @ matrix[y].T).astype(np.int64)
-    # Tokens of a set with the same half are counted once: so many more may be common.
-    lost = rows["shared"].map(lambda halves: len(halves) - len(np.unique(halves))).to_numpy()
-    counts += np.minimum.outer(lost[x], lost[y])
-    n, sid, component = (rows[c].to_numpy() for c in ("n", "sid", "component"))
+    counts, earlier = common_counts(owner, np.concatenate(lists), ahead, len(rows), x, y)
+    n, sid, component, spot = (rows[c].to_numpy() for c in ("n", "sid", "component", "spot"))
     low, high = np.minimum.outer(n[x], n[y]).astype(np.int64), np.maximum.outer(n[x], n[y]).astype(np.int64)
     may = (100 * low >= PERCENT * high) & not_equal(component[x], component[y]) & not_equal(sid[x], sid[y])
+    may &= earlier == 0
+    may &= np.minimum.outer((n - spot)[x], (n - spot)[y]) * (100 + PERCENT) >= PERCENT * (low + high)
     may &= (counts + (PERCENT * high + 99) // 100 - 1) * (100 + PERCENT) >= PERCENT * (low + high)
     i, j = np.nonzero(may)
     a, b = sid[x[i]], sid[y[j]]
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
+def common_counts(owner: np.ndarray, tokens: np.ndarray, ahead: np.ndarray, size: int, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens the sets at `x` have in common with those at `y`, and how many that are marked
+    `ahead` in the first ones; by products of 0/1 matrices of at most COLUMNS tokens at a time."""
+    _, column, held = np.unique(tokens, return_inverse=True, return_counts=True)
+    kept = held[column] > 1
+    owner, ahead, column = owner[kept], ahead[kept], (np.cumsum(held > 1) - 1)[column[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, ahead, column = owner[order], ahead[order], column[order]
+    counts = np.zeros((2, len(x), len(y)), np.int64)
+    total = int(column[-1]) + 1 if len(column) else 0
+    for first in range(0, total, COLUMNS):
+        part = slice(*np.searchsorted(column, (first, first + COLUMNS)))
+        held_by, front = np.zeros((2, size, min(COLUMNS, total - first)), np.float32)
+        held_by[owner[part], column[part] - first] = 1
+        front[owner[part], column[part] - first] = ahead[part]
+        counts[0] += (held_by[x] @ held_by[y].T).astype(np.int64)
+        counts[1] += (front[x] @ held_by[y].T).astype(np.int64)
+    return counts[0], counts[1]
+
+
 def not_equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a[:, None] != b[None, :]
 

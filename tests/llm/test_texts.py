@@ -193,14 +193,60 @@ def test_jaccard_at_the_threshold_and_in_a_hot_group(spark, monkeypatch):
     assert got == want and len({c for _, c in want.values()}) > 3
 
 
+def block(token, *sets):
+    """Rows of a group's block: sets of 20 with these shared tokens, one in each component."""
+    names = list(range(7, 7 + len(sets)))
+    return pd.DataFrame({
+        "token": token, "kind": 1, "i": 0, "j": 0, "left": True, "sid": names, "component": names, "n": 20,
+        "spot": [list(s).index(token) for s in sets], "shared": [np.array(s, np.int64) for s in sets],
+    })
+
+
 def test_tokens_with_the_same_half_lose_no_pair():
     """Two sets of 20 that may link with 4 common tokens in the prefixes, not with 3."""
-    for halves, pairs in (([1, 2, 3, 4], 1), ([1, 1, 2, 3], 1), ([1, 1, 1, 1], 1), ([1, 2, 3], 0), ([1, 1, 2], 0)):
-        rows = pd.DataFrame({
-            "kind": 0, "i": 0, "j": 0, "left": [True, False], "sid": [7, 8], "component": [7, 8], "n": [20, 20],
-            "shared": [np.array(halves, np.int32)] * 2,
-        })
-        assert len(jaccard_join.block_pairs(rows)) == pairs
+    high = 1 << 32
+    for shared, pairs in (([1, 2, 3, 4], 1), ([1, high + 1, 2, 3], 1), ([1, high + 1, 2 * high + 1, 3 * high + 1], 1), ([1, 2, 3], 0), ([1, high + 1, 2], 0)):
+        assert len(jaccard_join.block_pairs(block(1, shared, shared))) == pairs
+
+
+def test_a_pair_comes_out_at_its_first_common_token_only(monkeypatch):
+    sets = [1, 2, 3, 4, 5], [1, 2, 3, 4, 5], [9, 2, 3, 4, 5]
+    for columns in (4096, 2):
+        monkeypatch.setattr(jaccard_join, "COLUMNS", columns)
+        found = {t: {tuple(p) for p in jaccard_join.block_pairs(block(t, *[s for s in sets if t in s])).values.tolist()} for t in (1, 2, 3)}
+        assert found == {1: {(7, 8)}, 2: {(7, 9), (8, 9)}, 3: set()}
+
+
+def test_further_orders_drop_pairs_and_no_link():
+    rng = np.random.default_rng(3)
+    dropped = 0
+    for trial in range(600):
+        n = int(rng.integers(1, 120))
+        tokens = rng.integers(0, 2**63, 2 * n + 80).astype(np.uint64)
+        cut, more = int(rng.integers(0, n)), int(rng.integers(0, n // 3 + 1))
+        a, b = np.unique(tokens[:n]), np.unique(tokens[cut : n + more])
+        if not len(b):
+            continue
+        allowed = jaccard_join.orders_allow(jaccard_join.order_marks(a), jaccard_join.order_marks(b))
+        assert allowed or not jaccard_join.linked(a, b)
+        dropped += not allowed
+    assert dropped > 100
+
+
+def test_table_of_shared_tokens(spark, monkeypatch):
+    """Tokens of several sets go behind those of one, copies do not count, and links stay when cells are few."""
+    common = " ".join(f"c{i}" for i in range(30))
+    rows = [(i, " ".join(f"d{i}x{j}" for j in range(10)) + " " + common) for i in range(40)] + [(100 + i, "copy " * 3 + "of one text here") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    level = np.zeros(jaccard_join.CELLS, np.uint64)
+    table = jaccard_join.token_table(docs, level)
+    cell = lambda text: table[(jaccard_join.token_set(text.encode()) & np.uint64(len(table) - 1)).astype(np.int64)]
+    assert (cell(common) >= 3).sum() >= 5 and cell(rows[-1][1]).max() <= 1
+    monkeypatch.setattr(jaccard_join, "MOST_TOKEN_CELLS", 64)
+    monkeypatch.setattr(jaccard_join, "TABLE_CHUNK", 32)
+    assert len(jaccard_join.token_table(docs, level)) <= 64
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == {d: c for d, (_, c) in components(rows).items()}
 
 
 # --- decontamination
