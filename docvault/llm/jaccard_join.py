@@ -226,8 +226,8 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
 
     Usual tokens are few rows each, as the sketch bounds their share of all rows, and are
     gathered by token; their pivot is the least set. Frequent ones are dealt out by token and
-    set; their pivot, the set in which they stand first, is found by an aggregation with partial
-    results and joined back, which Spark splits.
+    set; their pivot, the least set too, so that the tokens of a large group of near copies have few
+    pivots, is found by an aggregation with partial results and joined back, which Spark splits.
     """
     salt = F.when(F.col("hot"), F.pmod(F.hash("sid"), F.lit(SALTS))).otherwise(F.lit(0))
     group = Window.partitionBy("token", "salt")
@@ -239,11 +239,10 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
     seen = stored(seen.select("token", "sid", "spot", "hot", "low"), "prefix-tokens")
     usual = seen.where("NOT hot").select("token", "sid", "spot", F.col("low").alias("pivot"))
     frequent = seen.where("hot").groupBy("token", "sid").agg(F.min("spot").alias("spot"))
-    place = F.shiftleft(F.col("spot").cast("bigint"), 40) + F.shiftrightunsigned("sid", 24)
     pivots = (
         frequent.groupBy("token")
-        .agg(F.min_by("sid", place).alias("pivot"), F.min("sid").alias("low"), F.max("sid").alias("high"))
-        .where("low < high")
+        .agg(F.min("sid").alias("pivot"), F.max("sid").alias("high"))
+        .where("pivot < high")
         .select("token", "pivot")
     )
     return usual.unionAll(frequent.join(pivots, "token"))
@@ -419,8 +418,9 @@ def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
         .select("token")
     )
     rest = labelled.join(open_tokens, "token", "left_semi").distinct()
-    narrow = members.select("sid", "n", F.size("shared").alias("c"))
-    rest = stored(rest.join(narrow, "sid"), "open-tokens")
+    place = Window.partitionBy("sid").orderBy(F.col("spot").desc())
+    rest = rest.withColumn("c", F.row_number().over(place))  # a set's own prefix at most
+    rest = stored(rest.join(members.select("sid", "n"), "sid"), "open-tokens")
     pairs = stored(pairs_across(rest, members).join(tried(stars), ["a", "b"], "left_anti"), "other-pairs")
     if pairs.isEmpty():
         return found.select(F.col("node").alias("sid"), "component")
@@ -435,9 +435,9 @@ def tried(stars: DataFrame) -> DataFrame:
 def pairs_across(rest: DataFrame, members: DataFrame) -> DataFrame:
     """Distinct pairs `a, b` that share a token, lie in different components and may link.
 
-    `rest` has `token, sid, spot, component, n, c` (c: how many tokens of its prefix the set
-    shares). Of a pair that links, the first common token stands far enough in front in both
-    sets: only tokens behind it can be common, too. Tokens of at most FEW sets are joined with
+    `rest` has `token, sid, spot, component, n, c` (c: how many of the set's rows there are
+    from this token on). Of a pair that links, the first common token stands far enough in front
+    in both sets: only tokens behind it can be common, too, and those in both prefixes are rows. Tokens of at most FEW sets are joined with
     themselves. A larger group is cut into blocks of about BLOCK sets, those outside of its
     largest component against all, and a block counts the common tokens of its pairs as a
     product of two matrices; a pair comes out at its first common token only, if it has
