@@ -66,12 +66,14 @@ def levels(sketch: np.ndarray) -> np.ndarray:
 def ordered_prefix(tokens: np.ndarray, level: np.ndarray, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The prefix under the first order, rare tokens first, and each token's level in the sketch.
 
-    The order is by the cell of the table of shared tokens, if there is one, then by the sketch.
+    Tokens that the sketch does not tell apart are ordered by the table of shared tokens, if there
+    is one. Frequent ones keep a hash order, so that near copies of a large group agree in it.
     """
     own = level[(tokens >> np.uint64(46)).astype(np.int64)]
-    key = (own << np.uint64(53)) | (mixed(tokens) >> np.uint64(11))
+    key = (own << np.uint64(58)) | (mixed(tokens) >> np.uint64(11))
     if table is not None:
-        key |= table[(tokens & np.uint64(len(table) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
+        shared = table[(tokens & np.uint64(len(table) - 1)).astype(np.int64)].astype(np.uint64)
+        key |= np.where(own == 0, shared, np.uint64(0)) << np.uint64(53)
     order = np.argsort(key, kind="stable")[: prefix_size(len(tokens))]
     return tokens[order], own[order]
 
@@ -226,8 +228,8 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
 
     Usual tokens are few rows each, as the sketch bounds their share of all rows, and are
     gathered by token; their pivot is the least set. Frequent ones are dealt out by token and
-    set; their pivot, the least set too, so that the tokens of a large group of near copies have few
-    pivots, is found by an aggregation with partial results and joined back, which Spark splits.
+    set; their pivot, the set in which they stand first, is found by an aggregation with partial
+    results and joined back, which Spark splits.
     """
     salt = F.when(F.col("hot"), F.pmod(F.hash("sid"), F.lit(SALTS))).otherwise(F.lit(0))
     group = Window.partitionBy("token", "salt")
@@ -239,10 +241,11 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
     seen = stored(seen.select("token", "sid", "spot", "hot", "low"), "prefix-tokens")
     usual = seen.where("NOT hot").select("token", "sid", "spot", F.col("low").alias("pivot"))
     frequent = seen.where("hot").groupBy("token", "sid").agg(F.min("spot").alias("spot"))
+    place = F.shiftleft(F.col("spot").cast("bigint"), 40) + F.shiftrightunsigned("sid", 24)
     pivots = (
         frequent.groupBy("token")
-        .agg(F.min("sid").alias("pivot"), F.max("sid").alias("high"))
-        .where("pivot < high")
+        .agg(F.min_by("sid", place).alias("pivot"), F.min("sid").alias("low"), F.max("sid").alias("high"))
+        .where("low < high")
         .select("token", "pivot")
     )
     return usual.unionAll(frequent.join(pivots, "token"))
