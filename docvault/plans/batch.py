@@ -26,6 +26,7 @@ from docvault.operators.vault import (
 )
 from docvault.plans.process import Documents, failed, outcomes_of, requests_of, results_of, stored
 from docvault.settings import JobSettings
+from docvault.sources.answers import Answers, answered, clear_working
 from docvault.sources.ledger import add_batch, rebuild
 from docvault.sources.records import index_rows
 from docvault.sources.sinks import (
@@ -62,6 +63,7 @@ def process_batch(
     model: Callable[[str, str], str] | None = None,
     explode_records: bool = False,
     whole_table: bool = False,
+    answers: Answers | None = None,
 ) -> None:
     """Write vault, output, audit and failure rows of one batch; safe to repeat.
 
@@ -73,6 +75,8 @@ def process_batch(
 
     Run again, a batch replaces all that it wrote, whatever comes out this time, and keeps the
     moment of its first run. The working tables hold nothing of a batch once it is through.
+
+    With a table of answers the model is called once per content, whichever batch has it first.
     """
     spark = messages.sparkSession
     create_tables(spark, tables)
@@ -80,7 +84,15 @@ def process_batch(
 
     write_batch(requests_of(messages, settings, explode_records), tables, "requests", batch_id)
     valid, rejected = split_valid(read_batch(spark, tables, "requests", batch_id).drop("batch_id"))
-    write_batch(results_of(valid, documents, settings, model, whole_table), tables, "results", batch_id)
+    classify = None
+    if answers and model:
+        classify = partial(
+            answered, model=model, answers=answers, settings=settings, batch_id=batch_id, now=now
+        )
+    found = results_of(valid, documents, settings, model, whole_table, classify)
+    write_batch(found, tables, "results", batch_id)
+    if classify:
+        clear_working(spark, answers, batch_id)
     results = read_batch(spark, tables, "results", batch_id).drop("batch_id")
 
     outcomes = outcomes_of(valid, results.drop("classification"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from docvault.schemas import CATEGORIES, LIST_CATEGORIES
 from docvault.session import configure, work_dir
 from docvault.settings import JobSettings
 from docvault.sources import documents as document_sources
+from docvault.sources.answers import Answers, answered
 from docvault.sources.notifications import normalize_messages, read_notifications, stream_notifications
 from docvault.sources.sinks import Tables, read_table
 from docvault.sources.ledger import add_failures, read_ledger
@@ -398,6 +400,10 @@ def model_classified(spark, sf_dir):
         SETTINGS,
         model=sample_model,
     )
+    return answer_rows(outcomes)
+
+
+def answer_rows(outcomes: DataFrame) -> DataFrame:
     found = F.col("classification")
     return outcomes.select(
         "source_key",
@@ -409,6 +415,27 @@ def model_classified(spark, sf_dir):
     )
 
 
+def answers_by_content(spark, sf_dir):
+    """Copies of all documents, answered from what a model said of the originals.
+
+    The model of the second batch refuses everything, so only the stored answers can fill it.
+    """
+    place = work_dir(spark, "answers")
+    known = Answers(f"{place}/known", "sample-1")
+    valid, _ = split_valid(requests_of(inputs.messages(spark, sf_dir, damaged=False), SETTINGS))
+    valid = kept(valid, "requests")
+    originals = inputs.documents(spark, sf_dir)
+    copies = originals.withColumn("source_key", F.concat("source_key", F.lit(".copy")))
+    wanted = valid.withColumn("source_key", F.concat("source_key", F.lit(".copy")))
+    rounds = [(valid, originals, sample_model), (wanted, copies, refusing_model)]
+    for batch_id, (requests, documents, model) in enumerate(rounds):
+        now = F.to_timestamp(F.lit(inputs.AS_OF))
+        ask = partial(answered, model=model, answers=known, settings=SETTINGS, batch_id=batch_id, now=now)
+        results = kept(results_of(requests, documents, SETTINGS, whole_table=True, classify=ask), "results")
+    original = F.regexp_replace("source_key", r"\.copy$", "")
+    return answer_rows(outcomes_of(wanted, results)).withColumn("source_key", original)
+
+
 # --- masking and privacy ---------------------------------------------------------------------
 
 
@@ -903,6 +930,7 @@ QUERIES = [
     category_totals,
     parsed_responses,
     model_classified,
+    answers_by_content,
     masked_ssns,
     unmasked_rows,
     leak_scan,

@@ -84,12 +84,14 @@ def results_of(
     settings: JobSettings,
     model: Callable[[str, str], str] | None = None,
     whole_table: bool = False,
+    classify: Classifier | None = None,
 ) -> DataFrame:
     """What was found in each requested document: one row per document, however often announced.
 
     The requested keys select the texts first, where Spark broadcasts them if they are few.
     With whole_table the caller says that about all documents are asked for; they are then
-    classified where they lie and only what was found is exchanged, never a text.
+    classified where they lie and only what was found is exchanged, never a text. A classifier
+    of the caller's own takes the place of the model and the patterns.
     """
     keys = requested_keys(valid)
     if callable(documents):
@@ -98,8 +100,8 @@ def results_of(
         texts = documents
     else:
         texts = documents.join(keys, KEY, "left_semi")
-    classify = model_classifier(model, settings) if model else rules_classifier(settings)
-    return classify_documents(texts, classify)
+    own = model_classifier(model, settings) if model else rules_classifier(settings)
+    return classify_documents(texts, classify or own)
 
 
 def outcomes_of(valid: DataFrame, results: DataFrame) -> DataFrame:

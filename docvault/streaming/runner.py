@@ -15,6 +15,7 @@ from docvault.operators.vault import IDENTITY
 from docvault.plans.batch import process_batch
 from docvault.plans.process import requests_of
 from docvault.settings import JobSettings
+from docvault.sources.answers import Answers
 from docvault.sources.ledger import read_ledger
 from docvault.sources.sinks import Tables, create_tables, write_batch
 
@@ -30,6 +31,7 @@ def run_stream(
     trigger: dict | None = None,
     explode_records: bool = False,
     whole_table: bool = False,
+    answers: Answers | None = None,
 ) -> StreamingQuery:
     """Process every micro-batch into the tables.
 
@@ -42,7 +44,7 @@ def run_stream(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         moment = as_of or datetime.now(timezone.utc)
         process_batch(
-            batch, documents, tables, batch_id, moment, settings, model, explode_records, whole_table
+            batch, documents, tables, batch_id, moment, settings, model, explode_records, whole_table, answers
         )
 
     return (
