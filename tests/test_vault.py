@@ -142,8 +142,9 @@ def test_rollup_totals(spark):
     assert len(got) == 3 * (len(CATEGORIES) + 1)
 
 
+@pytest.mark.parametrize("one_by_one", [0, 2, 16])
 @pytest.mark.parametrize("few, few_bytes", [(1, 100), (3, 1000), (1000, 15), (1000, 1000)])
-def test_leaks_whatever_the_lists(spark, few, few_bytes):
+def test_leaks_whatever_the_lists(spark, few, few_bytes, one_by_one):
     rng = random.Random(5)
     values = [(f"d{rng.randint(0, 2)}", v) for v in ["Jane", "jane@x.org", "555", 'a"b', "é😀", "", "Ja", "10.0.0.1", "zz"]]
     texts = [
@@ -155,6 +156,7 @@ def test_leaks_whatever_the_lists(spark, few, few_bytes):
         spark.createDataFrame(texts, "document_id string, record_kind string, record_id string, text string"),
         few,
         few_bytes,
+        one_by_one,
     )
     want = set()
     for doc, value in values:
@@ -164,6 +166,23 @@ def test_leaks_whatever_the_lists(spark, few, few_bytes):
     assert len(got) == len(set(got)) and set(got) == want and want
 
 
+def test_leaks_of_many_values(spark):
+    """Thousands of values of one document, nested in each other, in long texts; null texts and values."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abé😀", k=rng.randint(1, 9))) for _ in range(6_000)]
+    values = [("d", w) for w in words] + [("d", None), (None, "a"), ("other", "a")]
+    texts = [("d", "log", f"r{i}", "".join(rng.choices("abcé😀", k=40_000))) for i in range(3)]
+    texts += [("d", "log", "none", None), (None, "log", "r0", "a"), ("d", "log", "empty", "")]
+    found = privacy.scan_for_leaks(
+        spark.createDataFrame(values, "document_id string, value string"),
+        spark.createDataFrame(texts, "document_id string, record_kind string, record_id string, text string"),
+        list_values=1_500,
+    )
+    got = [(r["record_id"], r["value"]) for r in found.collect()]
+    want = {(r, w) for d, _, r, t in texts if d and t for w in set(words) if w in t}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 1_000
+
+
 @pytest.mark.parametrize("chunk", [2, 4096])
 def test_lines_in_chunks(spark, chunk):
     rng = random.Random(1)
