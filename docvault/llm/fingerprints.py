@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -92,18 +94,95 @@ def likeness(a: str, b: str, in_a: Counter | None = None, in_b: Counter | None =
     return min(2 * common / total, 1 - 1 / (total + 1))
 
 
-def differing_branches(a: str, b: str) -> list[tuple[int, int]]:
-    """(section, paragraph) of `a` below which no equal node stands in `b`; equal branches are not entered."""
+Branch = tuple[int, int]
+
+
+def branches(print_: str) -> tuple[list[str], list[list[tuple[Branch, str]]]]:
+    """The hashes of the sections, and of each section's paragraphs with their (section, paragraph)."""
+    tops, inner = [], []
+    for i, section in enumerate(print_.partition(";")[2].split(",")):
+        top, _, parts = section.partition("=")
+        tops.append(top)
+        inner.append([((i, k), part.partition(":")[0]) for k, part in enumerate(parts.split("/"))])
+    return tops, inner
+
+
+def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence of two lists of hashes, in order.
+
+    For each length it keeps the common subsequence that ends earliest in `b`; so the work goes
+    with the number of equal pairs, not with the product of the lengths.
+    """
+    places: dict[str, list[int]] = {}
+    for j, hash_ in enumerate(b):
+        places.setdefault(hash_, []).append(j)
+    ends: list[int] = []
+    chains: list[tuple] = []
+    for i, hash_ in enumerate(a):
+        for j in reversed(places.get(hash_, ())):
+            k = bisect_left(ends, j)
+            ends[k : k + 1] = [j]
+            chains[k : k + 1] = [(i, j, chains[k - 1] if k else None)]
+    pairs, chain = [], chains[-1] if chains else None
+    while chain:
+        pairs.append(chain[:2])
+        chain = chain[2]
+    return pairs[::-1]
+
+
+def unequal_runs(a: list[str], b: list[str]) -> Iterator[tuple[slice, slice]]:
+    """The stretches of both lists between what is common to them."""
+    i = j = 0
+    for next_i, next_j in [*common(a, b), (len(a), len(b))]:
+        if i < next_i or j < next_j:
+            yield slice(i, next_i), slice(j, next_j)
+        i, j = next_i + 1, next_j + 1
+
+
+def differing_branches(a: str, b: str) -> list[tuple[str, Branch | None, Branch | None]]:
+    """What turns the paragraphs of `a` into those of `b`: (kind, branch of a, branch of b).
+
+    A branch is (section, paragraph). The children of the roots are aligned by their hashes, and
+    only sections that find no partner are entered, where the paragraphs are aligned likewise.
+    `changed` paragraphs stand in each other's place, `moved` ones are equal in two places,
+    `lost` ones are in `a` only and `new` ones in `b` only. Equal roots give nothing. Should
+    the short inner hashes agree under unequal roots, all paragraphs count as changed.
+    """
     if root(a) == root(b):
         return []
-    tops = set(re.findall(r"([0-9a-f]+)=", b))
-    inner = set(re.findall(r"([0-9a-f]+):", b))
-    found = []
-    for i, section in enumerate(a.partition(";")[2].split(",")):
-        top, _, parts = section.partition("=")
-        if top not in tops:
-            found += [(i, k) for k, part in enumerate(parts.split("/")) if part.partition(":")[0] not in inner]
-    return found
+    (tops_a, inner_a), (tops_b, inner_b) = branches(a), branches(b)
+    runs = []
+    for sections_a, sections_b in unequal_runs(tops_a, tops_b):
+        in_a = [p for section in inner_a[sections_a] for p in section]
+        in_b = [p for section in inner_b[sections_b] for p in section]
+        for there, here in unequal_runs([h for _, h in in_a], [h for _, h in in_b]):
+            runs.append((in_a[there], in_b[here]))
+
+    arrived: dict[str, list[Branch]] = {}
+    for _, here in runs:
+        for place, hash_ in here:
+            arrived.setdefault(hash_, []).append(place)
+    found, targets = [], set()
+    left_over = []
+    for there, here in runs:
+        stay = []
+        for place, hash_ in there:
+            if arrived.get(hash_):
+                target = arrived[hash_].pop(0)
+                targets.add(target)
+                found.append(("moved", place, target))
+            else:
+                stay.append(place)
+        left_over.append((stay, here))
+    for gone, here in left_over:
+        come = [place for place, _ in here if place not in targets]
+        for old, new in zip_longest(gone, come):
+            kind = "new" if old is None else "lost" if new is None else "changed"
+            found.append((kind, old, new))
+    if not found:
+        pairs = zip_longest(*([p for section in inner for p, _ in section] for inner in (inner_a, inner_b)))
+        found = [("changed", old, new) for old, new in pairs]
+    return sorted(found, key=lambda e: (e[1] is None, e[1] or e[2], e[2] is None, e[2] or e[1]))
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:

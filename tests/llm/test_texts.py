@@ -45,6 +45,75 @@ def test_fingerprints(corpus):
     assert fingerprints.likeness(a, prints["one"]) == 0
 
 
+def edits(a, b):
+    return fingerprints.differing_branches(fingerprints.fingerprint(a.encode()), fingerprints.fingerprint(b.encode()))
+
+
+def test_edits_are_located_on_both_sides():
+    lines = [f"paragraph number {i} of this text" for i in range(60)]
+    places = [place for section in fingerprints.branches(fingerprints.fingerprint("\n".join(lines).encode()))[1] for place, _ in section]
+
+    def kinds(changed):
+        return Counter(kind for kind, _, _ in edits("\n".join(lines), "\n".join(changed)))
+
+    def one(changed):
+        (found,) = edits("\n".join(lines), "\n".join(changed))
+        return found
+
+    kind, old, new = one([*lines[:20], "something else", *lines[20:]])
+    assert kind == "new" and old is None and new is not None
+    assert one([*lines[:20], *lines[21:]]) == ("lost", places[20], None)
+    assert one([*lines[:20], "something else", *lines[21:]])[:2] == ("changed", places[20])
+    kind, old, new = one([*lines[:20], lines[20], lines[20], *lines[21:]])
+    assert kind == "new" and old is None
+    kind, old, new = one([*lines[:5], *lines[6:40], lines[5], *lines[40:]])
+    assert kind == "moved" and old == places[5] and new > places[30]
+    assert kinds([lines[1], lines[0], *lines[2:]]) == {"moved": 1}
+    assert kinds([]) == {"lost": 59, "changed": 1}
+    assert edits("", "") == [] and edits("", "x") == [("changed", (0, 0), (0, 0))]
+
+
+def test_edits_explain_the_whole_difference():
+    """What no edit names is the same sequence of paragraphs on both sides; moves join equal ones."""
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = (["w%d v" % rng.randint(0, 9) if rng.random() < 0.8 else "" for _ in range(rng.randint(1, 25))] for _ in range(2))
+        if rng.random() < 0.5:
+            b = [*a[: rng.randint(0, len(a))], *b[:3], *a[rng.randint(0, len(a)) :]] or [""]
+        prints = [fingerprints.fingerprint("\n".join(x).encode()) for x in (a, b)]
+        found = fingerprints.differing_branches(*prints)
+        assert bool(found) == (a != b)
+        texts, rest = [], []
+        for side, (print_, lines) in enumerate(zip(prints, (a, b)), 1):
+            places = [place for section in fingerprints.branches(print_)[1] for place, _ in section]
+            named = [edit[side] for edit in found if edit[side] is not None]
+            assert len(places) == len(lines) and len(named) == len(set(named)) and set(named) <= set(places)
+            texts.append(dict(zip(places, lines)))
+            rest.append([text for place, text in texts[-1].items() if place not in named])
+        assert rest[0] == rest[1]
+        for kind, old, new in found:
+            assert (old is None, new is None) == (kind == "new", kind == "lost")
+            if old and new:
+                assert (texts[0][old] == texts[1][new]) == (kind == "moved")
+
+
+def test_common_is_longest():
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = row[:]
+            for j, y in enumerate(b, 1):
+                row[j] = last[j - 1] + 1 if x == y else max(row[j - 1], last[j])
+        return row[-1]
+
+    rng = random.Random(4)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 12))] for _ in range(2))
+        pairs = fingerprints.common(a, b)
+        assert len(pairs) == longest(a, b) and all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+
+
 def compared(rows):
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
     for (doc, text), (_, other) in zip(order, [*order[1:], order[0]], strict=True):
