@@ -22,7 +22,9 @@ from docvault.sources.answers import (
     known_answers,
     read_answers,
 )
+from docvault.sources.notifications import stream_notifications
 from docvault.sources.sinks import Tables, read_table
+from docvault.streaming.runner import run_stream
 
 #: Contents by number: a third of the documents share the first, one is always refused.
 CONTENTS = ["same text"] + [f"text {i}" for i in range(8)] + ["refused"]
@@ -102,6 +104,21 @@ def test_same_rows_as_without_answers(spark, tmp_path, log):
         assert rows[0] == rows[1]
 
 
+def test_stream_asks_once(spark, tmp_path, log):
+    """Two micro-batches with copies of one text: one call."""
+    inbox, tables = tmp_path / "inbox", Tables(str(tmp_path / "t"))
+    inbox.mkdir()
+    for i in (0, 3):
+        (inbox / f"{i}.json").write_text(json.dumps(message(i, f"incoming/{i}")))
+    stream = run_stream(
+        stream_notifications(spark, str(inbox), max_files_per_trigger=1), table(spark, (0, 3)), tables, str(tmp_path / "c"),
+        SETTINGS, logging_model(str(log)), AS_OF, {"availableNow": True}, answers=Answers(str(tmp_path / "a"), "m1"),
+    )
+    stream.awaitTermination()
+    assert read_table(spark, tables, "vault").select("batch_id").distinct().count() == 2
+    assert calls(log) == ["same text"]
+
+
 def test_nothing_raw_is_kept(spark, tmp_path, log):
     answers = Answers(str(tmp_path / "a"), "m1")
     run(spark, tmp_path, range(12), 0, log, answers)
