@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
@@ -9,6 +10,7 @@ import types
 import zlib
 from array import array
 from bisect import bisect_left, insort
+from codecs import charmap_decode
 from collections.abc import Iterator
 from string import punctuation
 
@@ -21,7 +23,7 @@ from docvault.llm.frames import NO_ID, pick, stored
 
 #: Words remembered by a Python worker, with their ids, in each of two generations.
 CACHED_WORDS = 250_000
-#: Characters of a text that are split into words at a time.
+#: About so many characters of a text are split into words at a time.
 SLICE = 1 << 20
 #: A length of more pieces is numbered in parts of about so many, so that no common length is a single task.
 PART_PIECES = 50_000
@@ -32,14 +34,14 @@ SIMPLE = re.compile(rf"([A-Za-zÀ-ÖØ-öø-ÿĀ-ĮıĲ-ɏЀ-џ]+)([{re.escape(p
 #: Byte-level tokenizers write printable bytes as themselves, the others as the code points from 256 on.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_SIGNS = {b: chr(b) for b in PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*PRINTABLE}))}
-#: Bytes read as Latin-1, to the signs of a byte-level tokenizer.
-AS_SIGNS = {b: sign for b, sign in BYTE_SIGNS.items() if chr(b) != sign}
+#: The signs of a byte-level tokenizer, in the order of the bytes.
+SIGNS = "".join(BYTE_SIGNS[b] for b in range(256))
 #: A tokenizer that does not give this text's ids word by word is used on whole texts.
 PROBE = "It's The ÉTÉ of  ein-zwei\n\nWörter, (naïve) Ж\tx2 3.14!? foo_bar's \"DON'T\" été. été, ...and 日本 end"
 
 
 class WordIds(dict):
-    """Text without blanks and line ends to its ids as little-endian bytes.
+    """Text without blanks and line ends to its ids as little-endian bytes, found when first asked for.
 
     The tokenizer drops white space between words, so the ids of a text are those of its words
     one after the other. ASCII punctuation at the end of a word that ends in a letter is a run
@@ -53,49 +55,46 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.older: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-        self.by_words = self.fits()
-
-    def fits(self) -> bool:
-        found = PROBE.replace("\n", " ").split(" ")
-        self.learn({w for w in found if w})
-        return b"".join(self[w] for w in found if w) == self.whole(PROBE)
+        self.tails: dict[str, bytes] = {"": b""}
+        self.by_words = self.joined(PROBE) == self.whole(PROBE)
 
     def whole(self, text: str) -> bytes:
-        return as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return as_bytes(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def joined(self, text: str) -> bytes:
+        """The ids of a text word by word; blanks beside each other leave empty words, which have none."""
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
-    def learn(self, found: set[str]) -> None:
-        """Make sure that all these words are known."""
+    def make_room(self) -> None:
         if len(self) >= CACHED_WORDS:
             self.older = dict(self)
             self.clear()
-        older, whole = self.older, []
-        for word in [w for w in found if w not in self]:
-            if word in older:
-                self[word] = older[word]
-            elif not (simple := SIMPLE.fullmatch(word)):
-                whole.append(word)
-            else:
-                core, tail = simple.groups()
-                self[word] = self.core_ids(core.lower()) + (self.tail_ids(tail) if tail else b"")
-        if whole:
-            for word, encoding in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
-                self[word] = as_bytes(encoding.ids)
 
-    def core_ids(self, core: str) -> bytes:
-        ids = self.get(core)
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
         if ids is None:
-            ids = self.older.get(core)
-            if ids is None:
-                signs = core if core.isascii() else core.encode().decode("latin-1").translate(AS_SIGNS)
-                ids = as_bytes([t.id for t in self.model.tokenize(signs)])
-            self[core] = ids
+            core = word.rstrip(punctuation)
+            if core.isascii() and core.isalpha() and len(word) - len(core) <= 8:
+                tail = word[len(core) :]
+            else:
+                core, tail = m.groups() if (m := SIMPLE.fullmatch(word)) else ("", "")
+            if not core:
+                ids = self.whole(word)
+            elif (lower := core.lower()) == word:
+                ids = self.core_ids(lower)
+            else:
+                ids = self[lower] + self.tail_ids(tail) if tail else self[lower]
+        self[word] = ids
         return ids
 
+    def core_ids(self, core: str) -> bytes:
+        signs = core if core.isascii() else charmap_decode(core.encode(), "strict", SIGNS)[0]
+        return as_bytes([t.id for t in self.model.tokenize(signs)])
+
     def tail_ids(self, tail: str) -> bytes:
         if tail not in self.tails:
             if len(self.tails) >= CACHED_WORDS:
-                self.tails.clear()
+                self.tails = {"": b""}
             self.tails[tail] = self.whole(tail)
         return self.tails[tail]
 
@@ -113,6 +112,7 @@ def known_words(tokenizer_path: str) -> WordIds:
     if getattr(state, "tokenizer_path", None) != tokenizer_path:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
         state.tokenizer_path, state.words = tokenizer_path, WordIds(Tokenizer.from_file(tokenizer_path))
+        gc.freeze()  # the words are many and make no cycles: the collector leaves them alone
     return state.words
 
 
@@ -123,48 +123,32 @@ def as_bytes(ids: list[int]) -> bytes:
     return found.tobytes()
 
 
-def text_words(text: str) -> Iterator[list[str]]:
-    """What stands between blanks and line ends, slice by slice."""
+def slices(text: str) -> Iterator[str]:
+    """A text in parts of about SLICE characters, cut in front of blanks and line ends."""
     start = 0
     while start < len(text):
         end = start + SLICE
         if end < len(text):
             ends = [x for x in (text.find(" ", end), text.find("\n", end)) if x >= 0]
             end = min(ends, default=len(text))
-        yield [w for w in text[start:end].replace("\n", " ").split(" ") if w]
+        yield text[start:end]
         start = end
 
 
 def text_ids(text: str | None, known: WordIds, end_id: int) -> bytes:
     """All ids of a text and the end id, four bytes each."""
-    return next(many_text_ids([text], known, end_id))
+    text, end = text or "", as_bytes([end_id])
+    if not known.by_words:
+        return known.whole(text) + end
+    parts = []
+    for part in slices(text):
+        known.make_room()
+        parts.append(known.joined(part))
+    return b"".join(parts) + end
 
 
 def many_text_ids(texts: list[str | None], known: WordIds, end_id: int) -> Iterator[bytes]:
-    """The ids of each text; the new words of about SLICE characters of text are learnt at once."""
-    end = as_bytes([end_id])
-    if not known.by_words:
-        yield from (known.whole(text or "") + end for text in texts)
-        return
-    at = 0
-    while at < len(texts):
-        text, chars, group = texts[at] or "", 0, []
-        if len(text) > SLICE:
-            parts = []
-            for found in text_words(text):
-                known.learn(set(found))
-                parts.append(b"".join(map(known.__getitem__, found)))
-            yield b"".join(parts) + end
-            at += 1
-            continue
-        while at < len(texts) and chars + len(texts[at] or "") <= SLICE:
-            text = texts[at] or ""
-            group.append([w for w in text.replace("\n", " ").split(" ") if w])
-            chars += len(text)
-            at += 1
-        known.learn(set().union(*group))
-        for found in group:
-            yield b"".join(map(known.__getitem__, found)) + end
+    return (text_ids(text, known, end_id) for text in texts)
 
 
 def token_pieces(

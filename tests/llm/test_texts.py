@@ -495,6 +495,18 @@ def test_any_tokenizer_gives_its_own_ids(corpus, name):
         assert ids == packing.as_bytes([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1])
 
 
+def test_words_are_learnt_when_first_asked_for(monkeypatch):
+    from tokenizers import Tokenizer
+
+    known = packing.WordIds(Tokenizer.from_file(TOKENIZER))
+    for word in ("Plain", "ÉTÉ,", "don't!", "x2", "...", "Ende\"!?)]};:.,", "", "日本"):
+        assert known[word] == known.whole(word)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 20)
+    text = " ".join(f"Word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}, x{i}" for i in range(100))
+    assert packing.text_ids(text, known, 1) == known.whole(text) + packing.as_bytes([1])
+    assert packing.text_ids("one", known, 1) == packing.as_bytes([*known.tokenizer.encode("one").ids, 1]) and len(known) == 1
+
+
 def test_texts_longer_than_a_slice(corpus, monkeypatch):
     from tokenizers import Tokenizer
 
