@@ -40,14 +40,26 @@ def unboxed(rows: DataFrame, box: str, names: Sequence[str], **changed: Column)
     return rows.select(*kept, *[c.alias(n) for n, c in changed.items()])
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
-    """Rows written once to the shared scratch folder and read back, which cuts the lineage."""
+def stored(rows: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+    """Rows written once to the shared scratch folder and read back, which cuts the lineage.
+
+    With `tasks` the last step runs in so many tasks, where it would have more, and makes as many files.
+    """
     spark = rows.sparkSession
     path = work_dir(spark, name)
+    rows = rows.coalesce(tasks) if tasks else rows
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def tasks_for(spark: SparkSession, rows: int, each: int) -> int:
+    """Tasks for so many rows, about `each` in one, so that a small table is no crowd of tiny tasks and files.
+
+    Never fewer than run at once.
+    """
+    return max(spark.sparkContext.defaultParallelism, -(-rows // each))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

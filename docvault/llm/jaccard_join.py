@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docvault.llm.components import components
-from docvault.llm.frames import pick, stored
+from docvault.llm.frames import pick, stored, tasks_for
 from docvault.llm.words import column_bytes, hashed, mixed, shingles, words
 
 #: Two documents link when 100 * common shingles >= PERCENT * all shingles of both.
@@ -39,6 +39,8 @@ FEW, BLOCK = 32, 256
 COLUMNS = 4096
 #: Sets whose tokens one task remembers to have sent.
 REMEMBERED = 100_000
+#: Pairs that one task compares, where there are many.
+TASK_PAIRS = 2_000
 
 
 def token_set(text: bytes | None) -> np.ndarray:
@@ -365,7 +367,7 @@ def both_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs `a, b` of sets that link; the sets are made anew from the texts of their members.
+    """The pairs `a, b` (a stored table) of sets that link; the sets are made anew from the texts of their members.
 
     The prefixes under the further orders, an eighth of the size, leave out nearly all pairs that
     do not; whole sets travel only for pairs that every order lets through.
@@ -386,8 +388,10 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame
             yield batch.select(["a", "b"]).filter(pa.array([linked(x, y) for x, y in zip(*sides, strict=True)], pa.bool_()))
 
     schema = "a bigint, b bigint"
-    close = stored(both_sides(pairs, sets, "marks").mapInArrow(by_orders, schema), "close-pairs")
-    return both_sides(close, sets, "tokens").mapInArrow(by_tokens, schema)
+    # Few pairs are few tasks, as each call of Python has its price.
+    several = lambda pairs, column: both_sides(pairs, sets, column).coalesce(tasks_for(docs.sparkSession, pairs.count(), TASK_PAIRS))
+    close = stored(several(pairs, "marks").mapInArrow(by_orders, schema), "close-pairs")
+    return several(close, "tokens").mapInArrow(by_tokens, schema)
 
 
 def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:

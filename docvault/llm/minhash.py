@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docvault.llm.components import components
-from docvault.llm.frames import pick, stored
+from docvault.llm.frames import pick, stored, tasks_for
 from docvault.llm.jaccard_join import both_sides, set_id, token_set, token_sets
 from docvault.llm.words import column_bytes
 
@@ -30,6 +30,8 @@ CHUNK = 4096
 FEW, BLOCK, BLOCK_TOKENS = 32, 512, 1 << 20
 #: Shingles whose common counts are made at once.
 COLUMNS = 4096
+#: Sets, pairs by their signatures, and pairs by their full sets that one task takes, where there are many.
+TASK_SETS, TASK_PAIRS, TASK_FULL = 10_000, 5_000, 2_000
 
 
 def hash_family(count: int = MINIMA, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +112,7 @@ def minima_of(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, MINIMA)
 
 
-def agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def agreeing(pairs: DataFrame, sets: DataFrame, tasks: int) -> DataFrame:
     """The pairs `a, b` whose sizes allow a link and whose signatures agree often enough."""
     least = least_agreement()
     left, right = (sets.select(F.col("sid").alias(x), F.col("n").alias(f"{x}_n"), F.col("minima").alias(f"{x}_minima")) for x in "ab")
@@ -121,7 +123,7 @@ def agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(same >= least))
 
     both = pairs.join(right, "b").join(left, "a").where(sizes_allow(F.col("a_n"), F.col("b_n")))
-    return both.select("a", "b", "a_minima", "b_minima").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "a_minima", "b_minima").coalesce(tasks).mapInArrow(run, "a bigint, b bigint")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -129,9 +131,9 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return common * (100 + PERCENT) >= PERCENT * (len(a) + len(b))
 
 
-def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, tasks: int) -> DataFrame:
     """`sid, tokens` of the wanted sets, stored; made anew from one text of each set."""
-    ids = stored(sets.join(wanted.distinct(), "sid").select("sid", "doc_id"), "wanted")
+    ids = stored(sets.join(wanted.distinct(), "sid").select("sid", "doc_id"), "wanted", tasks)
     return stored(token_sets(docs, ids).select("sid", "tokens"), "full-sets")
 
 
@@ -140,7 +142,8 @@ def both_of(pairs: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """The pairs `a, b` that link, by their full sets."""
+    """The pairs `a, b` (a stored table) that link, by their full sets."""
+    tasks = tasks_for(pairs.sparkSession, pairs.count(), TASK_FULL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,7 +151,7 @@ def confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
             sides = [[x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in c] for c in columns]
             yield batch.select(["a", "b"]).filter(pa.array([linked(x, y) for x, y in zip(*sides, strict=True)], pa.bool_()))
 
-    return both_sides(pairs, full, "tokens").mapInArrow(run, "a bigint, b bigint")
+    return both_sides(pairs, full, "tokens").coalesce(tasks).mapInArrow(run, "a bigint, b bigint")
 
 
 def common_counts(tokens: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -198,7 +201,9 @@ def block_links(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def links_across(shared: DataFrame, labels: DataFrame, docs: DataFrame, sets: DataFrame, tried: DataFrame) -> DataFrame:
+def links_across(
+    shared: DataFrame, labels: DataFrame, docs: DataFrame, sets: DataFrame, tried: DataFrame, tasks: int
+) -> DataFrame:
     """Links `a, b` between sets of one bucket that lie in different components.
 
     Buckets of one component are done. Pairs of buckets of at most FEW sets are compared by their
@@ -217,15 +222,16 @@ def links_across(shared: DataFrame, labels: DataFrame, docs: DataFrame, sets: Da
     )
     # A bucket of two sets is its pivot and the other one.
     sizes = sizes.where("parts > 1 AND all > 2").select("key", "all", "all_tokens", "main")
-    rest = stored(labelled.select("key", "sid", "n", "component").join(sizes, "key"), "open-buckets")
+    rest = stored(labelled.select("key", "sid", "n", "component").join(sizes, "key"), "open-buckets", tasks)
 
     few = rest.where(F.col("all") <= FEW).select("key", "sid", "component")
     one, two = (few.select("key", F.col("sid").alias(x), F.col("component").alias(f"{x}_part")) for x in "ab")
     joined = one.join(two, "key").where("a < b AND a_part <> b_part").select("a", "b").distinct()
-    pairs = stored(agreeing(joined.join(tried, ["a", "b"], "left_anti"), sets), "other-pairs")
+    open_tasks = tasks_for(docs.sparkSession, rest.count(), TASK_PAIRS)
+    pairs = stored(agreeing(joined.join(tried, ["a", "b"], "left_anti"), sets, open_tasks), "other-pairs")
 
     many = rest.where(F.col("all") > FEW)
-    full = full_sets(docs, sets, both_of(pairs).unionAll(many.select("sid")))
+    full = full_sets(docs, sets, both_of(pairs).unionAll(many.select("sid")), tasks)
 
     def blocks(k: Column, tokens: Column) -> Column:
         return F.ceil(F.greatest(k / BLOCK, tokens / BLOCK_TOKENS)).cast("int")
@@ -252,7 +258,7 @@ def links_across(shared: DataFrame, labels: DataFrame, docs: DataFrame, sets: Da
     places = F.when(F.col("out"), F.concat(against_main, among_outs)).otherwise(from_main)
     dealt = many.select("key", F.inline(places), "sid", "component", "n").join(full, "sid")
     found = dealt.groupBy("key", "kind", "i", "j").applyInPandas(block_links, "a bigint, b bigint")
-    return confirmed(pairs, full).unionAll(found)
+    return confirmed(pairs, full).unionAll(found.coalesce(open_tasks))
 
 
 def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
@@ -263,13 +269,17 @@ def linked_sets(docs: DataFrame, survey: DataFrame) -> DataFrame:
     lie in different components are compared.
     """
     sets = survey.where("sid IS NOT NULL").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"), F.first("minima").alias("minima"))
-    sets = stored(sets, "sets")
-    shared = stored(shared_buckets(sets), "buckets")
-    stars = stored(shared.where("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct(), "stars")
-    close = stored(agreeing(stars, sets), "agreeing")
-    edges = stored(confirmed(close, full_sets(docs, sets, both_of(close))), "links")
-    found = stored(components(edges), "components").select(F.col("node").alias("sid"), "component")
-    more = stored(links_across(shared, found, docs, sets, stars), "other-links")
+    spark = docs.sparkSession
+    tasks = tasks_for(spark, survey.count(), TASK_SETS)
+    sets = stored(sets, "sets", tasks)
+    shared = stored(shared_buckets(sets), "buckets", tasks)
+    stars = shared.where("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
+    stars = stored(stars, "stars", tasks)
+    close = stored(agreeing(stars, sets, tasks_for(spark, stars.count(), TASK_PAIRS)), "agreeing")
+    full = full_sets(docs, sets, both_of(close), tasks)
+    edges = stored(confirmed(close, full), "links")
+    found = stored(components(edges), "components", tasks).select(F.col("node").alias("sid"), "component")
+    more = stored(links_across(shared, found, docs, sets, stars, tasks), "other-links")
     if more.isEmpty():
         return found
     merged = components(edges.unionAll(more))
@@ -293,10 +303,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = pick(docs, "doc_id", "text")
     survey = stored(signatures(texts), "signatures")
     named = texts.where("doc_id IS NOT NULL")
-    links = stored(linked_sets(named, survey.where("doc_id IS NOT NULL")), "linked-sets")
+    links = linked_sets(named, survey.where("doc_id IS NOT NULL"))
+    tasks = tasks_for(texts.sparkSession, survey.count(), TASK_SETS)
+    links = stored(links, "linked-sets", tasks)
     labelled = survey.select("doc_id", "n", "sid").join(links, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     least = labelled.where("sid IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
-    least = stored(least, "least-ids")  # so that Spark can split the join with a large component
+    least = stored(least, "least-ids", tasks)  # so that Spark can split the join with a large component
     alone = F.col("sid").isNull() | F.col("doc_id").isNull()
     out = labelled.join(least, "component", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from docvault.llm import components as contraction
 from docvault.llm import decontamination, fingerprints, jaccard_join, line_dedup, packing, sharding
 from docvault.llm import words as task_words
-from docvault.llm.frames import pick
+from docvault.llm.frames import pick, stored
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -209,6 +209,27 @@ def test_line_dedup(spark, corpus, documents, messy, nothing):
 # --- Jaccard join
 
 
+def test_small_tables_are_few_files(spark, documents, monkeypatch):
+    """With very many shuffle partitions a small graph is no crowd of tasks and files."""
+    from docvault.llm import minhash
+
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = spark.sparkContext.defaultParallelism
+        path = spark.range(1, 200).selectExpr("id AS a", "id + 1 AS b")
+        found = contraction.components(path)
+        assert len(found.inputFiles()) <= tasks and {r["component"] for r in found.collect()} == {1}
+        written = []
+        keep = lambda rows, name, tasks=None: written.append((name, stored(rows, name, tasks))) or written[-1][1]
+        monkeypatch.setattr(minhash, "stored", keep)
+        minhash.near_duplicates(documents).collect()
+        assert {name: len(t.inputFiles()) for name, t in written if name in ("sets", "buckets", "agreeing", "wanted", "links") and len(t.inputFiles()) > tasks} == {}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]
