@@ -9,6 +9,8 @@ from docvault.functions.text import is_blank
 from docvault.operators.ingest import EXTRACTION
 
 KEY = ["source_bucket", "source_key"]
+#: Requested keys up to which 64-bit hashes of them are handed to all readers of texts (some 60 MB).
+MOST_MARKS = 1_000_000
 
 
 def requested_keys(requests: DataFrame) -> DataFrame:
@@ -16,6 +18,22 @@ def requested_keys(requests: DataFrame) -> DataFrame:
     return requests.select(*KEY).distinct()
 
 
+def likely_requested(documents: DataFrame, requests: DataFrame) -> tuple[DataFrame, bool]:
+    """The documents whose key has the hash of a requested one, and whether the others are left out.
+
+    The hashes are small enough to go to the texts, so no text is exchanged to find out that nobody
+    asked for it. Another document with such a hash may stand among them; joins by key leave it
+    out later. Where more keys are requested, all documents come back as they are. Counts the
+    hashes, so pass stored requests.
+    """
+    mark = F.xxhash64(*KEY)
+    marks = requests.select(mark.alias("_mark")).distinct()
+    if marks.count() > MOST_MARKS:
+        return documents, False
+    marked = documents.withColumn("_mark", mark)
+    return marked.join(F.broadcast(marks), "_mark", "left_semi").drop("_mark"), True
+
+
 def lookup_documents(requests: DataFrame, documents: DataFrame) -> DataFrame:
     """Requests with their text; a request without a document gets an extraction error.
 

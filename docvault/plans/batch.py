@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from docvault.functions.timing import SECONDS_PER_DAY, moment
 from docvault.operators.delivery import collect_failures
 from docvault.operators.ingest import split_valid
-from docvault.operators.lookup import KEY
+from docvault.operators.lookup import KEY, likely_requested
 from docvault.operators.vault import (
     IDENTITY,
     active_records,
@@ -76,6 +76,9 @@ def process_batch(
     Run again, a batch replaces all that it wrote, whatever comes out this time, and keeps the
     moment of its first run. The working tables hold nothing of a batch once it is through.
 
+    The documents asked for are classified where they lie, as long as hashes of their keys can
+    be handed round; see `likely_requested`.
+
     With a table of answers the model is called once per content, whichever batch has it first.
     """
     spark = messages.sparkSession
@@ -89,6 +92,8 @@ def process_batch(
         classify = partial(
             answered, model=model, answers=answers, settings=settings, batch_id=batch_id, now=now
         )
+    if not callable(documents) and not whole_table:
+        documents, whole_table = likely_requested(documents, valid)
     found = results_of(valid, documents, settings, model, whole_table, classify)
     write_batch(found, tables, "results", batch_id)
     if classify:

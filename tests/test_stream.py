@@ -52,6 +52,38 @@ FIRST = [message(1, "incoming/a"), message(2, "incoming/b"), message(3, "incomin
 SECOND = [message(1, "incoming/a"), message(7, "incoming/a", second=9), message(4, "incoming/none")]
 
 
+def exchanged(plan):
+    """The exchanges of a plan that carry texts."""
+    return [line for line in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line and "text" in line]
+
+
+@pytest.mark.parametrize("most, whole", [(1_000, True), (1, False)])
+def test_texts_are_classified_where_they_lie(spark, tmp_path, documents, monkeypatch, most, whole):
+    from docvault.operators import lookup
+    from docvault.plans import batch as batches
+
+    monkeypatch.setattr(lookup, "MOST_MARKS", most)
+    seen = []
+
+    def results_of(valid, given, settings, model, whole_table, classify):
+        seen.append((given.count(), exchanged(given), whole_table))
+        return found(valid, given, settings, model, whole_table, classify)
+
+    found = batches.results_of
+    monkeypatch.setattr(batches, "results_of", results_of)
+    lake = str(tmp_path / "documents")
+    documents.unionAll(spark.range(50).selectExpr(f"'{BUCKET}'", "concat('incoming/more', id)", "'SSN: 123-45-6789.'")).write.parquet(lake)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = Tables(str(tmp_path / "t"))
+        process_batch(batch(spark, FIRST), spark.read.parquet(lake), tables, 0, AS_OF, SETTINGS)
+        assert seen == [(3 if whole else 53, [], whole)]
+        assert contents(spark, tables) == [2, 2, 2, 2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_replayed_batches_leave_one_copy(spark, tmp_path, documents):
     tables = Tables(str(tmp_path / "t"))
     for number, rows in [(0, FIRST), (1, SECOND), (1, SECOND), (0, FIRST)]:
